@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import percentiles
+from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
+CAPACITY = 8192
 
 
 def _deals(spark: SparkSession, d: str) -> DataFrame:
@@ -33,9 +34,67 @@ def p1_merged(spark: SparkSession, d: str) -> DataFrame:
     return percentiles.quantiles(percentiles.merge_digests(daily, ["capacity"]), ["capacity"], {"p25": 0.25, "median": 0.50, "p75": 0.75, "p99": 0.99})
 
 
-QUERIES = {"p1_found": p1_found, "p1_percentiles": p1_percentiles, "p1_merged": p1_merged}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Listed model or carrier meant by each typed value that isn't itself a listed name."""
+    lists = {"model": "phone_models", "carrier": "carriers"}
+    reference = [table(spark, d, t).select(F.lit(f).alias("field"), "name", F.concat(F.coalesce("aliases", F.array()), F.coalesce("aliases_keyb", F.array())).alias("spellings")) for f, t in lists.items()]
+    return freevalues.map_column_values(table(spark, d, "deals"), "id", list(lists), reference[0].unionByName(reference[1]))
+
+
+def _looks(spark: SparkSession, d: str) -> DataFrame:
+    """(field, key, text) of titles and aliases."""
+    titles = table(spark, d, "ss_normalized_posts").select(F.lit("ss_normalized_posts.title").alias("field"), F.col("post_id").alias("key"), F.col("title").alias("text"))
+    for name in ("phone_models", "carriers"):
+        aliases = table(spark, d, name).select(F.lit(f"{name}.aliases").alias("field"), "name", F.posexplode("aliases").alias("at", "text"))
+        titles = titles.unionByName(aliases.select("field", F.concat_ws("#", "name", F.col("at").cast("string")).alias("key"), "text"))
+    return titles
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of titles, or of aliases, that look the same but differ in their characters."""
+    return lookalikes.same_look_pairs(_looks(spark, d), "field", "key", "text")
+
+
+def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Every title and alias beside its consistent form."""
+    return lookalikes.canonical_text(_looks(spark, d).distinct(), ["field", "key"], "text")
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every document, or piece of an oversized one, in a container of 8,192 byte tokens."""
+    return packing.pack(table(spark, d, "documents"), "doc_id", F.octet_length("text"), CAPACITY)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that packing had to split."""
+    return p7_containers(spark, d).groupBy("doc_id").agg(F.max("part").alias("part"), F.sum("size").alias("size")).where((F.col("part") > 0) & (F.col("size") > CAPACITY)).select("doc_id")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and the test items they share a run of at least 60 letters and digits with."""
+    return leaks.leaked_items(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked test items and the number of documents that hold them."""
+    return p8_found(spark, d).groupBy("item_id").agg(F.count("doc_id").alias("documents"))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_percentiles": p1_percentiles,
+    "p1_merged": p1_merged,
+    "p4_found": p4_found,
+    "p6_found": p6_found,
+    "p6_canonical": p6_canonical,
+    "p7_found": p7_found,
+    "p7_containers": p7_containers,
+    "p8_found": p8_found,
+    "p8_items": p8_items,
+}
 
 SQL = {
+    "p7_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
     "p1_found": """
 WITH v AS (SELECT id, any_value(model) AS model, any_value(capacity) AS capacity, any_value(source_posted_at) AS ts, min(upfront) AS u FROM deals GROUP BY id),
 f AS (SELECT DISTINCT model, capacity, ts, unnest([0.5, 0.25]) AS p, unnest([median, p25]) AS x FROM aggregates_daily),
