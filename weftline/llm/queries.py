@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles
+from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles, quality
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
@@ -80,6 +80,20 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return p8_found(spark, d).groupBy("item_id").agg(F.count("doc_id").alias("documents"))
 
 
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of every document's characters in lines of prose, lists, tables and junk."""
+    return quality.line_shares(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "common_words"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents more than half of whose characters aren't natural prose."""
+    return p9_shares(spark, d).where("prose < 0.5").select("doc_id").distinct()
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return quality.statistics(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "common_words"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_percentiles": p1_percentiles,
@@ -91,9 +105,23 @@ QUERIES = {
     "p7_containers": p7_containers,
     "p8_found": p8_found,
     "p8_items": p8_items,
+    "p9_found": p9_found,
+    "p9_shares": p9_shares,
+    "p9_statistics": p9_statistics,
 }
 
 SQL = {
+    "p9_statistics": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ \t\r\n]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[\t\r]', '', 'g')) <> '') AS l FROM t),
+c AS (SELECT list(DISTINCT lower(trim(word))) AS c FROM common_words)
+SELECT doc_id, len(w) AS words,
+  CASE WHEN len(w) > 0 THEN round(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) / len(w), 6) END AS mean_word_length,
+  CASE WHEN length(t) > 0 THEN round(length(regexp_replace(t, '[^!-/:-@\[-`{-~]', '', 'g')) / length(t), 6) END AS symbol_ratio,
+  CASE WHEN len(l) > 0 THEN round(len(list_filter(l, lambda x: regexp_matches(x, '[.!?][ \t\r]*$'))) / len(l), 6) END AS closed_lines,
+  CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: list_contains(c, lower(regexp_replace(x, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g'))))) / len(w), 6) END AS common_share
+FROM w, c
+""".replace("\\\\", "\\"),
     "p7_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
     "p1_found": """
 WITH v AS (SELECT id, any_value(model) AS model, any_value(capacity) AS capacity, any_value(source_posted_at) AS ts, min(upfront) AS u FROM deals GROUP BY id),
