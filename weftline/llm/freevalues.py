@@ -92,10 +92,11 @@ def distance(a: str, b: str, limit: float) -> float:
             if i and j and a[i] == b[j - 1] and a[i - 1] == b[j] and a[i] != b[j]:
                 best = min(best, before[j - 1] + 0.7)
             new.append(best)
-        if min(new) > limit:
+        # a transposition reaches back two rows
+        if min(new) > limit and min(row) > limit:
             return math.inf
         before, row = row, new
-    return row[-1]
+    return row[-1] if row[-1] <= limit else math.inf
 
 
 def _limit(n: int) -> float:

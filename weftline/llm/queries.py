@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles, quality
+from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles, quality, variants
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
@@ -94,11 +94,24 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.statistics(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "common_words"))
 
 
+def p5_linked(spark: SparkSession, d: str) -> DataFrame:
+    """The established name that every alias stands for."""
+    aliases = table(spark, d, "company_alias")
+    return variants.link_variants(aliases, "alias_id", ["alias", "normalized_alias", "alias_canonical"], table(spark, d, "dim_company"), "canonical_name", "company_id", "company_id")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of aliases that name the same organisation."""
+    return variants.variant_pairs(p5_linked(spark, d), "alias_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_percentiles": p1_percentiles,
     "p1_merged": p1_merged,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_linked": p5_linked,
     "p6_found": p6_found,
     "p6_canonical": p6_canonical,
     "p7_found": p7_found,
