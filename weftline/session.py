@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,7 +29,27 @@ def get_session(app: str = "weftline", cores: int | None = None, **conf: str) ->
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
         "spark.ui.enabled": "false",
     } | conf
-    return builder.config(map=settings).getOrCreate()
+    return ship(builder.config(map=settings).getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package, wherever they run; once per context.
+
+    Workers on this machine get its folder in their path, those of a cluster a
+    zip of the package.
+    """
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if str(root) in paths:
+        return spark
+    sc.environment["PYTHONPATH"] = os.pathsep.join([str(root), *filter(None, paths)])
+    if not sc.master.startswith("local") and str(root) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        with tempfile.NamedTemporaryFile(prefix="weftline-", suffix=".zip", delete=False) as file, zipfile.ZipFile(file, "w") as z:
+            for p in (root / "weftline").rglob("*.py"):
+                z.write(p, p.relative_to(root))
+        sc.addPyFile(file.name)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

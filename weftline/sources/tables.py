@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.session import ship
+
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    return ship(spark).read.parquet(f"{directory}/{name}.parquet")
