@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import freevalues, leaks, lookalikes, packing, percentiles, quality, variants
+from weftline.llm import entities, freevalues, leaks, lookalikes, packing, percentiles, quality, variants
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
@@ -105,10 +105,27 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.variant_pairs(p5_linked(spark, d), "alias_id")
 
 
+def p3_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The workplace that every pension record describes, with a confidence."""
+    p, c = table(spark, d, "pension"), table(spark, d, "dim_company")
+    records = p.select(
+        F.col("id").alias("raw_id"), F.col("company_name").alias("name"), F.col("business_reg_num").alias("number"), F.col("addr_sido_code").alias("sido"), F.col("addr_sigungu_code").alias("sigungu"),
+        F.col("legal_dong_addr_code").alias("dong"), F.col("addr_emdong_code").alias("emdong"), F.col("industry_code").alias("industry"), F.nullif(F.regexp_extract("lot_number_address", r"([0-9]+(?:-[0-9]+)?)\s*$", 1), F.lit("")).alias("lot"),
+    )
+    companies = c.select("company_id", F.col("canonical_name").alias("name"), F.col("business_reg_num").alias("number"), F.split_part("addr_key", F.lit("-"), F.lit(1)).alias("sigungu"), F.split_part("addr_key", F.lit("-"), F.lit(2)).alias("dong"), F.col("industry_code").alias("industry"))
+    return entities.match_entities(records, companies)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_matches(spark, d).select("company_id", "raw_id").distinct()
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_percentiles": p1_percentiles,
     "p1_merged": p1_merged,
+    "p3_found": p3_found,
+    "p3_matches": p3_matches,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_linked": p5_linked,
