@@ -5,7 +5,7 @@ rules say how it follows from similarities of name, number, address and
 industry; exclusivity says that a record describes one entity at most;
 transitivity says that records of one place describe the same. With the rules
 relaxed by Lukasiewicz logic each is a hinge, and the most probable truth
-values minimise a convex sum of hinges. It is solved by alternating
+values minimise a convex sum of squared hinges. It is solved by alternating
 directions (consensus ADMM): every rule keeps its own copy of the values it
 speaks of and is solved in closed form, then copies are averaged and drawn
 together.
@@ -40,7 +40,7 @@ RHO = 1.0
 
 
 class Hinges:
-    """sum of weight * max(0, a.x + b) and of hard a.x + b <= 0 over x in [0, 1]^n, as flat arrays."""
+    """sum of weight * max(0, a.x + b)^2 under hard a.x + b <= 0 for x in [0, 1]^n, as flat arrays."""
 
     def __init__(self) -> None:
         self.pot: list[np.ndarray] = []
@@ -81,12 +81,14 @@ class Hinges:
         norm = np.bincount(pot, coef * coef, self.n)
         count = np.maximum(1, np.bincount(var, minlength=size))
         z, u = np.full(size, 0.5), np.zeros(len(var))
+        hard = np.isinf(weight)
+        soft = np.where(hard, 0, weight)
+        factor = np.where(hard, 1 / norm, 2 * soft / (rho + 2 * soft * norm))
         for _ in range(rounds):
             v = z[var] - u
             over = np.bincount(pot, coef * v, self.n) + b
-            # closed form: stay if satisfied, else step by weight / rho, but not past the hinge
-            step = np.minimum(weight / rho, np.maximum(0, over) / norm)
-            x = v - coef * step[pot]
+            # closed form: stay if satisfied, else step back along the hinge
+            x = v - coef * (factor * np.maximum(0, over))[pot]
             new = np.clip(np.bincount(var, x + u, size) / count, 0, 1)
             u += x - new[var]
             moved = np.abs(new - z).max() if size else 0
