@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.plans import snapshots
+from weftline.plans import functions, relational, snapshots
 
-MODULES = [snapshots]
+MODULES = [snapshots, relational, functions]
 FLAGSHIP = snapshots.p2_found
