@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.plans import functions, relational, snapshots
+from weftline.plans import composites, functions, relational, snapshots
 
-MODULES = [snapshots, relational, functions]
-FLAGSHIP = snapshots.p2_found
+MODULES = [snapshots, relational, functions, composites]
+FLAGSHIP = composites.c01_trends
