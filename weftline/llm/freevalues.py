@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import hangul
-from weftline.llm.lookalikes import plain_rewriter
+from weftline.llm.lookalikes import HOMOGLYPHS, plain_rewriter
 from weftline.operators.lineage import cut
 
 UNMATCHED = "UNMATCHED"
 #: Reference entries per pass; longer lists are looked up in several passes.
 BLOCK = 50_000
 _MARKS = re.compile("[̀-ͯ]")
+#: Small forms of capitals that look Latin: text that was lower-cased after a look-alike had slipped in.
+_LOWERED = str.maketrans({c.lower(): latin.lower() for latin, others in HOMOGLYPHS.items() if latin.isupper() for c in others if c.lower() != c})
 _CODE = re.compile(r"([a-z]*)(\d+)")
 
 
@@ -55,6 +57,8 @@ def _forms(value: str) -> list[tuple[str, float]]:
     """(spelling, cost) under which a value is looked up."""
     folded = fold(value)
     forms = {compact(folded): 0.0}
+    if (small := value.translate(_LOWERED)) != value:
+        forms.setdefault(compact(fold(small)), 0.05)
     words = re.findall(r"[^\W_]+\+?", folded)
     if len(words) > 1:
         forms.setdefault("\0".join(sorted(words)), 0.05)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.lineage import cut
+
 STATES = ("prose", "list", "table", "junk")
 #: Lines longer than this are labelled in pieces, cut at white space.
 PIECE = 400
@@ -52,6 +54,10 @@ def levels(value: float, cuts: tuple[float, ...]) -> int:
     return n
 
 
+# The kinds of characters that lines are made of.
+NOT_HANGUL, NOT_LATIN, NOT_DIGIT, NOT_JAMO = (re.compile(f"[^{k}]+") for k in ("가-힣", "A-Za-záéÁÉ", "0-9", "ㄱ-ㅣ"))
+NOT_SYMBOL = re.compile(r"[^!-/:-@\[-`{-~]+")
+OTHER = re.compile(r"[가-힣!-~ㄱ-ㅣáéÁÉ“”‘’…·\s\x00-\x1f\x7f]+")
 QUOTED = re.compile(r"\s*[>※]\s*")
 REPEATED = re.compile(r"([.!?~…^])\1{2,}")
 
@@ -69,24 +75,12 @@ def observe(line: str, common: frozenset[str]) -> tuple[tuple[int, ...], str | N
     line = clean(line)
     words = line.split()
     nw, n = len(words), max(1, sum(map(len, words)))
-    hangul = latin = digit = odd = symbol = jamo = 0
-    for ch in line:
-        if "가" <= ch <= "힣":
-            hangul += 1
-        elif ch.isascii():
-            if ch.isalpha():
-                latin += 1
-            elif ch.isdigit():
-                digit += 1
-            elif not ch.isspace():
-                symbol += 1
-        elif ch in "áéÁÉ“”‘’…·":
-            latin += ch in "áéÁÉ"
-        elif "ㄱ" <= ch <= "ㅣ":
-            jamo += 1
-        elif not ch.isspace():
-            odd += 1
-            symbol += not ch.isalnum()
+    # kinds of characters are counted by the regular expression engine, not one by one
+    hangul, latin, digit, jamo = (len(k.sub("", line)) for k in (NOT_HANGUL, NOT_LATIN, NOT_DIGIT, NOT_JAMO))
+    symbol = len(NOT_SYMBOL.sub("", line))
+    rest = OTHER.sub("", line)
+    odd = len(rest)
+    symbol += sum(not ch.isalnum() for ch in rest)
     bare = [EDGE.sub("", w).lower() for w in words]
     hits = [w in common for w in bare]
     share_common = sum(hits) / max(1, nw)
@@ -188,28 +182,30 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+#: Statistics of a line; each has at most 8 levels.
+FEATURES = 18
+
+
 class Model:
-    """Counts -> log probabilities, with one added to every count."""
+    """Counts -> log probabilities, with one added to every count. A line is the bytes of its levels."""
 
     def __init__(self, counts: dict[tuple[str, int, int, int], int]) -> None:
-        shapes: dict[int, int] = {}
-        for kind, state, feature, _ in counts:
-            if kind == "level":
-                shapes[feature] = 8
         self.start = [self._log([counts.get(("start", s, 0, 0), 0) for s in range(4)])[s] for s in range(4)]
         self.move = [self._log([counts.get(("move", s, 0, t), 0) + (20 if s == t else 1) for t in range(4)]) for s in range(4)]
-        self.emit = [[self._log([counts.get(("level", s, f, v), 0) for v in range(8)]) for f in sorted(shapes)] for s in range(4)]
+        self.emit = [[self._log([counts.get(("level", s, f, v), 0) for v in range(8)]) for f in range(FEATURES)] for s in range(4)]
+        self.memo: dict[bytes, list[float]] = {}
 
     @staticmethod
     def _log(row: list[int]) -> list[float]:
         total = sum(row) + len(row)
         return [math.log((x + 1) / total) for x in row]
 
-    def label(self, seen: list[tuple[int, ...]]) -> list[int]:
-        """Most probable states (Viterbi)."""
+    def label(self, seen: list[bytes]) -> list[int]:
+        """Most probable states (Viterbi). Equal lines are weighed once."""
         score, back = self.start, []
         for i, obs in enumerate(seen):
-            here = [sum(e[v] for e, v in zip(self.emit[s], obs)) for s in range(4)]
+            if (here := self.memo.get(obs)) is None:
+                here = self.memo[obs] = [sum(e[v] for e, v in zip(self.emit[s], obs)) for s in range(4)]
             if i == 0:
                 score = [score[s] + here[s] for s in range(4)]
                 continue
@@ -236,39 +232,62 @@ def _common(words: DataFrame, column: str) -> frozenset[str]:
     return frozenset(w for w in rows if w)
 
 
-def _count(docs: DataFrame, common: frozenset[str], model: Model | None) -> dict[tuple[str, int, int, int], int]:
+def observe_lines(docs: DataFrame, doc_id: str, text: str, common: frozenset[str]) -> DataFrame:
+    """(d, seen, rules, sizes), written once: per document the levels of its lines, what rules say of them, their lengths.
+
+    A line takes FEATURES + 1 bytes; rules are 0 to 3, or 4 where they can't tell.
+    """
+    rows = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen, rules, sizes = [], [], []
+            for t in b.column(1).to_pylist():
+                lines = pieces(t)
+                told = [observe(line, common) for line in lines]
+                seen.append(b"".join(bytes(o) for o, _ in told))
+                rules.append(bytes(STATES.index(r) if r else 4 for _, r in told))
+                sizes.append(list(map(len, lines)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seen, pa.binary()), pa.array(rules, pa.binary()), pa.array(sizes, pa.list_(pa.int32()))], ["d", "seen", "rules", "sizes"])
+
+    return cut(rows.mapInArrow(run, f"d {dict(rows.dtypes)['d']}, seen binary, rules binary, sizes array<int>"))
+
+
+def _lines(seen: bytes) -> list[bytes]:
+    return [seen[i : i + FEATURES] for i in range(0, len(seen), FEATURES)]
+
+
+def _count(observed: DataFrame, model: Model | None) -> dict[tuple[str, int, int, int], int]:
     """Counts of starts, moves and levels by state, from rules (model None) or from the model's labels."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[tuple[str, int, int, int]] = Counter()
+        by_line: Counter[tuple[int, bytes]] = Counter()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                seen = [observe(line, common) for line in pieces(text)]
+            for seen, rules in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                lines = _lines(seen)
                 # what rules can tell stays what it is in the second estimate
-                told = model.label([o for o, _ in seen]) if model and seen else [None] * len(seen)
-                states = [STATES.index(r) if r else t for (_, r), t in zip(seen, told)]
-                if states and states[0] is not None:
+                told = model.label(lines) if model and lines else [4] * len(lines)
+                states = [r if r < 4 else t for r, t in zip(rules, told)]
+                if states and states[0] < 4:
                     total["start", states[0], 0, 0] += 1
-                for s, t in zip(states, states[1:]):
-                    if s is not None and t is not None:
-                        total["move", s, 0, t] += 1
-                for s, (obs, _) in zip(states, seen):
-                    if s is not None:
-                        for f, v in enumerate(obs):
-                            total["level", s, f, v] += 1
+                total.update(("move", s, 0, t) for s, t in zip(states, states[1:]) if s < 4 and t < 4)
+                by_line.update((s, line) for s, line in zip(states, lines) if s < 4)
+        for (s, line), n in by_line.items():
+            for f, v in enumerate(line):
+                total["level", s, f, v] += n
         cols = list(zip(*((*k, v) for k, v in total.items()))) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int32()) for c in cols[1:4]), pa.array(cols[4], pa.int64())], ["kind", "s", "f", "v", "n"])
 
-    rows = docs.mapInArrow(run, "kind string, s int, f int, v int, n long").groupBy("kind", "s", "f", "v").agg(F.sum("n").alias("n"))
+    rows = observed.select("seen", "rules").mapInArrow(run, "kind string, s int, f int, v int, n long").groupBy("kind", "s", "f", "v").agg(F.sum("n").alias("n"))
     return {(r["kind"], r["s"], r["f"], r["v"]): r["n"] for r in rows.collect()}
 
 
-def fit(docs: DataFrame, text: str, common: frozenset[str], rounds: int = 1) -> Model:
+def fit(observed: DataFrame, rounds: int = 1) -> Model:
     """Model from all documents: seeded by rules, then estimated ``rounds`` times from its own labels."""
-    rows = docs.select(F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull())
-    model = Model(_count(rows, common, None))
+    model = Model(_count(observed, None))
     for _ in range(rounds):
-        model = Model(_count(rows, common, model))
+        model = Model(_count(observed, model))
     return model
 
 
@@ -279,26 +298,24 @@ def line_shares(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame
     without such lines (and null texts) have no lines, 0 characters and null
     shares. Repeated rows give repeated results; other columns are ignored.
     """
-    common = _common(common_words, word)
-    model = fit(docs, text, common, rounds)
-    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).cast("string").alias("t"))
+    observed = observe_lines(docs, doc_id, text, _common(common_words, word))
+    model = fit(observed, rounds)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lines, chars, shares = [], [], ([], [], [], [])
-            for t in b.column(1).to_pylist():
-                ls = pieces(t) if t else []
+            for seen, sizes in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 size = [0] * 4
-                for line, s in zip(ls, model.label([observe(line, common)[0] for line in ls]) if ls else ()):
-                    size[s] += len(line)
-                lines.append(len(ls))
+                for n, s in zip(sizes, model.label(_lines(seen)) if seen else ()):
+                    size[s] += n
+                lines.append(len(sizes))
                 chars.append(sum(size))
                 for k in range(4):
                     shares[k].append(size[k] / chars[-1] if chars[-1] else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines, pa.int32()), pa.array(chars, pa.int64()), *(pa.array(x, pa.float64()) for x in shares)], ["d", "lines", "chars", *STATES])
 
-    kind = dict(rows.dtypes)["d"]
-    return rows.mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
+    kind = dict(observed.dtypes)["d"]
+    return observed.select("d", "seen", "sizes").mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
 
 
 def statistics(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame, word: str = "word") -> DataFrame:
