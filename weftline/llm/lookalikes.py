@@ -111,6 +111,8 @@ def classes() -> tuple[list[list[str]], list[str]]:
 def _pick(group: list[str], seen: dict[str, int]) -> str:
     """Most frequent member; of equals the shortest, plainest one."""
     singles = [m for m in group if len(m) == 1] or group
+    # an isolated jamo stands as one that never combines with its neighbours
+    singles = [m for m in singles if "ㄱ" <= m <= "ㆎ"] or singles
     return min(singles, key=lambda m: (-seen.get(m, 0), not m.isascii(), len(unicodedata.normalize("NFD", m)), m))
 
 
@@ -176,7 +178,8 @@ class Rewriter:
     def __call__(self, text: str) -> str:
         if self.touched.isdisjoint(text) and self.jamo.isdisjoint(text):
             return text
-        while (new := self._pass(text)) != text:
+        # canonical order of marks first: their order alone doesn't show
+        while (new := self._pass(unicodedata.normalize("NFC", text))) != text:
             text = new
         if not self.jamo.isdisjoint(text):
             text = _hangul(text).translate(self.late_map)

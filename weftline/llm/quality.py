@@ -4,7 +4,7 @@ Every line is prose, list, table or junk. Its statistics (shares of letters,
 digits, symbols, foreign characters, sentence ends, particles, common words
 and so on), each cut into a few levels, are the observations of a hidden
 Markov model whose states are the four labels; the levels are taken as
-independent given the state. Lines that plain rules can tell seed the model:
+independent given the state and the prevailing script. Lines that plain rules can tell seed the model:
 their levels and successions are counted over all documents, and the model
 then labels all documents and is estimated once more from what it labelled.
 Only these counts, a few hundred numbers whatever the corpus, reach the driver.
@@ -184,6 +184,15 @@ def pieces(text: str) -> list[str]:
 
 #: Statistics of a line; each has at most 8 levels.
 FEATURES = 18
+#: Log probabilities that a rule names the label of a line, and that it names a given other one.
+TRUST, DOUBT = math.log(0.97), math.log(0.01)
+#: Weight of a line's statistics together: they are less independent than the model takes them to be.
+TEMPER = 0.5
+
+
+def latin_first(line: bytes) -> bool:
+    """Whether a line has more Latin letters than Hangul; levels are told apart by this as well as by the state."""
+    return line[1] > line[0]
 
 
 class Model:
@@ -192,20 +201,22 @@ class Model:
     def __init__(self, counts: dict[tuple[str, int, int, int], int]) -> None:
         self.start = [self._log([counts.get(("start", s, 0, 0), 0) for s in range(4)])[s] for s in range(4)]
         self.move = [self._log([counts.get(("move", s, 0, t), 0) + (20 if s == t else 1) for t in range(4)]) for s in range(4)]
-        self.emit = [[self._log([counts.get(("level", s, f, v), 0) for v in range(8)]) for f in range(FEATURES)] for s in range(4)]
-        self.memo: dict[bytes, list[float]] = {}
+        self.emit = [[self._log([counts.get(("level", s, f, v), 0) for v in range(8)]) for f in range(FEATURES)] for s in range(8)]
+        self.memo: dict[tuple[bytes, int], list[float]] = {}
 
     @staticmethod
     def _log(row: list[int]) -> list[float]:
         total = sum(row) + len(row)
         return [math.log((x + 1) / total) for x in row]
 
-    def label(self, seen: list[bytes]) -> list[int]:
-        """Most probable states (Viterbi). Equal lines are weighed once."""
+    def label(self, seen: list[bytes], rules: bytes) -> list[int]:
+        """Most probable states (Viterbi). Equal lines are weighed once; what rules say is one more observation."""
         score, back = self.start, []
-        for i, obs in enumerate(seen):
+        for i, obs in enumerate(zip(seen, rules)):
             if (here := self.memo.get(obs)) is None:
-                here = self.memo[obs] = [sum(e[v] for e, v in zip(self.emit[s], obs)) for s in range(4)]
+                told = [0.0] * 4 if obs[1] > 3 else [TRUST if s == obs[1] else DOUBT for s in range(4)]
+                script = 4 * latin_first(obs[0])
+                here = self.memo[obs] = [told[s] + TEMPER * sum(e[v] for e, v in zip(self.emit[script + s], obs[0])) for s in range(4)]
             if i == 0:
                 score = [score[s] + here[s] for s in range(4)]
                 continue
@@ -267,7 +278,7 @@ def _count(observed: DataFrame, model: Model | None) -> dict[tuple[str, int, int
             for seen, rules in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 lines = _lines(seen)
                 # what rules can tell stays what it is in the second estimate
-                told = model.label(lines) if model and lines else [4] * len(lines)
+                told = model.label(lines, rules) if model and lines else [4] * len(lines)
                 states = [r if r < 4 else t for r, t in zip(rules, told)]
                 if states and states[0] < 4:
                     total["start", states[0], 0, 0] += 1
@@ -275,7 +286,7 @@ def _count(observed: DataFrame, model: Model | None) -> dict[tuple[str, int, int
                 by_line.update((s, line) for s, line in zip(states, lines) if s < 4)
         for (s, line), n in by_line.items():
             for f, v in enumerate(line):
-                total["level", s, f, v] += n
+                total["level", s + 4 * latin_first(line), f, v] += n
         cols = list(zip(*((*k, v) for k, v in total.items()))) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int32()) for c in cols[1:4]), pa.array(cols[4], pa.int64())], ["kind", "s", "f", "v", "n"])
 
@@ -304,9 +315,9 @@ def line_shares(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lines, chars, shares = [], [], ([], [], [], [])
-            for seen, sizes in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for seen, rules, sizes in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
                 size = [0] * 4
-                for n, s in zip(sizes, model.label(_lines(seen)) if seen else ()):
+                for n, s in zip(sizes, model.label(_lines(seen), rules) if seen else ()):
                     size[s] += n
                 lines.append(len(sizes))
                 chars.append(sum(size))
@@ -315,7 +326,7 @@ def line_shares(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines, pa.int32()), pa.array(chars, pa.int64()), *(pa.array(x, pa.float64()) for x in shares)], ["d", "lines", "chars", *STATES])
 
     kind = dict(observed.dtypes)["d"]
-    return observed.select("d", "seen", "sizes").mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
+    return observed.select("d", "seen", "rules", "sizes").mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
 
 
 def statistics(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame, word: str = "word") -> DataFrame:
