@@ -63,7 +63,9 @@ REPEATED = re.compile(r"([.!?~…^])\1{2,}")
 
 
 def clean(line: str) -> str:
-    """Without marks of quotation or notice in front, invisible characters, and repeats of closing marks beyond three."""
+    """Without marks of quotation or notice in front, invisible characters, dashes between all words, and repeats of closing marks beyond three."""
+    if 3 * line.count(" - ") > line.count(" ") > 8:
+        line = line.replace(" - ", " ")
     line = REPEATED.sub(r"\1\1\1", QUOTED.sub("", line, count=1) if QUOTED.match(line) else line)
     if line.isascii():
         return line
@@ -138,6 +140,8 @@ def _rule(line, words, nw, n, hangul, latin, digit, symbol, jamo, foreign, share
         return "junk"
     if nw >= 6 and hangul > latin and not closing and (share_common > 0.5 or share_common > 0.35 and not ends and particles < 0.3):
         return "junk"
+    if nw >= 6 and share_common > 0.7:
+        return "junk"
     if nw >= 8 and share_common > 0.6 and latin >= hangul and not closing and runs > 0.35:
         return "junk"
     cells = re.split(r" ?, ?", line)
