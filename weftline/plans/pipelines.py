@@ -93,7 +93,8 @@ def resolve_entities(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, accept
     cand = found.unionByName(near).join(r.select("raw_id", "addr_key", "industry"), "raw_id").join(d.select("company_id", "daddr", "dind"), "company_id")
     score = names.match_score(F.col("rule") == "NUMBER_ADDR", F.col("sim"), F.col("industry") == F.col("dind"), F.col("addr_key") == F.col("daddr"))
     scored = cand.select("raw_id", "company_id", "rule", F.round(score, 6).alias("score"), (-F.round(score, 6)).alias("__o"))
-    best = rel.keep_first(scored, ["raw_id"], ["__o", "rule", "company_id"]).drop("__o")
+    scored = scored.withColumn("__r", F.array_position(F.array(F.lit("NUMBER_ADDR"), F.lit("ALIAS"), F.lit("NAME_KNN")), F.col("rule")))
+    best = rel.keep_first(scored, ["raw_id"], ["__o", "__r", "company_id"]).drop("__o", "__r")
     decision = F.when(F.col("score").isNull(), "NO_CANDIDATE").when(F.col("score") >= accept, "ACCEPTED").when(F.col("score") >= review, "REVIEW").otherwise("REJECTED")
     return raw.select("raw_id").distinct().join(best, "raw_id", "left").withColumn("decision", decision)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -40,6 +41,21 @@ def post_id_counts(posts: DataFrame) -> DataFrame:
 
 
 def _scan(spark: SparkSession, folder: str, pattern: str, columns: list[str]) -> DataFrame:
+    """Files of a folder; empty ones too, which the scan itself passes over."""
+    full = _read(spark, folder, pattern, columns)
+    jvm, root = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    empty = []
+    while listed.hasNext():
+        f = listed.next()
+        if f.getLen() == 0 and jvm.org.apache.hadoop.fs.GlobPattern(pattern).matches(f.getPath().getName()):
+            empty.append({"path": f.getPath().toString(), "modificationTime": datetime.datetime.fromtimestamp(f.getModificationTime() / 1000), "length": 0, "content": bytearray()})
+    if not empty:
+        return full
+    return full.unionByName(spark.createDataFrame([tuple(e[c] for c in columns) for e in empty], full.schema))
+
+
+def _read(spark: SparkSession, folder: str, pattern: str, columns: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select(*columns)
 
 

@@ -45,7 +45,7 @@ def step(state: tuple[int, float, float], at: float, gap: float, hits: int, cool
     consecutive, last, until = state
     if at < until:
         return state, False
-    consecutive = consecutive + 1 if last and at - last <= gap else 1
+    consecutive = consecutive + 1 if consecutive and at - last <= gap else 1
     return ((0, at, at + cooldown) if consecutive >= hits else (consecutive, at, until)), True
 
 
