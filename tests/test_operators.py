@@ -215,4 +215,6 @@ def test_sketches(spark):
     df = spark.createDataFrame([(["a", "b", "c"], ["a", "b", "c", "c"], [])], "x array<string>, y array<string>, z array<string>")
     r = df.select(hashing.sketch_jaccard(hashing.minhash(F.col("x")), hashing.minhash(F.col("y"))).alias("j"), hashing.minhash(F.col("z")).alias("none"), hashing.simhash60(F.col("z")).alias("zero"), hashing.hash64(F.lit("x"), 1, "blake2b").alias("b"), F.size(hashing.bands(hashing.minhash(F.col("x")), 32, 4)).alias("n"), hashing.trigram_similarity(F.lit("cat"), F.lit("cats")).alias("t"), hashing.hamming(F.lit(5), F.lit(3)).alias("h")).first()
     assert r["j"] == 1.0 and r["none"] is None and r["zero"] == 0 and r["n"] == 32 and r["h"] == 2
+    both = hashing.add_minhash(df.select("x", "z", hashing.minhash(F.col("x"), 16).alias("m")), F.col("x"), "a", 16).select("m", "a").first()
+    assert both["m"] == both["a"] and hashing.add_minhash(df, F.col("z"), "a").first()["a"] is None
     assert r["t"] == pytest.approx(3 / 6) and -(2**63) <= r["b"] < 2**63

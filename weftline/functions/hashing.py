@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Modulus and multipliers of the permutations of 28-bit hashes; products stay below 2^63.
 PRIME = 2147483647
@@ -44,6 +47,17 @@ def small_hash(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 7), 16, 10).cast("long")
 
 
+@lru_cache(maxsize=8)
+def _permuted(n: int):
+    a, b = (np.array(x, dtype=np.int64) for x in zip(*map(permutation, range(n))))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def minima(hashes: pd.Series) -> pd.Series:
+        return hashes.map(lambda h: None if h is None or not len(h) else ((np.asarray(h, dtype=np.int64)[:, None] * a + b) % PRIME).min(axis=0))
+
+    return minima
+
+
 def minhash(items: Column, n: int = 128) -> Column:
     """array<long> of n minima over permutations of the distinct items; null for none."""
     h = F.transform(F.array_distinct(items), small_hash)
@@ -51,6 +65,16 @@ def minhash(items: Column, n: int = 128) -> Column:
     return F.when(F.size(items) > 0, F.transform(pairs, lambda p: F.array_min(F.transform(h, lambda x: (x * p["a"] + p["b"]) % PRIME))))
 
 
+def add_minhash(df: DataFrame, items: Column, name: str, n: int = 128) -> DataFrame:
+    """``df`` and the column ``minhash(items, n)``, permuted over Arrow batches in numpy.
+
+    Nested lambdas over arrays are interpreted row by row; for sketches of
+    whole tables this is several times faster.
+    """
+    hashed = df.withColumn("__h", F.transform(F.array_distinct(items), small_hash))
+    return hashed.withColumn(name, _permuted(n)(F.col("__h"))).drop("__h")
+
+
 def bands(sketch: Column, count: int, rows: int) -> Column:
     """array<struct<position, value>>: bucket keys of a sketch; position is part of the key."""
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.struct(i.alias("position"), F.md5(F.array_join(F.slice(sketch, i * rows + 1, rows), ",")).alias("value")))

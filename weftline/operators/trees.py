@@ -51,17 +51,23 @@ def flatten_comments(df: DataFrame, post_id: str, json_col: str, compat: bool =
 def build_paths(edges: DataFrame, node: str, parent: str, order: str) -> DataFrame:
     """(node, root, path, depth) of rows with parent links; siblings in ``order``, then by node.
 
-    One join per level; a level's rows only. Nodes whose parents lead to no
-    root (cycles, missing parents) are left out.
+    Every round doubles how far up each node has looked, so a chain of a
+    million takes twenty joins. Nodes whose parents lead to no root (cycles,
+    missing parents) are left out. ``node`` is unique.
     """
     from pyspark.sql.window import Window
 
     w = Window.partitionBy(parent).orderBy(order, node)
-    e = cut(edges.select(node, parent, F.row_number().over(w).cast("string").alias("__i")))
-    e = e.withColumn("__i", F.lpad("__i", F.greatest(F.lit(3), F.length("__i")), F.lit("0")))
-    level = e.where(F.col(parent).isNull()).select(F.col(node).alias("node"), F.col(node).alias("root"), F.col("__i").alias("path"), F.lit(0).alias("depth"))
-    out = level = cut(level)
-    while level.take(1):
-        level = cut(e.join(level, F.col(parent) == F.col("node")).select(F.col(node).alias("node"), "root", F.concat_ws(".", "path", "__i").alias("path"), (F.col("depth") + 1).alias("depth")))
-        out = out.unionByName(level)
-    return out
+    e = edges.select(F.col(node).alias("node"), F.col(parent).alias("up"), F.row_number().over(w).cast("string").alias("i"))
+    # seen: the path from below ``up`` to the node, ``depth`` steps so far
+    seen = cut(e.select("node", "up", F.col("node").alias("root"), F.lpad("i", F.greatest(F.lit(3), F.length("i")), F.lit("0")).alias("path"), F.lit(0).alias("depth")))
+    done, left = -1, -1
+    while True:
+        n, ended = seen.agg(F.count(F.lit(1)), F.count_if(F.col("up").isNull())).first()
+        if ended == n or (ended, n) == (done, left):
+            return seen.where("up is null").select("node", "root", "path", "depth")
+        done, left = ended, n
+        above = seen.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("root").alias("r2"), F.col("path").alias("p2"), F.col("depth").alias("d2"))
+        # a parent that isn't there ends the search without a root
+        open_ = seen.where("up is not null").join(above, "up").select("node", F.col("up2").alias("up"), F.col("r2").alias("root"), F.concat_ws(".", "p2", "path").alias("path"), (F.col("depth") + F.col("d2") + 1).alias("depth"))
+        seen = cut(seen.where("up is null").unionByName(open_))

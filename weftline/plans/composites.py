@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from weftline.functions import hashing, text
 from weftline.operators import checks, pairs, relational as rel, state
+from weftline.operators.lineage import cut
 from weftline.plans import pipelines as pipe
 from weftline.plans.functions import _SHINGLES, _TOKENS
 from weftline.plans.relational import _LISTS, _TRIGRAMS, RANGES, _listings
@@ -206,7 +207,7 @@ def c03_near_duplicates(s: SparkSession, d: str) -> DataFrame:
 def c03_sketch_links(s: SparkSession, d: str) -> DataFrame:
     """Links found by MinHash bands and confirmed by the sketch; titles as texts, words as items."""
     p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").groupBy("title").agg(F.count(F.lit(1)).alias("posts")).withColumn("id", hashing.hash60(F.col("title")))
-    return pairs.lsh_links(p.select("id", hashing.minhash(text.tokens(F.col("title")), 32).alias("m")), "id", "m", count=8, rows=4)
+    return pairs.lsh_links(cut(hashing.add_minhash(p.select("id", "title"), text.tokens(F.col("title")), "m", 32).select("id", "m")), "id", "m", count=8, rows=4)
 
 
 @query("""WITH RECURSIVE m AS (SELECT c_nationkey AS g, c_acctbal AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer QUALIFY r <= 8),
