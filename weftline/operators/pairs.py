@@ -72,9 +72,10 @@ def near_duplicates(docs: DataFrame, doc_id: str, column: str, *, words: int = 5
     texts it is linked to. Texts without a word, and null texts, are in no
     class but their own.
     """
-    rows = docs.select(F.col(doc_id).alias("d"), text.tokens(F.col(column)).alias("t"))
-    rows = rows.withColumn("key", F.when(F.size("t") > 0, F.md5(F.array_join("t", " "))))
-    texts = cut(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("d").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("t").alias("t")))
+    # tokens are made once: what follows reads the written copy
+    rows = cut(docs.select(F.col(doc_id).alias("d"), F.array_join(text.tokens(F.col(column)), " ").alias("t")))
+    rows = rows.withColumn("key", F.when(F.col("t") != "", F.md5("t")))
+    texts = cut(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("d").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("t").alias("t")).withColumn("t", F.split("t", " ")))
     shingled = texts.select("id", F.transform(text.shingles(F.col("t"), words), lambda s: F.xxhash64(s)).alias("s"))
     links = cut(jaccard_links(shingled, "id", "s", least))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
