@@ -45,7 +45,7 @@ def test_pigeonhole_finds_every_pair_within_k():
             insertions_only = n if n <= k else None
             if b and insertions_only is not None and abs(len(a) - len(b)) <= k and levenshtein(a, b) <= k:
                 index = {(len(b), i, s) for i, (_, s) in enumerate(variants.segments(b, k)) if s}
-                assert index & set(variants.probes(a, k)) or len(b) <= k
+                assert index & {(n, number, s) for n, number, _, s in variants.probes(a, k)} or len(b) <= k
 
 
 def levenshtein(a, b):
@@ -58,6 +58,15 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def test_crowded_segments_lose_nothing(spark):
+    rng = random.Random(11)
+    # all cores share their first half
+    cores = sorted({"가나" + "".join(rng.choice("다라마바사아자차") for _ in range(2)) for _ in range(60)} | {"ganadara", "ganadaro", "gnaadara"})
+    df = spark.createDataFrame([(i, c, "건설", "l" if c.isascii() else "h") for i, c in enumerate(cores)], "id long, core string, trade string, script string")
+    both = [{tuple(r) for r in variants.segment_join(df, df, crowded=n).collect()} for n in (3, 10**6)]
+    assert both[0] == both[1] and len(both[0]) > 50
+
+
 def test_variants_follow_established_names(spark):
     known = spark.createDataFrame([(1, "주식회사 라송봄려건설"), (2, "라송봄려미디어"), (3, "가래균곤건설"), (4, "가래군곤건설"), (5, None)], "cid long, name string")
     rows = [(1, "라송봄려건설(주)", None), (2, "라숑봄려건설", None), (3, "Rasongbomryeo Construction", None), (4, "RASNOGBOMRYEO CONSTRUCTION", None), (5, "라송봄려미디어", None), (6, "라송봄려", None), (7, "라송봄려", None), (8, "가래균곤건설", None), (9, "가래군곤건설", None), (10, "아무개", 2), (11, None, None), (12, "", None), (13, "전혀다른이름식품", None), (13, "전혀다른이름식품", None), (14, "x" * 20_000, None)]

@@ -14,7 +14,8 @@ rigorously, whatever was merged; what the bounds leave open is settled by a
 second counting pass over the data.
 
 All steps are window functions and aggregates inside the JVM. Rows are spread
-over ``salts`` partial digests of a group, so a group that holds a third of
+over ``salts`` partial digests of a group (by default as many as there are
+shuffle partitions), so a group that holds a third of
 all rows is never sorted in one task; merging reads at most salts * delta / 2
 clusters of a group.
 """
@@ -26,7 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DELTA = 200
-SALTS = 8
+
+
+def _salts(df: DataFrame, asked: int | None, per_group: int = 1) -> int:
+    """Partial digests of a group: as many as there are shuffle partitions, so a hot group spreads over all of them."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return asked or max(8, n // per_group)
 
 
 def _k(q: Column, delta: int) -> Column:
@@ -69,7 +75,7 @@ def _out(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*[F.col(n).alias(k) for k, n in zip(keys, _names(keys))], F.col("__v").alias("mean"), F.col("__w").alias("weight"), F.col("__lo").alias("low"), F.col("__hi").alias("high"))
 
 
-def build_digest(df: DataFrame, keys: list[str], value: str, *, row_id: str | None = None, delta: int = DELTA, salts: int = SALTS) -> DataFrame:
+def build_digest(df: DataFrame, keys: list[str], value: str, *, row_id: str | None = None, delta: int = DELTA, salts: int | None = None) -> DataFrame:
     """Digest of ``value`` for each group of ``keys``.
 
     ``row_id`` names the column by which repeated rows count once (rows with
@@ -79,7 +85,7 @@ def build_digest(df: DataFrame, keys: list[str], value: str, *, row_id: str | No
     columns of ``df`` are ignored, whatever their names.
     """
     part = [*_names(keys), "__salt"]
-    rows = _rows(df, keys, value, row_id, salts).withColumns({"__lo": F.col("__v"), "__hi": F.col("__v")})
+    rows = _rows(df, keys, value, row_id, _salts(df, salts)).withColumns({"__lo": F.col("__v"), "__hi": F.col("__v")})
     return _out(_cluster(_cluster(rows, part, delta).drop("__salt"), _names(keys), delta), keys)
 
 
@@ -124,13 +130,15 @@ def rank_bounds(digest: DataFrame, keys: list[str], points: DataFrame, point: st
     return out.select(*[F.col(n).alias(k) for k, n in zip(keys, _names(keys))], F.col("__p").alias(point), "n", "below_min", "below_max", "upto_min", "upto_max")
 
 
-def count_ranks(df: DataFrame, keys: list[str], value: str, points: DataFrame, point: str = "point", *, row_id: str | None = None, salts: int = SALTS) -> DataFrame:
+def count_ranks(df: DataFrame, keys: list[str], value: str, points: DataFrame, point: str = "point", *, row_id: str | None = None, salts: int | None = None) -> DataFrame:
     """Second pass: exact ``n``, ``below`` and ``upto`` of each point in its group.
 
     Points are repeated for every salt, so rows meet them where they lie and a
     hot group is counted by ``salts`` tasks; sums are combined before the
     second shuffle. Points of groups without values are left out.
     """
+    # points are repeated for every salt, so there are fewer salts than in digests
+    salts = _salts(df, salts, 16)
     p = points.select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(keys)], F.col(point).cast("double").alias("__p")).where(F.col("__p").isNotNull()).distinct()
     groups = p.select(*[f"__d{i}" for i in range(len(keys))]).distinct()
     # rows of groups nobody asks about are dropped before the shuffle
@@ -143,7 +151,7 @@ def count_ranks(df: DataFrame, keys: list[str], value: str, points: DataFrame, p
     return out.select(*[F.col(n).alias(k) for k, n in zip(keys, _names(keys))], F.col("__p").alias(point), "n", "below", "upto")
 
 
-def certified_quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], *, row_id: str | None = None, delta: int = DELTA, salts: int = SALTS) -> DataFrame:
+def certified_quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], *, row_id: str | None = None, delta: int = DELTA, salts: int | None = None) -> DataFrame:
     """Quantile estimates and, as ``<name>_error``, their true rank error from a counting pass.
 
     The error is how far p lies outside [share below, share at or below].
@@ -158,7 +166,7 @@ def certified_quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str
     return long.join(ranks, on).groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("name") == n, F.col("point"))).alias(n) for n in ps], *[F.max(F.when(F.col("name") == n, err)).alias(f"{n}_error") for n in ps])
 
 
-def stored_figures_off(values: DataFrame, stored: DataFrame, keys: list[str], value: str, figures: dict[str, float], *, tolerance: float = 0.10, row_id: str | None = None, delta: int = DELTA, salts: int = SALTS) -> DataFrame:
+def stored_figures_off(values: DataFrame, stored: DataFrame, keys: list[str], value: str, figures: dict[str, float], *, tolerance: float = 0.10, row_id: str | None = None, delta: int = DELTA, salts: int | None = None) -> DataFrame:
     """Keys of ``stored`` rows one of whose ``figures`` (column -> p) is off by more than ``tolerance`` of rank.
 
     Digest bounds decide most figures; those within the bounds' width of the
