@@ -31,7 +31,7 @@ HOMOGLYPHS = {
 # Format characters (category Cf) that do show.
 VISIBLE_FORMAT = "؀؁؂؃؄؅۝܏࢐࢑࣢𑂽𑃍"
 # Invisible code points outside category Cf: grapheme joiner, Hangul and Khmer fillers, variation selectors.
-INVISIBLE_RANGES = [(0x034F, 0x034F), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0xFE00, 0xFE0F), (0xE0100, 0xE01EF)]
+INVISIBLE_RANGES = [(0x034F, 0x034F), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFFA0, 0xFFA0), (0xE0100, 0xE01EF)]
 
 
 class UnionFind:
@@ -75,7 +75,7 @@ def classes() -> tuple[list[list[str]], list[str]]:
             continue
         ch = chr(c)
         kind = unicodedata.category(ch)
-        if kind == "Cn":
+        if kind == "Cn" or any(a <= c <= b for a, b in INVISIBLE_RANGES):
             continue
         if kind == "Zs":
             uf.union(ch, " ")

@@ -145,7 +145,7 @@ SQL = {
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ \t\r\n]+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[\t\r]', '', 'g')) <> '') AS l FROM t),
 c AS (SELECT list(DISTINCT lower(trim(word))) AS c FROM common_words)
-SELECT doc_id, len(w) AS words,
+SELECT doc_id, len(w)::INT AS words,
   CASE WHEN len(w) > 0 THEN round(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) / len(w), 6) END AS mean_word_length,
   CASE WHEN length(t) > 0 THEN round(length(regexp_replace(t, '[^!-/:-@\[-`{-~]', '', 'g')) / length(t), 6) END AS symbol_ratio,
   CASE WHEN len(l) > 0 THEN round(len(list_filter(l, lambda x: regexp_matches(x, '[.!?][ \t\r]*$'))) / len(l), 6) END AS closed_lines,
