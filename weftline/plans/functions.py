@@ -213,7 +213,7 @@ def f31_addr_key(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH g AS (SELECT p.id, c.company_id, p.business_reg_num = c.business_reg_num AS exact, p.industry_code = c.industry_code AS ind, p.addr_sigungu_code || '-' || p.legal_dong_addr_code = c.addr_key AS addr, {_TRIGRAMS.format('p.company_name')} AS x, {_TRIGRAMS.format('c.canonical_name')} AS y
 FROM pension p JOIN dim_company c ON p.business_reg_num = c.business_reg_num), s AS (SELECT id, company_id, coalesce(ind, false)::INT AS i, coalesce(addr, false)::INT AS a, CASE WHEN len(x) + len(y) > 0 THEN {_SIM.format('x', 'y')} ELSE 0 END AS sim FROM g)
-SELECT id, company_id, round(least(1, 0.95 + 0.1 * i + 0.1 * a), 6) AS by_number, round(greatest(0, least(1, sim + 0.2 * i + 0.2 * a)), 6) AS by_name FROM s""")
+SELECT id, company_id, round(least(1, 0.95::DOUBLE + 0.1::DOUBLE * i + 0.1::DOUBLE * a), 6) AS by_number, round(greatest(0, least(1, sim + 0.2 * i + 0.2 * a)), 6) AS by_name FROM s""")
 def f32_match_score(s: SparkSession, d: str) -> DataFrame:
     p, c = table(s, d, "pension"), table(s, d, "dim_company")
     j = p.select("id", "company_name", "business_reg_num", F.col("industry_code").alias("pi"), F.concat(F.col("addr_sigungu_code"), F.lit("-"), F.col("legal_dong_addr_code")).alias("pa")).join(c, "business_reg_num")
