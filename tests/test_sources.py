@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.lineage import cut
+from weftline.operators.lineage import cut, forget_all
 from weftline.plans import pipelines as pipe
 from weftline.sources import calendar, files, sinks
 from weftline.sources.market import MarketSource
@@ -95,6 +95,13 @@ def test_cut_survives_void_and_clashes(spark):
     assert df.count() == 3 and df.dtypes[1] == ("nothing", "string")
 
 
+def test_copies_are_deleted(spark):
+    df = cut(spark.range(3))
+    assert forget_all(spark) >= 1 and forget_all(spark) == 0
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        df.count()
+
+
 def test_rotation_counter_in_stream_equals_loop(spark, tmp_path):
     rows = [("a", 0), ("a", 600), ("a", 1200), ("a", 1800), ("b", 0), ("b", 1260), ("b", 2520), ("a", 90000)]
     spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.parquet(str(tmp_path / "in"))

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from weftline.session import checkpoint_dir
 
 
+_WRITTEN: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -22,6 +25,7 @@ def cut(df: DataFrame) -> DataFrame:
         if kind == "void":
             df = df.withColumn(name, df[name].cast("string"))
     df.write.parquet(path)
+    _WRITTEN.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._weftline_path = path
     return out
@@ -34,6 +38,14 @@ def forget(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def forget_all(spark: SparkSession) -> int:
+    """Delete every copy this process has made; call it when no result that reads one is open any more."""
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        remove(spark, _WRITTEN.pop())
+    return n
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

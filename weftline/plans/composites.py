@@ -349,3 +349,51 @@ def t07_rotation_stream(s: SparkSession, d: str) -> DataFrame:
 def t08_stream_upsert(s: SparkSession, d: str) -> DataFrame:
     e = streams.table_stream(s, d, "events")
     return _run(s, e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last")), ["user_id"])
+
+
+@query("""WITH l AS (SELECT o_custkey, strftime(o_orderdate, '%Y') AS year, round(sum(o_totalprice), 2)::DOUBLE AS spend, count(*)::DOUBLE AS orders FROM orders GROUP BY ALL), u AS (UNPIVOT l ON spend, orders INTO NAME metric VALUE value),
+r AS (SELECT year, o_custkey, metric, value, row_number() OVER (PARTITION BY year, metric ORDER BY value DESC NULLS LAST, o_custkey)::INT AS rank FROM u), p AS (SELECT *, lag(rank) OVER (PARTITION BY o_custkey, metric ORDER BY year) AS prior_rank FROM r)
+SELECT o_custkey, metric, year, value, rank, prior_rank FROM p WHERE year = (SELECT max(year) FROM l)""")
+def c13_rank_history(s: SparkSession, d: str) -> DataFrame:
+    m = table(s, d, "orders").groupBy("o_custkey", F.date_format("o_orderdate", "yyyy").alias("year")).agg(F.round(F.sum("o_totalprice"), 2).alias("spend"), F.count(F.lit(1)).cast("double").alias("orders"))
+    ranks = rel.rank_metrics(m, "o_custkey", ["spend", "orders"], ["year"])
+    day = m.agg(F.max("year")).first()[0]
+    now, before = ranks.where(F.col("year") == day), ranks.where(F.col("year") < F.lit(day))
+    return rel.asof_prior(now, before.select("o_custkey", "metric", "year", "rank"), ["o_custkey", "metric"], "year", ["rank"])
+
+
+@query("SELECT exchange, strftime(date, '%Y-%m') AS month, count(*) FILTER (WHERE exchange <> 'MAIN' OR name IS NOT NULL) AS n FROM stockcodename GROUP BY ALL HAVING n > 0")
+def w01_overwrite_partitions(s: SparkSession, d: str) -> DataFrame:
+    """All partitions are written, then those of one exchange again without nameless rows."""
+    from weftline.sources.sinks import overwrite_partitions
+
+    path = f"{checkpoint_dir(s).rstrip('/')}/partitions-{uuid.uuid4().hex}"
+    t = table(s, d, "stockcodename").withColumn("month", F.date_format("date", "yyyy-MM"))
+    overwrite_partitions(t, path, ["exchange", "month"])
+    overwrite_partitions(t.where("exchange = 'MAIN' and name is not null"), path, ["exchange", "month"])
+    return s.read.parquet(path).groupBy("exchange", F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY 1")
+def w09_snapshot(s: SparkSession, d: str) -> DataFrame:
+    """Two versions are published; readers see the second."""
+    from weftline.sources.sinks import current_snapshot, publish_snapshot
+
+    root = f"{checkpoint_dir(s).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    publish_snapshot(table(s, d, "customer"), root)
+    publish_snapshot(current_snapshot(s, root).where("c_acctbal > 0"), root)
+    return current_snapshot(s, root).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_LISTS + f", k AS (SELECT coalesce(n.exchange, o.exchange) AS exchange, coalesce(n.ticker, o.ticker) AS ticker, coalesce(n.name, o.name) AS name FROM n FULL JOIN o ON {_ON}) SELECT exchange, count(*) AS n, count(name) AS named FROM k GROUP BY 1")
+def u07_merge_policies(s: SparkSession, d: str) -> DataFrame:
+    """Sparse merge: what is unknown in the new listing keeps its known name."""
+    old, new = _listings(s, d)
+    return state.upsert(old, new, KEY, merge="sparse").groupBy("exchange").agg(F.count(F.lit(1)).alias("n"), F.count("name").alias("named"))
+
+
+@query("SELECT company_id, alias FROM (SELECT DISTINCT company_id, alias FROM company_alias WHERE company_id IS NOT NULL AND alias IS NOT NULL UNION SELECT company_id, canonical_name FROM dim_company WHERE company_id % 3 = 0 AND canonical_name IS NOT NULL)")
+def u15_review(s: SparkSession, d: str) -> DataFrame:
+    a = table(s, d, "company_alias").where("company_id is not null and alias is not null").select("company_id", F.col("alias").alias("name")).distinct()
+    q = table(s, d, "dim_company").where("canonical_name is not null").select("company_id", F.col("canonical_name").alias("name"), F.when(F.col("company_id") % 3 == 0, "ACCEPTED").otherwise("REJECTED").alias("decision"))
+    return pipe.apply_review(q, a).select("company_id", F.col("name").alias("alias"))
