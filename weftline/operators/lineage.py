@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from weftline.session import checkpoint_dir
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that is heavy per row.
+
+    A small table often is one file and would keep one core busy. Inputs that
+    already fill the cores, as all large ones do, are left as they are: they
+    are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 _WRITTEN: list[str] = []
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weftline.functions import hashing, text
-from weftline.operators.lineage import cut, forget
+from weftline.operators.lineage import cut, forget, spread
 
 
 def candidate_pairs(df: DataFrame, row_id: str, buckets: Column) -> DataFrame:
@@ -73,7 +73,8 @@ def near_duplicates(docs: DataFrame, doc_id: str, column: str, *, words: int = 5
     class but their own.
     """
     # tokens are made once: what follows reads the written copy
-    rows = cut(docs.select(F.col(doc_id).alias("d"), F.array_join(text.tokens(F.col(column)), " ").alias("t")))
+    rows = spread(docs.select(F.col(doc_id).alias("d"), F.col(column).alias("t")), "d")
+    rows = cut(rows.select("d", F.array_join(text.tokens(F.col("t")), " ").alias("t")))
     rows = rows.withColumn("key", F.when(F.col("t") != "", F.md5("t")))
     texts = cut(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("d").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("t").alias("t")).withColumn("t", F.split("t", " ")))
     shingled = texts.select("id", F.transform(text.shingles(F.col("t"), words), lambda s: F.xxhash64(s)).alias("s"))
