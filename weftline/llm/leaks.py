@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.lineage import spread
+
 RUN = 60
 BLOCK_LEN = 12
 #: Characters of items per pass over the corpus; larger item sets are searched in several passes.
@@ -87,7 +89,7 @@ def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
     are kept as ids. An id column of the same name in both is not confused.
     """
     doc_type, item_type = docs.schema[doc_id].dataType, items.schema[item_id].dataType
-    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull())
+    rows = spread(docs.select(F.col(doc_id).alias("d"), F.col(text).cast("string").alias("t")).where(F.col("t").isNotNull()), "d")
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 

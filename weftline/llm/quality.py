@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.lineage import cut
+from weftline.operators.lineage import cut, spread
 
 STATES = ("prose", "list", "table", "junk")
 #: Lines longer than this are labelled in pieces, cut at white space.
@@ -252,7 +252,7 @@ def observe_lines(docs: DataFrame, doc_id: str, text: str, common: frozenset[str
 
     A line takes FEATURES + 1 bytes; rules are 0 to 3, or 4 where they can't tell.
     """
-    rows = docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
+    rows = spread(docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")), "d")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
