@@ -218,3 +218,13 @@ def test_sketches(spark):
     both = hashing.add_minhash(df.select("x", "z", hashing.minhash(F.col("x"), 16).alias("m")), F.col("x"), "a", 16).select("m", "a").first()
     assert both["m"] == both["a"] and hashing.add_minhash(df, F.col("z"), "a").first()["a"] is None
     assert r["t"] == pytest.approx(3 / 6) and -(2**63) <= r["b"] < 2**63
+
+
+def test_dictionary_matches_every_title(spark, tmp_path):
+    from weftline.plans.composites import c15_dictionary
+
+    titles = ["galaxy s24", "ＧＡＬＡＸＹ　Ｓ２４", "갤럭시 S24", "갤럭시 s24", "gal​axy s 24", "Straße①", "gаlаxy", "—", None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "post_id long, title string").write.parquet(f"{tmp_path}/ss_normalized_posts.parquet")
+    spark.createDataFrame([("S24", ["galaxys24", "갤럭시s24"]), ("Street", ["strasse1"])], "name string, aliases_keyb array<string>").write.parquet(f"{tmp_path}/phone_models.parquet")
+    got = {r["title"]: r["names"] for r in c15_dictionary(spark, str(tmp_path)).collect()}
+    assert got == dict(zip(titles[:-1], ["S24", "S24", "S24", "S24", "S24", "Street", "", ""]))

@@ -64,6 +64,12 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+@F.pandas_udf(StringType())
+def nfkc_fold(s: pd.Series) -> pd.Series:
+    """NFKC, then case folding."""
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())
+
+
 @F.pandas_udf(StringType())
 def unaccent(s: pd.Series) -> pd.Series:
     """Without combining marks; Hangul stays composed."""

@@ -1,4 +1,4 @@
-"""Text, markup, URL and date expressions: Column in, Column out, all inside the JVM.
+"""Text, markup, URL and date expressions: Column in, Column out, inside the JVM but for ``key_a`` and ``key_b``.
 
 Classes of characters are spelled out, so results do not depend on a regular
 expression dialect. A null input gives null unless stated otherwise.
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.names import nfkc_fold
+
 WORD_CLASS = "0-9a-z가-힣"
 
 
@@ -27,10 +29,8 @@ def shingles(words: Column, k: int = 5) -> Column:
 
 
 def key_a(c: Column) -> Column:
-    """Lower-case letters, digits, Hangul, + and single spaces; full-width ASCII made half-width."""
-    wide = "".join(map(chr, range(0xFF01, 0xFF5F)))
-    s = F.lower(F.translate(F.translate(c, wide, "".join(map(chr, range(0x21, 0x7F)))), "　", " "))
-    return F.trim(F.regexp_replace(F.regexp_replace(s, f"[^{WORD_CLASS}+ ]", " "), " +", " "))
+    """Lower-case letters, digits, Hangul, + and single spaces, after NFKC and case folding (an Arrow function)."""
+    return F.trim(F.regexp_replace(F.regexp_replace(nfkc_fold(c), f"[^{WORD_CLASS}+ ]", " "), " +", " "))
 
 
 def key_b(c: Column) -> Column:

@@ -292,7 +292,8 @@ a AS (SELECT '(' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DE
 SELECT title, array_to_string(list_transform(regexp_extract_all(k, p, 1), lambda x: m[x]), ',') AS names FROM k, a""")
 def c15_dictionary(s: SparkSession, d: str) -> DataFrame:
     terms = {r["term"]: r["name"] for r in table(s, d, "phone_models").select("name", F.explode("aliases_keyb").alias("term")).where("term <> ''").groupBy("term").agg(F.min("name").alias("name")).collect()}
-    p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").distinct().where(F.col("title").rlike("^[ -~가-힣ㄱ-ㅣ]*$"))
+    # the SQL covers plain titles only: DuckDB has no NFKC
+    p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").distinct()
     return pipe.match_dictionary(p, "title", terms).select("title", F.array_join("names", ",").alias("names"))
 
 
