@@ -228,3 +228,24 @@ def test_dictionary_matches_every_title(spark, tmp_path):
     spark.createDataFrame([("S24", ["galaxys24", "갤럭시s24"]), ("Street", ["strasse1"])], "name string, aliases_keyb array<string>").write.parquet(f"{tmp_path}/phone_models.parquet")
     got = {r["title"]: r["names"] for r in c15_dictionary(spark, str(tmp_path)).collect()}
     assert got == dict(zip(titles[:-1], ["S24", "S24", "S24", "S24", "S24", "Street", "", ""]))
+
+
+def test_sketch_links_recall(spark, tmp_path):
+    from weftline.plans.composites import c03_sketch_links
+
+    rng = random.Random(5)
+    docs = []
+    for base in range(40):
+        words = [f"b{base}w{rng.randrange(10**6)}" for _ in range(150)]
+        docs.append(words)
+        for changes in (1, 2, 3, 3, 4, 8):
+            docs.append([f"x{rng.randrange(10**6)}" if i in spots else w for spots in [set(rng.sample(range(150), changes))] for i, w in enumerate(words)])
+    data = [*enumerate(" ".join(w) for w in docs), (900, " ".join(docs[0]).upper()), (901, None), (902, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    sets = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in docs]
+    exact = {(i, j): round(len(x & y) / len(x | y), 6) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and len(x & y) / len(x | y) >= 0.8}
+    got = {(r["a"], r["b"]): r["similarity"] for r in c03_sketch_links(spark, str(tmp_path)).collect()}
+    assert got.pop((0, 900)) == 1.0  # a copy
+    assert sum(r["links"] for r in pairs.near_duplicates(df.where("doc_id < 900"), "doc_id", "text").collect()) == 2 * len(exact)
+    assert got.items() <= exact.items() and len(got) >= 0.98 * len(exact) > 50

@@ -63,6 +63,16 @@ def jaccard_links(df: DataFrame, row_id: str, items: str, least: float) -> DataF
     return both.select("a", "b", F.round(hashing.set_similarity(F.col("sa"), F.col("sb")), 6).alias("similarity")).where(F.col("similarity") >= least - 1e-9)
 
 
+def _distinct_texts(docs: DataFrame, doc_id: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """(d, t, key) per document and (key, id, copies, t) per distinct token sequence: ``id`` is its least document, ``t`` its tokens."""
+    # tokens are made once: what follows reads the written copy
+    rows = spread(docs.select(F.col(doc_id).alias("d"), F.col(column).alias("t")), "d")
+    rows = cut(rows.select("d", F.array_join(text.tokens(F.col("t")), " ").alias("t")))
+    rows = rows.withColumn("key", F.when(F.col("t") != "", F.md5("t")))
+    texts = cut(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("d").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("t").alias("t")).withColumn("t", F.split("t", " ")))
+    return rows, texts
+
+
 def near_duplicates(docs: DataFrame, doc_id: str, column: str, *, words: int = 5, least: float = 0.8) -> DataFrame:
     """(doc_id, class_id, copies, links): one row per document.
 
@@ -72,11 +82,7 @@ def near_duplicates(docs: DataFrame, doc_id: str, column: str, *, words: int = 5
     texts it is linked to. Texts without a word, and null texts, are in no
     class but their own.
     """
-    # tokens are made once: what follows reads the written copy
-    rows = spread(docs.select(F.col(doc_id).alias("d"), F.col(column).alias("t")), "d")
-    rows = cut(rows.select("d", F.array_join(text.tokens(F.col("t")), " ").alias("t")))
-    rows = rows.withColumn("key", F.when(F.col("t") != "", F.md5("t")))
-    texts = cut(rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("d").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("t").alias("t")).withColumn("t", F.split("t", " ")))
+    rows, texts = _distinct_texts(docs, doc_id, column)
     shingled = texts.select("id", F.transform(text.shingles(F.col("t"), words), lambda s: F.xxhash64(s)).alias("s"))
     links = cut(jaccard_links(shingled, "id", "s", least))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
@@ -85,13 +91,29 @@ def near_duplicates(docs: DataFrame, doc_id: str, column: str, *, words: int = 5
     return rows.select("d", "key").join(classes, "key", "left").select(F.col("d").alias(doc_id), F.coalesce("class_id", "d").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def lsh_links(sigs: DataFrame, row_id: str, sketch: str, *, count: int = 32, rows: int = 4, least: float = 0.8) -> DataFrame:
-    """(a, b, similarity) of rows whose MinHash sketches share a band and agree in ``least`` of their positions."""
+def lsh_links(sigs: DataFrame, row_id: str, sketch: str, items: str, *, count: int = 32, rows: int = 4, least: float = 0.8) -> DataFrame:
+    """(a, b, similarity), a < b, of rows whose MinHash sketches share a band and whose sets of ``items`` reach ``least``.
+
+    The sketch only proposes pairs; similarity is the exact one of the sets.
+    """
     keys = F.transform(hashing.bands(F.col(sketch), count, rows), lambda b: F.concat_ws(":", b["position"].cast("string"), b["value"]))
     pairs = candidate_pairs(sigs.where(F.col(sketch).isNotNull()), row_id, keys)
-    s = sigs.select(F.col(row_id).alias("id"), F.col(sketch).alias("s"))
+    s = sigs.select(F.col(row_id).alias("id"), F.col(items).alias("s"))
     both = pairs.join(s.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(s.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", hashing.sketch_jaccard(F.col("sa"), F.col("sb")).alias("similarity")).where(F.col("similarity") >= least)
+    return both.select("a", "b", F.round(hashing.set_similarity(F.col("sa"), F.col("sb")), 6).alias("similarity")).where(F.col("similarity") >= least - 1e-9)
+
+
+def sketch_links(docs: DataFrame, doc_id: str, column: str, *, words: int = 5, least: float = 0.8) -> DataFrame:
+    """(a, b, similarity), a < b: links that MinHash bands find; their components are the classes of ``near_duplicates``, up to recall.
+
+    Equal token sequences are one text for the search: its least document is
+    linked to each of its others, at 1, and to those of like texts.
+    """
+    rows, texts = _distinct_texts(docs, doc_id, column)
+    copies = rows.join(texts.select("key", "id"), "key").where("d <> id").select(F.col("id").alias("a"), F.col("d").alias("b"), F.lit(1.0).alias("similarity"))
+    sets = texts.select("id", F.array_distinct(text.shingles(F.col("t"), words)).alias("g"))
+    sigs = hashing.add_minhash(sets, F.col("g"), "m").select("id", "m", F.transform("g", lambda x: F.xxhash64(x)).alias("s"))
+    return lsh_links(cut(sigs), "id", "m", "s", least=least).union(copies)
 
 
 def knn_trigram(left: DataFrame, right: DataFrame, name: str, k: int, least: float = 0.0) -> DataFrame:

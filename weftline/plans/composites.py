@@ -205,9 +205,8 @@ def c03_near_duplicates(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def c03_sketch_links(s: SparkSession, d: str) -> DataFrame:
-    """Links found by MinHash bands and confirmed by the sketch; titles as texts, words as items."""
-    p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").groupBy("title").agg(F.count(F.lit(1)).alias("posts")).withColumn("id", hashing.hash60(F.col("title")))
-    return pairs.lsh_links(cut(hashing.add_minhash(p.select("id", "title"), text.tokens(F.col("title")), "m", 32).select("id", "m")), "id", "m", count=8, rows=4)
+    """Links of documents found by MinHash bands and confirmed on their shingles; tests compare it with the exact join."""
+    return pairs.sketch_links(table(s, d, "documents"), "doc_id", "text")
 
 
 @query("""WITH RECURSIVE m AS (SELECT c_nationkey AS g, c_acctbal AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer QUALIFY r <= 8),
