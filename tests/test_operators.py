@@ -249,3 +249,13 @@ def test_sketch_links_recall(spark, tmp_path):
     assert got.pop((0, 900)) == 1.0  # a copy
     assert sum(r["links"] for r in pairs.near_duplicates(df.where("doc_id < 900"), "doc_id", "text").collect()) == 2 * len(exact)
     assert got.items() <= exact.items() and len(got) >= 0.98 * len(exact) > 50
+
+
+def test_strip_html_of_texts_without_tags(spark, tmp_path):
+    import hashlib
+
+    from weftline.plans.functions import f15_strip_html
+
+    spark.createDataFrame([(1, "<p>a</p>"), (2, "a&nbsp;&amp;&lt;b"), (3, " a\n\tb "), (4, "ab"), (5, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert rows(f15_strip_html(spark, str(tmp_path))) == {(1, md5("a")), (2, md5("a &<b")), (3, md5("a b")), (4, md5("ab"))}

@@ -105,7 +105,8 @@ def f14_keys(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\r\\n\\x{A0}]+', ' ', 'g'))) AS plain FROM documents WHERE contains(text, '<')")
 def f15_strip_html(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where(F.contains("text", F.lit("<"))).select("doc_id", F.md5(text.strip_html(F.col("text"))).alias("plain"))
+    # the SQL covers documents with tags only
+    return table(s, d, "documents").where("text is not null").select("doc_id", F.md5(text.strip_html(F.col("text"))).alias("plain"))
 
 
 @query("SELECT DISTINCT url, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) || regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1) AS norm FROM deals WHERE url IS NOT NULL")
