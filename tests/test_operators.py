@@ -259,3 +259,26 @@ def test_strip_html_of_texts_without_tags(spark, tmp_path):
     spark.createDataFrame([(1, "<p>a</p>"), (2, "a&nbsp;&amp;&lt;b"), (3, " a\n\tb "), (4, "ab"), (5, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
     assert rows(f15_strip_html(spark, str(tmp_path))) == {(1, md5("a")), (2, md5("a &<b")), (3, md5("a b")), (4, md5("ab"))}
+
+
+def test_sketches_of_documents(spark, tmp_path):
+    import hashlib
+
+    from weftline.plans import functions as plan
+
+    rng = random.Random(6)
+    words = [[f"w{rng.randrange(60)}x" for _ in range(rng.choice((3, 40, 5000)))] for _ in range(20)] + [[]]
+    data = [(i * 50, " ".join(w)) for i, w in enumerate(words)] + [(7, None)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    number = lambda x, n: int(hashlib.md5(x.encode()).hexdigest()[:n], 16)
+    want_sim, sketch = {}, {}
+    for i, w in enumerate(words):
+        h = [number("0|" + x, 15) for x in w]
+        want_sim[i * 50] = sum(1 << b for b in range(60) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        g = {" ".join(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {*w}
+        small = [number(x, 7) for x in g]
+        sketch[i * 50] = [min((x * a + b) % hashing.PRIME for x in small) for a, b in map(hashing.permutation, range(128))] if g else None
+    assert dict(rows(plan.f04_simhash_documents(spark, str(tmp_path)))) == want_sim
+    assert dict(rows(plan.f05_minhash_documents(spark, str(tmp_path)))) == {k: v and ",".join(map(str, v)) for k, v in sketch.items()}
+    got = [tuple(r) for r in plan.f06_sketch_jaccard_documents(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted((q, k, sum(x == y for x, y in zip(a, b)) / 128 if a and b else 0.0) for q, a in sketch.items() if q % 100 == 0 for k, b in sketch.items())

@@ -97,6 +97,23 @@ def simhash60(items: Column) -> Column:
     return F.when(n > 0, half(low) + half(high) * (1 << 30)).otherwise(F.lit(0).cast("long"))
 
 
+@F.pandas_udf(T.LongType())
+def _simhash(hashes: pd.Series) -> pd.Series:
+    bits = np.arange(60, dtype=np.int64)
+
+    def one(h) -> int:
+        h = np.asarray(h, dtype=np.int64)
+        count = sum(((h[i : i + 4096, None] >> bits) & 1).sum(axis=0) for i in range(0, len(h), 4096))
+        return int(((2 * count > len(h)).astype(np.int64) << bits).sum())
+
+    return hashes.map(lambda h: 0 if h is None or not len(h) else one(h))
+
+
+def add_simhash(df: DataFrame, items: Column, name: str) -> DataFrame:
+    """``df`` and the column ``simhash60(items)``, counted over Arrow batches in numpy."""
+    return df.withColumn("__h", F.transform(items, lambda x: hash60(x))).withColumn(name, _simhash("__h")).drop("__h")
+
+
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -116,6 +120,30 @@ def sketch_links(docs: DataFrame, doc_id: str, column: str, *, words: int = 5, l
     return lsh_links(cut(sigs), "id", "m", "s", least=least).union(copies)
 
 
+def sketch_similarities(queries: DataFrame, sigs: DataFrame, row_id: str, sketch: str, n: int = 128, block: int = 128) -> DataFrame:
+    """(query, row_id, similarity): ``sketch_jaccard`` of every query with every row, itself included; ids are long, sketches have ``n`` positions.
+
+    Rows meet in blocks of about ``block``, compared in numpy. Missing
+    sketches are 0 similar to all.
+    """
+
+    def blocks(df: DataFrame, side: str, none: int) -> DataFrame:
+        parts = df.count() // block + 1
+        m = F.coalesce(F.col(sketch), F.array_repeat(F.lit(none).cast("long"), n)).cast("array<int>")
+        return df.select(F.pmod(F.xxhash64(row_id), F.lit(parts)).alias("at"), F.struct(F.col(row_id).alias("i"), m.alias("m")).alias("r")).groupBy("at").agg(F.collect_list("r").alias("r")).select(F.col("r.i").alias(f"{side}i"), F.flatten("r.m").alias(f"{side}m"))
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                qi, qm, ri, rm = (np.asarray(b.column(c)[k].values) for c in range(4))
+                q, r = qm.reshape(len(qi), -1), rm.reshape(len(ri), -1)
+                same = np.stack([(r == one).mean(axis=1) for one in q])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qi, len(ri))), pa.array(np.tile(ri, len(qi))), pa.array(same.ravel())], ["query", row_id, "similarity"])
+
+    both = blocks(queries, "q", -2).crossJoin(blocks(sigs, "r", -1))
+    return both.select("qi", "qm", "ri", "rm").mapInArrow(compare, f"query long, `{row_id}` long, similarity double")
+
+
 def knn_trigram(left: DataFrame, right: DataFrame, name: str, k: int, least: float = 0.0) -> DataFrame:
     """(left name, right name, similarity, place): the k most similar right names that share a trigram.
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import hashing, names, text, values
+from weftline.operators import pairs
+from weftline.operators.lineage import cut, spread
 from weftline.plans.relational import _TRIGRAMS
 from weftline.sources.tables import table
 
@@ -69,6 +71,30 @@ def f06_sketch_jaccard(s: SparkSession, d: str) -> DataFrame:
     return m.crossJoin(F.broadcast(one)).select("p_partkey", hashing.sketch_jaccard(F.col("m"), F.col("one")).alias("similarity"))
 
 
+def _shingled(s: SparkSession, d: str) -> DataFrame:
+    docs = spread(table(s, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id")
+    # tokens are written first: within the lambda of shingles they would be made again for every run
+    return cut(docs.select("doc_id", text.tokens(F.col("text")).alias("t"))).select("doc_id", text.shingles(F.col("t")).alias("g"))
+
+
+@query()
+def f04_simhash_documents(s: SparkSession, d: str) -> DataFrame:
+    docs = spread(table(s, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id")
+    return hashing.add_simhash(docs, text.tokens(F.col("text")), "simhash").select("doc_id", "simhash")
+
+
+@query()
+def f05_minhash_documents(s: SparkSession, d: str) -> DataFrame:
+    return hashing.add_minhash(_shingled(s, d), F.col("g"), "m").select("doc_id", F.array_join("m", ",").alias("sketch"))
+
+
+@query()
+def f06_sketch_jaccard_documents(s: SparkSession, d: str) -> DataFrame:
+    """Every document with an id divisible by 100 against all."""
+    m = cut(hashing.add_minhash(_shingled(s, d), F.col("g"), "m").select(F.col("doc_id").cast("long").alias("doc_id"), "m"))
+    return pairs.sketch_similarities(m.where("doc_id % 100 = 0"), m, "doc_id", "m")
+
+
 @query("SELECT post_id, url, CASE WHEN regexp_matches(url, '^[a-zA-Z]+://') THEN lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) || '/' || list_last(string_split(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1), '/')) ELSE url END AS token FROM (SELECT DISTINCT post_id, url FROM ss_normalized_posts)")
 def f09_image_token(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "ss_normalized_posts").select("post_id", "url").distinct().select("post_id", "url", text.image_token(F.col("url")).alias("token"))
