@@ -282,3 +282,9 @@ def test_sketches_of_documents(spark, tmp_path):
     assert dict(rows(plan.f05_minhash_documents(spark, str(tmp_path)))) == {k: v and ",".join(map(str, v)) for k, v in sketch.items()}
     got = [tuple(r) for r in plan.f06_sketch_jaccard_documents(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted((q, k, sum(x == y for x, y in zip(a, b)) / 128 if a and b else 0.0) for q, a in sketch.items() if q % 100 == 0 for k, b in sketch.items())
+
+
+def test_html_blocks_keep_long_addresses(spark):
+    address = "data:image/png;base64," + "A" * 1_200_000
+    blocks = spark.createDataFrame([(f'a<img src="{address}">b',)], "c string").select(text.html_blocks(F.col("c"))).first()[0]
+    assert [tuple(b) for b in blocks] == [("text", "a"), ("image", address), ("text", "b")]

@@ -49,7 +49,7 @@ def strip_html(c: Column) -> Column:
 def html_blocks(c: Column) -> Column:
     """Ordered blocks of a fragment: array<struct<kind, value>> of text runs and image addresses."""
     cells = F.split(F.regexp_replace(c, r"(?is)<img[^<>]*?src=[\"']?([^\"' >]+)[^<>]*>", "\u0001\u0002$1\u0001"), "\u0001")
-    blocks = F.transform(cells, lambda x: F.when(x.startswith("\u0002"), F.struct(F.lit("image").alias("kind"), F.substring(x, 2, 1_000_000).alias("value"))).otherwise(F.struct(F.lit("text").alias("kind"), strip_html(x).alias("value"))))
+    blocks = F.transform(cells, lambda x: F.when(x.startswith("\u0002"), F.struct(F.lit("image").alias("kind"), F.substring(x, F.lit(2), F.length(x)).alias("value"))).otherwise(F.struct(F.lit("text").alias("kind"), strip_html(x).alias("value"))))
     return F.filter(blocks, lambda b: b["value"] != "")
 
 
