@@ -130,3 +130,60 @@ def test_lines_and_shares(spark):
     stats = {r["id"]: r for r in quality.statistics(df, "id", "text", common).collect()}
     assert stats[900]["words"] == stats[901]["words"] == 0 and stats[901]["symbol_ratio"] is None
     assert stats[903]["words"] == 3000 * len(PROSE.split())
+
+
+def brute_posteriors(model, levels):
+    """Posterior of every line by summing over all sequences of states."""
+    import itertools
+
+    like = model.weigh(levels)
+    total = [[0.0] * quality.K for _ in levels]
+    for states in itertools.product(range(quality.K), repeat=len(levels)):
+        p = model.start[states[0]] * like[0][states[0]]
+        for i in range(1, len(levels)):
+            p *= model.move[states[i - 1]][states[i]] * like[i][states[i]]
+        for i, k in enumerate(states):
+            total[i][k] += p
+    return [[x / sum(row) for x in row] for row in total]
+
+
+def test_forward_backward_equals_enumeration():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.integers(0, 50, quality.K), rng.integers(0, 50, (quality.K, quality.K)), rng.integers(0, 90, (2, quality.K, quality.FEATURES, 8)))
+    count = np.array([3, 0, 5, 1, 4])
+    levels = rng.integers(0, 3, (13, quality.FEATURES)).astype(np.uint8)
+    moves = np.zeros((quality.K, quality.K), np.int64)
+    got = model.posteriors(levels, count, moves)
+    at = 0
+    for n in count:
+        if n:
+            assert got[at : at + n] == pytest.approx(np.array(brute_posteriors(model, levels[at : at + n])))
+            # a document's result doesn't depend on those beside it
+            assert (model.posteriors(levels[at : at + n], np.array([n])) == got[at : at + n]).all()
+        at += n
+    assert moves.sum() == pytest.approx(9 * quality.UNIT, abs=9 * 16)
+
+
+def test_labels_come_from_the_model_alone(spark):
+    """Seeds are read by the first estimate only: other seeds in the written copy change no label of a given model."""
+    import numpy as np
+
+    common = frozenset("나는 뒤에 다음 것을 the was to and".split())
+    words = quality.Words(common)
+    texts = [t for ts in KINDS.values() for t in ts]
+    levels, seeds, _, count = quality.observe(texts, words)
+    first = quality.Model(np.ones(4), np.ones((4, 4)), np.ones((2, 4, quality.FEATURES, 8)))
+    assert np.allclose(first.posteriors(levels, count), 0.25, atol=0.25) and set(seeds) <= set(range(5))
+    # one observation per line, however long
+    long = " ".join([PROSE] * 500)
+    assert quality.observe([long], words)[3].tolist() == [1] and quality.observe([long], words)[2].tolist() == [len(long)]
+
+
+def test_shares_do_not_depend_on_partitions(spark):
+    docs = [(i, t) for i, t in enumerate(t for ts in KINDS.values() for t in ts * 3)]
+    df = spark.createDataFrame(docs, "id long, text string")
+    common = spark.createDataFrame([("나는",), ("the",), ("was",)], "word string")
+    one, many = (sorted(tuple(r) for r in quality.line_shares(df.repartition(n), "id", "text", common).collect()) for n in (1, 7))
+    assert one == many

@@ -4,20 +4,27 @@ Every line is prose, list, table or junk. Its statistics (shares of letters,
 digits, symbols, foreign characters, sentence ends, particles, common words
 and so on), each cut into a few levels, are the observations of a hidden
 Markov model whose states are the four labels; the levels are taken as
-independent given the state and the prevailing script. Lines that plain rules can tell seed the model:
-their levels and successions are counted over all documents, and the model
-then labels all documents and is estimated once more from what it labelled.
-Only these counts, a few hundred numbers whatever the corpus, reach the driver.
+independent given the state and the prevailing script.
+
+Lines that plain signs can tell seed the model, once: their levels and
+successions are counted over all documents. From there on the model knows
+levels only. It is estimated again from the expected counts of the forward-
+backward algorithm over all documents, and a line's label is the state of
+greatest posterior probability. Only these counts, some 1,500 numbers whatever
+the corpus, reach the driver; they are whole numbers, so they don't depend on
+how the documents are partitioned.
+
+Nearly all statistics are sums over a line's words. A word is looked at once
+for each time a worker meets it anew; lines are sums of rows in numpy.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,218 +32,247 @@ from pyspark.sql import functions as F
 from weftline.operators.lineage import cut, spread
 
 STATES = ("prose", "list", "table", "junk")
-#: Lines longer than this are labelled in pieces, cut at white space.
-PIECE = 400
+PROSE, LIST, TABLE, JUNK, UNKNOWN = range(5)
+K = len(STATES)
 
 # Syllables Korean sentences and clauses end in, and particles.
-KO_END = re.compile(r"(?:[다요까죠네]|시오|음|함|것은|[나가]요|얼마인가|명인가)[)\"'”’]*[.!?~…\u3002]*[ㅎㅋㅠㅜ^~!]*$")
+KO_END = re.compile(r"(?:[다요까죠네]|시오|음|함|것은|[나가]요|[인는은]가)[)\"'”’]*[.!?~…\u3002]*[ㅎㅋㅠㅜ^~!]*$")
 KO_PARTICLE = re.compile(r"[가-힣](?:은|는|이|가|을|를|에|의|로|도|만|고|서|면|데|며|지|와|과|께|한|할|던|게|인|쯤|까지|부터|에서|지만|려고|으로|하고|처럼|보다|라고)[,.]?$")
 CLOSING = re.compile(r"[.!?~…。！？．][)\"'”’]*$")
 BULLET = re.compile(r"\s*(?:[-·•▶▷*+○●◦–—■□◆◇★☆#]|\d{1,3}[.)]|[①-⑳]|\[[^\]]*\]) ?\S")
 KEY_VALUE = re.compile(r"\s*\S{1,12}(?: \S{1,8})?\s*[:=]\s*\S+(?: \S+)?\s*$")
-COUNTER = re.compile(r"\[\d+\]\s*$")
-LINK = re.compile(r"(?:https?://|www\.)\S+")
+COUNTER = re.compile(r"\[\d+\]$")
+LINK = re.compile(r"(?:https?://|www\.)\S")
 HEX = re.compile(r"\b(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,}\b|\b[A-Za-z0-9+/]{40,}={0,2}")
 LOG = re.compile(r"\s*(?:\[?\d{4}-\d\d-\d\d[T ])?\d\d:\d\d:\d\d|\b(?:INFO|WARN|ERR|ERROR|DEBUG)\b")
 TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 ENTITY = re.compile(r"&#?\w+;|%[0-9A-F]{2}|�")
 GAPS = re.compile(r"\S {2,}\S")
 CONSONANTS = re.compile(r"[bcdfghjklmnpqrstvwxz]{4,}")
+VOWELS = re.compile("[aeiouyáé]")
 LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 EDGE = re.compile(r"^\W+|\W+$")
-
-
-def levels(value: float, cuts: tuple[float, ...]) -> int:
-    n = 0
-    for c in cuts:
-        if value > c:
-            n += 1
-    return n
-
-
-# The kinds of characters that lines are made of.
+# The kinds of characters that words are made of, and marks of amusement after a sentence.
 NOT_HANGUL, NOT_LATIN, NOT_DIGIT, NOT_JAMO = (re.compile(f"[^{k}]+") for k in ("가-힣", "A-Za-záéÁÉ", "0-9", "ㄱ-ㅣ"))
 NOT_SYMBOL = re.compile(r"[^!-/:-@\[-`{-~]+")
-OTHER = re.compile(r"[가-힣!-~ㄱ-ㅣáéÁÉ“”‘’…·\s\x00-\x1f\x7f]+")
-QUOTED = re.compile(r"\s*[>※]\s*")
+PLAIN = re.compile(r"[가-힣!-~ㄱ-ㅣáéÁÉ“”‘’…·\x00-\x1f\x7f]+")
+NOT_DELIMITER = re.compile(r"[^,|;:=<>{}\"#\[\]·/]+")
 REPEATED = re.compile(r"([.!?~…^])\1{2,}")
-
-
-def clean(line: str) -> str:
-    """Without marks of quotation or notice in front, invisible characters, dashes between all words, and repeats of closing marks beyond three."""
-    if 3 * line.count(" - ") > line.count(" ") > 8:
-        line = line.replace(" - ", " ")
-    line = REPEATED.sub(r"\1\1\1", QUOTED.sub("", line, count=1) if QUOTED.match(line) else line)
-    if line.isascii():
-        return line
-    return "".join(ch for ch in unicodedata.normalize("NFC", line) if unicodedata.category(ch) != "Cf")
-
-
-def observe(line: str, common: frozenset[str]) -> tuple[tuple[int, ...], str | None]:
-    """(levels of the line's statistics, label that plain rules give or None)."""
-    line = clean(line)
-    words = line.split()
-    nw, n = len(words), max(1, sum(map(len, words)))
-    # kinds of characters are counted by the regular expression engine, not one by one
-    hangul, latin, digit, jamo = (len(k.sub("", line)) for k in (NOT_HANGUL, NOT_LATIN, NOT_DIGIT, NOT_JAMO))
-    symbol = len(NOT_SYMBOL.sub("", line))
-    rest = OTHER.sub("", line)
-    odd = len(rest)
-    symbol += sum(not ch.isalnum() for ch in rest)
-    bare = [EDGE.sub("", w).lower() for w in words]
-    hits = [w in common for w in bare]
-    share_common = sum(hits) / max(1, nw)
-    runs = sum(a and b for a, b in zip(hits, hits[1:])) / max(1, nw - 1)
-    # frequent words tell nothing here: heaps are made of them
-    ko = [w for w, hit in zip(words, hits) if not hit and any("가" <= c <= "힣" for c in w)]
-    nk = max(1, len(ko))
-    particles = sum(bool(KO_PARTICLE.search(w)) for w in ko) / nk
-    ends = sum(bool(KO_END.search(w)) for w in ko)
-    latin_words = LATIN.findall(line)
-    nl = max(1, len(latin_words))
-    lower = sum(w.islower() for w in latin_words) / nl
-    garbled = sum(bool(CONSONANTS.search(w.lower())) and len(w) > 4 or len(w) > 3 and not re.search("[aeiouyáé]", w.lower()) for w in latin_words) / nl
-    closing = sum(bool(CLOSING.search(w)) for w in words)
-    delimiters = sum(line.count(c) for c in ",|\t;:=<>{}\"#[]·/") / max(1, nw)
-    entities = len(ENTITY.findall(line))
-    tags = len(TAG.findall(line))
-    gaps = len(GAPS.findall(line.strip()))
-    bullet = bool(BULLET.match(line))
-    last = bool(words) and bool(KO_END.search(re.sub(r"[ㅎㅋㅠㅜ~!.^?😀-🙏\s]+$", "", line.strip()).split(" ")[-1] if line.strip() else "") or CLOSING.search(words[-1]))
-    foreign = odd / n
-    seen = (
-        levels(hangul / n, (0.02, 0.3, 0.6, 0.85)),
-        levels(latin / n, (0.02, 0.3, 0.6, 0.9)),
-        levels(digit / n, (0.0, 0.08, 0.2, 0.4)),
-        levels(symbol / n, (0.01, 0.06, 0.12, 0.25, 0.5)),
-        levels(foreign, (0.0, 0.05, 0.2, 0.5)),
-        levels(share_common, (0.0, 0.12, 0.25, 0.42, 0.58, 0.75)),
-        levels(runs, (0.0, 0.15, 0.3, 0.5)),
-        levels(particles if ko else -1, (-0.5, 0.1, 0.25, 0.45)),
-        levels(ends / max(1, nw), (0.0, 0.04, 0.12, 0.25)),
-        levels(closing / max(1, nw), (0.0, 0.03, 0.08, 0.2)),
-        levels(lower if latin_words else -1, (-0.5, 0.2, 0.6, 0.9)),
-        levels(garbled if latin_words else -1, (-0.5, 0.05, 0.25, 0.5)),
-        levels(delimiters, (0.0, 0.12, 0.3, 0.7, 1.5)),
-        levels(nw, (1, 3, 6, 10, 25)),
-        levels(n / max(1, nw), (2.2, 3.2, 4.6, 6.5, 10)),
-        int(bullet),
-        int(last),
-        min(2, tags + (gaps > 1) + line.count("\t") + (line.count("|") > 2)),
-    )
-    return seen, _rule(line, words, nw, n, hangul, latin, digit, symbol, jamo, foreign, share_common, runs, particles, ends, ko, latin_words, lower, garbled, closing, delimiters, entities, tags, gaps, bullet, last)
-
-
-def _rule(line, words, nw, n, hangul, latin, digit, symbol, jamo, foreign, share_common, runs, particles, ends, ko, latin_words, lower, garbled, closing, delimiters, entities, tags, gaps, bullet, last) -> str | None:
-    if not words:
-        return None
-    if tags >= 4 or line.count("\t") >= 2 or line.count("|") >= 3 and line.strip()[0] == "|":
-        return "table"
-    if foreign > 0.3 or jamo / n > 0.4 or entities * 4 > nw and entities > 1 or symbol / n > 0.5 or HEX.search(line) and nw < 4:
-        return "junk"
-    if line.lstrip()[:1] in "{[" and line.count('":') >= 2 or LOG.match(line):
-        return "junk"
-    if len(latin_words) >= 4 and garbled > 0.4 and latin > hangul:
-        return "junk"
-    if nw >= 6 and hangul > latin and not closing and (share_common > 0.5 or share_common > 0.35 and not ends and particles < 0.3):
-        return "junk"
-    if nw >= 6 and share_common > 0.7:
-        return "junk"
-    if nw >= 8 and share_common > 0.6 and latin >= hangul and not closing and runs > 0.35:
-        return "junk"
-    cells = re.split(r" ?, ?", line)
-    if len(cells) >= 4 and sum(len(c.split()) <= 4 for c in cells) > 0.9 * len(cells) and not last:
-        return "table" if line.count(", ") < len(cells) / 2 else "list"
-    if gaps >= 2 and digit and nw < 12:
-        return "table"
-    if COUNTER.search(line) or LINK.search(line) and nw < 9 or KEY_VALUE.match(line):
-        return "list"
-    if words.count("|") + words.count(">") + words.count("·") > 0.15 * nw and nw > 5:
-        return "list"
-    if nw > 3 and sum(w[0] == "#" for w in words) > 0.6 * nw:
-        return "list"
-    # sentences: Korean with particles and an ending, English with function words in between
-    if len(ko) >= 3 and ends and (last or ends * 25 >= nw) and particles >= 0.15 and share_common < 0.5 and hangul >= latin * 0.5:
-        return "prose"
-    if len(latin_words) >= 7 and latin > hangul and 0.18 <= share_common <= 0.62 and lower > 0.45 and runs < 0.42 and closing and not bullet and (nw > 9 or line[:1].isupper()):
-        return "prose"
-    if latin > hangul and nw <= 12 and next((ch for ch in line if ch.isalpha()), "A").islower():
-        return "list"
-    if bullet and nw < 12 and not ends:
-        return "list"
-    if nw < 10 and not ends and not closing:
-        return "list"
-    return None
-
-
-def pieces(text: str) -> list[str]:
-    """Lines that hold more than white space; long ones in pieces."""
-    out = []
-    # a quotation is one line, however its lines were broken
-    text = re.sub(r"(?m)(^[ \t]*>[^\n]*)((?:\n[ \t]*>[^\n]*)+)", lambda m: m[1] + re.sub(r"\n[ \t]*>", " ", m[2]), text) if "\n>" in text else text
-    for line in re.split(r"[\n\r\v\f\x85\u2028\u2029]+", text):
-        if not line.strip():
-            continue
-        while len(line) > PIECE:
-            at = max((m.end() for m in re.finditer(r"[.!?] ", line[: PIECE + 1])), default=0) or line.rfind(" ", PIECE // 2, PIECE) + 1 or PIECE
-            out.append(line[:at])
-            line = line[at:]
-        if line.strip():
-            out.append(line)
-    return out
-
-
-#: Statistics of a line; each has at most 8 levels.
-FEATURES = 18
-#: Log probabilities that a rule names the label of a line, and that it names a given other one.
-TRUST, DOUBT = math.log(0.97), math.log(0.01)
-#: Weight of a line's statistics together: they are less independent than the model takes them to be.
-TEMPER = 0.5
-
-
-def latin_first(line: bytes) -> bool:
-    """Whether a line has more Latin letters than Hangul; levels are told apart by this as well as by the state."""
-    return line[1] > line[0]
+AMUSED = re.compile(r"[ㅎㅋㅠㅜ~!.^?😀-🙏]+$")
+QUOTATION = re.compile(r"(?m)(^[ \t]*>[^\n]*)((?:\n[ \t]*>[^\n]*)+)")
+
+#: What a word adds to its line.
+WORD = ["n", "hangul", "latin", "digit", "jamo", "symbol", "odd", "hit", "ko", "particle", "end", "closing", "runs", "lower", "garbled", "delimiters", "entities", "mark", "hash", "cells", "long_cell", "hex", "link", "finish", "count", "amused"]
+_AT = {name: i for i, name in enumerate(WORD)}
+#: Upper ends of the levels of each statistic; a statistic has at most 8 levels.
+CUTS = {
+    "hangul": (0.02, 0.3, 0.6, 0.85), "latin": (0.02, 0.3, 0.6, 0.9), "digit": (0.0, 0.08, 0.2, 0.4), "symbol": (0.01, 0.06, 0.12, 0.25, 0.5), "odd": (0.0, 0.05, 0.2, 0.5),
+    "common": (0.0, 0.12, 0.25, 0.42, 0.58, 0.75), "together": (0.0, 0.15, 0.3, 0.5), "particles": (-0.5, 0.1, 0.25, 0.45), "ends": (0.0, 0.04, 0.12, 0.25), "closing": (0.0, 0.03, 0.08, 0.2),
+    "lower": (-0.5, 0.2, 0.6, 0.9), "garbled": (-0.5, 0.05, 0.25, 0.5), "delimiters": (0.0, 0.12, 0.3, 0.7, 1.5), "words": (1, 3, 6, 10, 25), "length": (2.2, 3.2, 4.6, 6.5, 10),
+    "bullet": (0,), "last": (0,), "layout": (0, 1), "marks": (0.0, 0.08, 0.15, 0.3), "hashes": (0.0, 0.3, 0.6), "jamo": (0.0, 0.1, 0.4), "sign": (0, 1, 2, 3, 4, 5, 6),
+}
+FEATURES = len(CUTS)
+#: Expected counts are kept in whole units of this, so that their sums don't depend on their order.
+UNIT = 1 << 10
+#: Characters of texts that are observed at a time, and distinct words a worker remembers.
+CHUNK, MEMORY = 2_000_000, 200_000
+
+
+class Words(dict):
+    """Number of each word's row; rows are what words add to their lines."""
+
+    def __init__(self, common: frozenset[str]) -> None:
+        super().__init__()
+        self.common, self.new, self.rows = common, [], np.zeros((0, len(WORD)), np.int32)
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        self.new.append(self.look(word))
+        return at
+
+    def look(self, raw: str) -> list[int]:
+        w = raw if raw.isascii() else "".join(ch for ch in unicodedata.normalize("NFC", raw) if unicodedata.category(ch) != "Cf")
+        w = REPEATED.sub(r"\1\1\1", w)
+        hangul, latin, digit, jamo = (len(k.sub("", w)) for k in (NOT_HANGUL, NOT_LATIN, NOT_DIGIT, NOT_JAMO))
+        rest = PLAIN.sub("", w)
+        hit = EDGE.sub("", w).lower() in self.common
+        # frequent words tell nothing of sentences: heaps are made of them
+        ko = hangul > 0 and not hit
+        runs = LATIN.findall(w)
+        garbled = sum(bool(CONSONANTS.search(x.lower())) and len(x) > 4 or len(x) > 3 and not VOWELS.search(x.lower()) for x in runs)
+        finish = bool(KO_END.search(AMUSED.sub("", w)) or CLOSING.search(w))
+        end = ko and bool(KO_END.search(w))
+        symbol = len(NOT_SYMBOL.sub("", w)) + sum(not ch.isalnum() for ch in rest)
+        return [len(w), hangul, latin, digit, jamo, symbol, len(rest), hit, ko, ko and bool(KO_PARTICLE.search(w)), end, bool(CLOSING.search(w)), len(runs), sum(x.islower() for x in runs), garbled,
+                len(NOT_DELIMITER.sub("", w)), len(ENTITY.findall(w)), w in "|>·", w[:1] == "#", w.count(","), 0, bool(HEX.search(w)), bool(LINK.search(w)), finish, bool(COUNTER.search(w)), not AMUSED.sub("", w)]
+
+    def matrix(self) -> np.ndarray:
+        if self.new:
+            self.rows, self.new = np.concatenate([self.rows, np.array(self.new, dtype=np.int32)]), []
+        return self.rows
+
+
+def lines_of(text: str) -> list[str]:
+    """Lines that hold more than white space; a quotation is one line, however its lines were broken."""
+    if "\n>" in text or "\n " in text and ">" in text:
+        text = QUOTATION.sub(lambda m: m[1] + re.sub(r"\n[ \t]*>", " ", m[2]), text)
+    return [line for line in text.splitlines() if line and not line.isspace()]
+
+
+def observe(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(levels, seeds, sizes of all lines, number of lines of each text)."""
+    at: list[int] = []
+    first, extra, sizes, per = [], [], [], []
+    for text in texts:
+        lines = lines_of(text)
+        per.append(len(lines))
+        for line in lines:
+            ws = line.split()
+            if ws[0][0] in ">※":
+                ws[0] = ws[0][1:]
+                if not ws[0] and len(ws) > 1:
+                    ws.pop(0)
+            # dashes between all words are a way of writing
+            if len(ws) > 9 and 3 * (dashes := ws.count("-")) > len(ws) - 1 and dashes < len(ws):
+                ws = [w for w in ws if w != "-"]
+            tags = len(TAG.findall(line)) if "<" in line else 0
+            gaps = len(GAPS.findall(line.strip())) if "  " in line else 0
+            tabs, bars = line.count("\t"), line.count("|")
+            head = line.lstrip()
+            few = len(ws) < 6
+            extra.append((tags, gaps, tabs, bars, bool(BULLET.match(line)), head[:1] == "|", head[:1] in "{[" and line.count('":') > 1 or bool(LOG.match(line)), few and bool(KEY_VALUE.match(line)), _cells(line), _small_start(head), head[:1].isupper()))
+            first.append(len(at))
+            at.extend(map(words.__getitem__, ws))
+            sizes.append(len(line))
+    m, count = words.matrix(), np.array(per, dtype=np.int64)
+    if not first:
+        return np.zeros((0, FEATURES), np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.int64), count
+    idx, start = np.array(at, dtype=np.int64), np.array(first, dtype=np.int64)
+    stop = np.append(start[1:], len(idx))
+    s = dict(zip(WORD, np.add.reduceat(m[idx], start, axis=0).T))
+    hit = m[idx, _AT["hit"]].astype(bool)
+    pair = np.append(hit[1:] & hit[:-1], False)
+    pair[stop - 1] = False
+    together = np.add.reduceat(pair.astype(np.int64), start)
+    # the last word that isn't mere amusement
+    amused = m[idx, _AT["amused"]].astype(bool)
+    spoken = np.maximum.reduceat(np.where(amused, -1, np.arange(len(idx))), start)
+    last = m[np.where(spoken < 0, idx[stop - 1], idx[spoken]), _AT["finish"]].astype(bool) | m[idx[stop - 1], _AT["finish"]].astype(bool)
+    counter = m[idx[stop - 1], _AT["count"]].astype(bool)
+    x = dict(zip(("tags", "gaps", "tabs", "bars", "bullet", "bar", "log", "pair", "cells", "small", "capital"), np.array(extra, dtype=np.int64).T))
+    nw = stop - start
+    n = np.maximum(1, s["n"])
+    share = lambda a, b: a / np.maximum(1, b)
+    v = {
+        **{k: s[k] / n for k in ("hangul", "latin", "digit", "symbol", "odd")},
+        "common": share(s["hit"], nw), "together": share(together, nw - 1),
+        "particles": np.where(s["ko"] > 0, share(s["particle"], s["ko"]), -1), "ends": share(s["end"], nw), "closing": share(s["closing"], nw),
+        "lower": np.where(s["runs"] > 0, share(s["lower"], s["runs"]), -1), "garbled": np.where(s["runs"] > 0, share(s["garbled"], s["runs"]), -1),
+        "delimiters": share(s["delimiters"] + x["tabs"], nw), "words": nw, "length": n / np.maximum(1, nw),
+        "bullet": x["bullet"], "last": last, "layout": np.minimum(2, x["tags"] + (x["gaps"] > 1) + x["tabs"] + (x["bars"] > 2)),
+        "marks": share(s["mark"], nw), "hashes": share(s["hash"], nw), "jamo": s["jamo"] / n,
+        # what is either there or not, the rarest first
+        "sign": np.select([x["log"] > 0, (s["hex"] > 0) | (s["entities"] * 4 > nw), x["cells"] == 2, x["cells"] == 1, x["pair"] > 0, counter | (s["link"] > 0) & (nw < 9), (s["latin"] > s["hangul"]) & (nw <= 12) & (x["small"] > 0)], [1, 2, 3, 4, 5, 6, 7], 0),
+    }
+    levels = np.stack([np.searchsorted(c, v[k], side="left") for k, c in CUTS.items()], axis=1).astype(np.uint8)
+    return levels, _seeds(v, s, x, nw, n, last, counter), np.array(sizes, dtype=np.int64), count
+
+
+def _cells(line: str) -> int:
+    """0; 1 for a line of at least four short cells between commas, 2 if it has no spaces after them."""
+    if line.count(",") < 3:
+        return 0
+    cells = line.split(",")
+    short = sum(len(c.split()) <= 4 for c in cells) > 0.9 * len(cells)
+    return (2 if line.count(", ") < len(cells) / 2 else 1) if short else 0
+
+
+def _small_start(head: str) -> bool:
+    return next((ch for ch in head if ch.isalpha()), "A").islower()
+
+
+def _seeds(v: dict, s: dict, x: dict, nw: np.ndarray, n: np.ndarray, last: np.ndarray, counter: np.ndarray) -> np.ndarray:
+    """The label that plain signs give a line, UNKNOWN where none does; the first that holds counts."""
+    latin = s["latin"] > s["hangul"]
+    signs = [
+        ((x["tags"] >= 4) | (x["tabs"] >= 2) | (x["bars"] >= 3) & (x["bar"] > 0), TABLE),
+        ((v["odd"] > 0.3) | (v["jamo"] > 0.4) | (s["entities"] * 4 > nw) & (s["entities"] > 1) | (v["symbol"] > 0.5) | (s["hex"] > 0) & (nw < 4), JUNK),
+        (x["log"] > 0, JUNK),
+        ((s["runs"] >= 4) & (v["garbled"] > 0.4) & latin, JUNK),
+        ((nw >= 6) & (s["hangul"] > s["latin"]) & (s["closing"] == 0) & ((v["common"] > 0.5) | (v["common"] > 0.35) & (s["end"] == 0) & (v["particles"] < 0.3)), JUNK),
+        ((nw >= 6) & (v["common"] > 0.7), JUNK),
+        ((nw >= 8) & (v["common"] > 0.6) & ~(s["hangul"] > s["latin"]) & (s["closing"] == 0) & (v["together"] > 0.35), JUNK),
+        ((x["cells"] == 2) & ~last, TABLE),
+        ((x["cells"] == 1) & ~last, LIST),
+        ((x["gaps"] >= 2) & (s["digit"] > 0) & (nw < 12), TABLE),
+        (counter | (s["link"] > 0) & (nw < 9) | (x["pair"] > 0), LIST),
+        ((v["marks"] > 0.15) & (nw > 5), LIST),
+        ((nw > 3) & (v["hashes"] > 0.6), LIST),
+        # sentences: Korean with particles and an ending, English with function words in between
+        ((s["ko"] >= 3) & (s["end"] > 0) & (last | (s["end"] * 25 >= nw)) & (v["particles"] >= 0.15) & (v["common"] < 0.5) & (s["hangul"] >= s["latin"] * 0.5), PROSE),
+        ((s["runs"] >= 7) & latin & (v["common"] >= 0.18) & (v["common"] <= 0.62) & (v["lower"] > 0.45) & (v["together"] < 0.42) & (s["closing"] > 0) & (x["bullet"] == 0) & ((nw > 9) | (x["capital"] > 0)), PROSE),
+        (latin & (nw <= 12) & (x["small"] > 0), LIST),
+        ((x["bullet"] > 0) & (nw < 12) & (s["end"] == 0), LIST),
+        ((nw < 10) & (s["end"] == 0) & (s["closing"] == 0), LIST),
+    ]
+    return np.select([c for c, _ in signs], [np.uint8(k) for _, k in signs], default=np.uint8(UNKNOWN)).astype(np.uint8)
 
 
 class Model:
-    """Counts -> log probabilities, with one added to every count. A line is the bytes of its levels."""
-
-    def __init__(self, counts: dict[tuple[str, int, int, int], int]) -> None:
-        self.start = [self._log([counts.get(("start", s, 0, 0), 0) for s in range(4)])[s] for s in range(4)]
-        self.move = [self._log([counts.get(("move", s, 0, t), 0) + (20 if s == t else 1) for t in range(4)]) for s in range(4)]
-        self.emit = [[self._log([counts.get(("level", s, f, v), 0) for v in range(8)]) for f in range(FEATURES)] for s in range(8)]
-        self.memo: dict[tuple[bytes, int], list[float]] = {}
-
-    @staticmethod
-    def _log(row: list[int]) -> list[float]:
-        total = sum(row) + len(row)
-        return [math.log((x + 1) / total) for x in row]
-
-    def label(self, seen: list[bytes], rules: bytes) -> list[int]:
-        """Most probable states (Viterbi). Equal lines are weighed once; what rules say is one more observation."""
-        score, back = self.start, []
-        for i, obs in enumerate(zip(seen, rules)):
-            if (here := self.memo.get(obs)) is None:
-                told = [0.0] * 4 if obs[1] > 3 else [TRUST if s == obs[1] else DOUBT for s in range(4)]
-                script = 4 * latin_first(obs[0])
-                here = self.memo[obs] = [told[s] + TEMPER * sum(e[v] for e, v in zip(self.emit[script + s], obs[0])) for s in range(4)]
-            if i == 0:
-                score = [score[s] + here[s] for s in range(4)]
-                continue
-            step, new = [], []
-            for t in range(4):
-                best = max(range(4), key=lambda s: score[s] + self.move[s][t])
-                step.append(best)
-                new.append(score[best] + self.move[best][t] + here[t])
-            back.append(step)
-            score = new
-        state = max(range(4), key=lambda s: score[s])
-        out = [state]
-        for step in reversed(back):
-            state = step[state]
-            out.append(state)
-        return out[::-1]
+    """Whole-number counts -> log probabilities, with one added to every count."""
+
+    def __init__(self, start: np.ndarray, move: np.ndarray, level: np.ndarray) -> None:
+        log = lambda c: np.log((c + 1) / (c + 1).sum(axis=-1, keepdims=True))
+        self.start, self.move = np.exp(log(start)), np.exp(log(move + np.eye(K) * 20))
+        # level: script, state, statistic, level
+        self.emit = log(level)
+
+    def weigh(self, levels: np.ndarray) -> np.ndarray:
+        """Likelihood of every line in every state, but for a factor of the line."""
+        script = _script(levels)
+        out = np.zeros((len(levels), K))
+        for f in range(FEATURES):
+            out += self.emit[script, :, f, levels[:, f]]
+        return np.exp(out - out.max(axis=1, keepdims=True)) if len(out) else out
+
+    def posteriors(self, levels: np.ndarray, count: np.ndarray, moves: np.ndarray | None = None) -> np.ndarray:
+        """Forward-backward over all texts at once: probability of every state for every line.
+
+        ``moves`` takes up the expected moves from state to state, in UNITs.
+        """
+        here = self.weigh(levels)
+        first = np.cumsum(count) - count
+        order = np.argsort(-count, kind="stable")
+        first, longest = first[order], count[order]
+        alpha, beta = np.empty_like(here), np.ones_like(here)
+        most = int(longest[0]) if len(longest) else 0
+        # texts with more than t lines come first
+        alive = np.searchsorted(-longest, -np.arange(most), side="left")
+        for t in range(most):
+            i = first[: alive[t]] + t
+            a = (self.start if t == 0 else _through(alpha[i - 1], self.move)) * here[i]
+            alpha[i] = a / a.sum(axis=1, keepdims=True)
+        back = np.ascontiguousarray(self.move.T)
+        for t in range(most - 1, 0, -1):
+            i = first[: alive[t]] + t
+            after = beta[i] * here[i]
+            b = _through(after, back)
+            beta[i - 1] = b / b.sum(axis=1, keepdims=True)
+            if moves is not None:
+                both = alpha[i - 1][:, :, None] * self.move * after[:, None, :]
+                moves += np.rint(both * (UNIT / both.sum(axis=(1, 2), keepdims=True))).astype(np.int64).sum(axis=0)
+        post = alpha * beta
+        return post / post.sum(axis=1, keepdims=True) if len(post) else post
+
+
+def _through(a: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """a @ move, each row the same whatever rows stand beside it."""
+    return (a[:, :, None] * move).sum(axis=1)
+
+
+def _script(levels: np.ndarray) -> np.ndarray:
+    """Whether a line has more Latin letters than Hangul; levels are told apart by this as well as by the state."""
+    return (levels[:, 1] > levels[:, 0]).astype(np.int64)
 
 
 def _common(words: DataFrame, column: str) -> frozenset[str]:
@@ -248,61 +284,80 @@ def _common(words: DataFrame, column: str) -> frozenset[str]:
 
 
 def observe_lines(docs: DataFrame, doc_id: str, text: str, common: frozenset[str]) -> DataFrame:
-    """(d, seen, rules, sizes), written once: per document the levels of its lines, what rules say of them, their lengths.
+    """(d, seen, seeds, sizes), written once: per document the levels of its lines, the labels of plain signs, the lines' lengths.
 
-    A line takes FEATURES + 1 bytes; rules are 0 to 3, or 4 where they can't tell.
+    A line takes FEATURES bytes, whatever its length.
     """
     rows = spread(docs.select(F.col(doc_id).alias("d"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")), "d")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(common)
         for b in batches:
-            seen, rules, sizes = [], [], []
-            for t in b.column(1).to_pylist():
-                lines = pieces(t)
-                told = [observe(line, common) for line in lines]
-                seen.append(b"".join(bytes(o) for o, _ in told))
-                rules.append(bytes(STATES.index(r) if r else 4 for _, r in told))
-                sizes.append(list(map(len, lines)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seen, pa.binary()), pa.array(rules, pa.binary()), pa.array(sizes, pa.list_(pa.int32()))], ["d", "seen", "rules", "sizes"])
+            texts = b.column(1).to_pylist()
+            for lo, hi in _chunks([len(t) for t in texts]):
+                if len(words) > MEMORY:
+                    words = Words(common)
+                levels, seeds, sizes, count = observe(texts[lo:hi], words)
+                offset = np.append(0, np.cumsum(count)).astype(np.int32)
+                binary = lambda data, width: pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((offset * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), binary(levels, FEATURES), binary(seeds, 1), pa.ListArray.from_arrays(pa.array(offset), pa.array(sizes, pa.int64()))], ["d", "seen", "seeds", "sizes"])
+
+    return cut(rows.mapInArrow(run, f"d {dict(rows.dtypes)['d']}, seen binary, seeds binary, sizes array<long>"))
+
 
-    return cut(rows.mapInArrow(run, f"d {dict(rows.dtypes)['d']}, seen binary, rules binary, sizes array<int>"))
+def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    lo = size = 0
+    for i, n in enumerate(sizes):
+        if size and size + n > CHUNK:
+            yield lo, i
+            lo, size = i, 0
+        size += n + 1
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
-def _lines(seen: bytes) -> list[bytes]:
-    return [seen[i : i + FEATURES] for i in range(0, len(seen), FEATURES)]
+def _unpack(seen: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data = b"".join(x or b"" for x in seen.to_pylist())
+    levels = np.frombuffer(data, dtype=np.uint8).reshape(-1, FEATURES)
+    return levels, np.array([len(x or b"") // FEATURES for x in seen.to_pylist()], dtype=np.int64)
 
 
-def _count(observed: DataFrame, model: Model | None) -> dict[tuple[str, int, int, int], int]:
-    """Counts of starts, moves and levels by state, from rules (model None) or from the model's labels."""
+def _count(observed: DataFrame, model: Model | None) -> Model:
+    """Model estimated from the seeds (None) or from what ``model`` expects of every line."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[tuple[str, int, int, int]] = Counter()
-        by_line: Counter[tuple[int, bytes]] = Counter()
+        start, move, level = np.zeros(K, np.int64), np.zeros((K, K), np.int64), np.zeros((2, K, FEATURES, 8), np.int64)
         for b in batches:
-            for seen, rules in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                lines = _lines(seen)
-                # what rules can tell stays what it is in the second estimate
-                told = model.label(lines, rules) if model and lines else [4] * len(lines)
-                states = [r if r < 4 else t for r, t in zip(rules, told)]
-                if states and states[0] < 4:
-                    total["start", states[0], 0, 0] += 1
-                total.update(("move", s, 0, t) for s, t in zip(states, states[1:]) if s < 4 and t < 4)
-                by_line.update((s, line) for s, line in zip(states, lines) if s < 4)
-        for (s, line), n in by_line.items():
-            for f, v in enumerate(line):
-                total["level", s + 4 * latin_first(line), f, v] += n
-        cols = list(zip(*((*k, v) for k, v in total.items()))) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int32()) for c in cols[1:4]), pa.array(cols[4], pa.int64())], ["kind", "s", "f", "v", "n"])
-
-    rows = observed.select("seen", "rules").mapInArrow(run, "kind string, s int, f int, v int, n long").groupBy("kind", "s", "f", "v").agg(F.sum("n").alias("n"))
-    return {(r["kind"], r["s"], r["f"], r["v"]): r["n"] for r in rows.collect()}
+            levels, count = _unpack(b.column(0))
+            first = np.zeros(len(levels), dtype=bool)
+            first[(np.cumsum(count) - count)[count > 0]] = True
+            if model is None:
+                told = np.frombuffer(b"".join(x or b"" for x in b.column(1).to_pylist()), dtype=np.uint8)
+                post = np.eye(K + 1, dtype=np.int64)[told][:, :K] * UNIT
+                both = ~first[1:] & (told[:-1] < K) & (told[1:] < K)
+                move += UNIT * np.bincount(told[:-1][both].astype(np.int64) * K + told[1:][both], minlength=K * K).reshape(K, K)
+            else:
+                post = np.rint(model.posteriors(levels, count, move) * UNIT).astype(np.int64)
+            start += post[first].sum(axis=0)
+            script = _script(levels)
+            for f in range(FEATURES):
+                for k in range(K):
+                    level[:, k, f] += np.bincount(script * 8 + levels[:, f], post[:, k], 16).astype(np.int64).reshape(2, 8)
+        total = np.concatenate([start, move.ravel(), level.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "n"])
+
+    rows = observed.select("seen", "seeds").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(K + K * K + 2 * K * FEATURES * 8)
+    for r in rows:
+        total[r["i"]] = r["n"] / UNIT
+    return Model(total[:K], total[K : K + K * K].reshape(K, K), total[K + K * K :].reshape(2, K, FEATURES, 8))
 
 
 def fit(observed: DataFrame, rounds: int = 1) -> Model:
-    """Model from all documents: seeded by rules, then estimated ``rounds`` times from its own labels."""
-    model = Model(_count(observed, None))
+    """Model of all documents: seeded once, then estimated ``rounds`` times by forward-backward."""
+    model = _count(observed, None)
     for _ in range(rounds):
-        model = Model(_count(observed, model))
+        model = _count(observed, model)
     return model
 
 
@@ -318,19 +373,17 @@ def line_shares(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lines, chars, shares = [], [], ([], [], [], [])
-            for seen, rules, sizes in zip(*(b.column(c).to_pylist() for c in (1, 2, 3))):
-                size = [0] * 4
-                for n, s in zip(sizes, model.label(_lines(seen), rules) if seen else ()):
-                    size[s] += n
-                lines.append(len(sizes))
-                chars.append(sum(size))
-                for k in range(4):
-                    shares[k].append(size[k] / chars[-1] if chars[-1] else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lines, pa.int32()), pa.array(chars, pa.int64()), *(pa.array(x, pa.float64()) for x in shares)], ["d", "lines", "chars", *STATES])
+            levels, count = _unpack(b.column(1))
+            label = model.posteriors(levels, count).argmax(axis=1)
+            size = np.asarray(b.column(2).flatten(), dtype=np.int64)
+            doc = np.repeat(np.arange(len(count)), count)
+            chars = np.bincount(doc, size, len(count))
+            shares = [np.bincount(doc[label == k], size[label == k], len(count)) / np.maximum(chars, 1) for k in range(4)]
+            none = chars == 0
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count.astype(np.int32)), pa.array(chars.astype(np.int64)), *(pa.array(x, pa.float64(), mask=none) for x in shares)], ["d", "lines", "chars", *STATES])
 
     kind = dict(observed.dtypes)["d"]
-    return observed.select("d", "seen", "rules", "sizes").mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
+    return observed.select("d", "seen", "sizes").mapInArrow(run, f"d {kind}, lines int, chars long, prose double, list double, `table` double, junk double").withColumnRenamed("d", doc_id)
 
 
 def statistics(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame, word: str = "word") -> DataFrame:
