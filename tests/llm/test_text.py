@@ -66,6 +66,43 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.leaked_items(d.limit(0), "id", "text", b, "id", "text").count() == leaks.leaked_items(d, "id", "text", b.limit(0), "id", "text").count() == 0
 
 
+def brute_leaks(doc, items, run):
+    x = leaks.letters(doc)
+    return {k for k, y in items if any(y[a : a + run] in x for a in range(len(y) - run + 1))}
+
+
+@pytest.mark.parametrize(("run", "block"), [(1, 1), (2, 3), (7, 2), (8, 3), (13, 10), (20, 4)])
+def test_shift_table_loses_no_run(run, block):
+    rng = random.Random(run)
+    make = lambda n: "".join(rng.choice("ab") if rng.random() < 0.7 else rng.choice("cdefg") for _ in range(n))
+    stock = make(run - 1 if run > 2 else 2)
+    # stock phrases in front, behind and in the middle of many items
+    items = [(i, make(rng.randint(0, 40))) for i in range(20)]
+    items += [(100 + i, s) for i, s in enumerate([stock + make(30) for _ in range(12)] + [make(30) + stock for _ in range(12)] + [make(15) + stock + make(15) for _ in range(12)])]
+    searcher = leaks.Searcher(items, run, block)
+    for piece in searcher.sides:
+        for end in range(searcher.block, searcher.m + 1):
+            assert searcher.shift[piece[end - searcher.block : end]] <= searcher.m - end
+    hits = 0
+    for _ in range(300):
+        k, a = rng.randrange(len(items)), rng.randrange(30)
+        doc = make(rng.randint(0, 30)) + rng.choice(["", stock, items[k][1][a : a + rng.randint(1, 2 * run)]]) + make(rng.randint(0, 30))
+        want = brute_leaks(doc, items, run)
+        hits += len(want)
+        assert set(searcher.search(doc)) == want
+    assert hits > 100
+
+
+def test_long_items_come_in_slices(spark):
+    rng = random.Random(9)
+    long = "".join(chr(rng.randint(0xAC00, 0xD7A3)) for _ in range(5000))
+    items = spark.createDataFrame([(1, long), (2, long[100:900])], "item_id long, text string")
+    docs = [(i, "x" + long[a : a + 60] + "y") for i, a in enumerate(range(0, 4941, 7))] + [(9999, long[:59])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {tuple(r) for r in leaks.leaked_items(d, "doc_id", "text", items, "item_id", "text", pass_chars=1000).collect()}
+    assert got == {(i, 1) for i, _ in docs[:-1]} | {(i, 2) for i, a in enumerate(range(0, 4941, 7)) if 100 <= a <= 840}
+
+
 NAMES = {"누리폰 14": ["누리폰14", "NURI 14"], "누리폰 14 프로": ["누리폰14프로", "NURI 14 PRO"], "하람 S24": ["하람S24", "HARAM S24", "하람24"], "미라쥬 노트 8": ["MIRÁGE NOTE 8"]}
 
 
