@@ -149,3 +149,59 @@ def test_crossover_keeps_items():
     for child in (packing.crossover(a, b, sizes, 100, rng), packing.mutate(a, sizes, 100, rng)):
         assert sorted(i for items in child.bins for i in items) == list(range(120)) and max(child.fills) <= 100
     assert packing.evolve(sizes, 100, 3).fitness >= a.fitness
+
+
+def triplets(bins, rng):
+    """Sizes whose best packing is known: three fill each of ``bins`` containers of 1000."""
+    out = []
+    for _ in range(bins):
+        a = rng.randint(380, 490)
+        b = rng.randint(251, (1000 - a) // 2)
+        out += [a, b, 1000 - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def decreasing(sizes, capacity):
+    bins = []
+    packing.best_fit(sizes, sorted(range(len(sizes)), key=lambda i: -sizes[i]), bins, [], capacity)
+    return len(bins)
+
+
+@pytest.mark.parametrize("bins", [20, 40, 80])
+def test_evolution_beats_best_fit_on_triplets(bins):
+    rng = random.Random(bins)
+    for seed in range(3):
+        sizes = triplets(bins, rng)
+        plain = decreasing(sizes, 1000)
+        best = packing.evolve(sizes, 1000, seed, generations=40)
+        assert sorted(i for b in best.bins for i in b) == list(range(3 * bins)) and max(best.fills) <= 1000
+        assert bins <= len(best.bins) < plain
+        assert len(best.bins) - bins <= (plain - bins) / 2
+
+
+def test_trading_fills_bins():
+    rng = random.Random(12)
+    for _ in range(200):
+        sizes = [rng.randint(1, 60) for _ in range(30)]
+        bins, left = [], []
+        packing.best_fit(sizes, list(range(20)), bins, [], 100)
+        fills = [sum(sizes[i] for i in b) for b in bins]
+        before = list(fills)
+        left = packing.trade(bins, fills, list(range(20, 30)), sizes, 100)
+        assert sorted([i for b in bins for i in b] + left) == list(range(30))
+        assert fills == [sum(sizes[i] for i in b) for b in bins] and max(fills) <= 100
+        assert all(x >= y for x, y in zip(fills, before)) and sum(fills) >= sum(before)
+
+
+def test_shards_share_their_last_containers(spark):
+    rng = random.Random(13)
+    sizes = [rng.randint(5, 40) for _ in range(900)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "id long, size long")
+    out = packing.pack(df, "id", F.col("size"), 100, shard_items=60).collect()
+    assert sorted(r["id"] for r in out) == list(range(900))
+    fill = {}
+    for r in out:
+        fill[r["container"]] = fill.get(r["container"], 0) + r["size"]
+    # fifteen shards would leave room in fifteen containers
+    assert max(fill.values()) <= 100 and len(fill) <= -(-sum(sizes) // 100) + 3

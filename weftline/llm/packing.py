@@ -4,8 +4,12 @@ Items are spread by hash over shards of about ``shard_items``, so each packing
 problem is small and none grows with the data. Every shard is evolved by
 several islands. An individual is a set of bins; crossover injects whole
 well-filled bins of one parent into the other, removes the bins that hold
-injected items a second time, and best-fits what this displaced. Between
-epochs each island passes its elite to the next island of its shard.
+injected items a second time, and best-fits what this displaced, after trading
+displaced items for one or two smaller ones of a bin where that fills it
+better. Between epochs each island passes its elite to the next island of its
+shard. The emptiest container of every shard is dissolved and these items are
+packed again together, until there is one shard, so room left over in shards
+adds up to whole containers.
 
 Only ids and sizes are shuffled, never texts. An item larger than the capacity
 is cut into full pieces, which fill containers of their own, and a rest, which
@@ -15,14 +19,14 @@ is packed like any other item; nothing else is split.
 from __future__ import annotations
 
 import random
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.operators.lineage import cut
+from weftline.operators.lineage import cut, forget
 
 SHARD_ITEMS = 2000
 ISLANDS = 2
@@ -84,9 +88,41 @@ def mutate(a: Individual, sizes: list[int], capacity: int, rng: random.Random) -
     return _refit([list(x) for k, x in enumerate(a.bins) if k not in gone], [i for k in gone for i in a.bins[k]], sizes, capacity)
 
 
+def trade(bins: list[list[int]], fills: list[int], items: list[int], sizes: list[int], capacity: int) -> list[int]:
+    """Exchange one or two items of a bin for one or two of ``items`` wherever that fills the bin better; what is left of ``items``.
+
+    Every trade makes a bin fuller and the remainder smaller, so it ends.
+    """
+    free = sorted((sizes[i], i) for i in items)
+    for b in sorted(range(len(bins)), key=lambda k: fills[k]):
+        room = capacity - fills[b]
+        if not room or not free:
+            continue
+        singles = [s for s, _ in free]
+        couples = sorted((free[x][0] + free[y][0], x, y) for x in range(len(free)) for y in range(x)) if len(free) <= 40 else []
+        sums = [c[0] for c in couples]
+        best: tuple[int, tuple[int, ...], tuple[int, ...]] | None = None
+        out = [(sizes[i], (i,)) for i in bins[b]] + [(sizes[i] + sizes[j], (i, j)) for n, i in enumerate(bins[b]) for j in bins[b][:n]]
+        for gone, which in out:
+            at = bisect_right(singles, gone + room) - 1
+            if at >= 0 and (gain := singles[at] - gone) > (best[0] if best else 0):
+                best = (gain, which, (at,))
+            at = bisect_right(sums, gone + room) - 1
+            if at >= 0 and (gain := sums[at] - gone) > (best[0] if best else 0):
+                best = (gain, which, couples[at][1:])
+        if best:
+            gain, gone_items, come = best
+            bins[b] = [i for i in bins[b] if i not in gone_items] + [free[x][1] for x in come]
+            fills[b] += gain
+            free = sorted([f for x, f in enumerate(free) if x not in come] + [(sizes[i], i) for i in gone_items])
+    return [i for _, i in free]
+
+
 def _refit(bins: list[list[int]], items: list[int], sizes: list[int], capacity: int) -> Individual:
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    items = trade(bins, fills, items, sizes, capacity)
     items.sort(key=lambda i: -sizes[i])
-    best_fit(sizes, items, bins, [sum(sizes[i] for i in b) for b in bins], capacity)
+    best_fit(sizes, items, bins, fills, capacity)
     return Individual(bins, sizes, capacity)
 
 
@@ -121,28 +157,18 @@ def evolve(sizes: list[int], capacity: int, seed: int, elites: list[list[int]] =
     return max(people, key=lambda x: x.fitness)
 
 
-def pack(df: DataFrame, item_id: str, size: Column, capacity: int, *, shard_items: int = SHARD_ITEMS, islands: int = ISLANDS, epochs: int = EPOCHS, seed: int = 17) -> DataFrame:
-    """(item_id, part, start, size, container): every item in a container of ``capacity``.
+def _tasks(df: DataFrame, problems: int) -> int:
+    """Tasks for so many problems: one each while there are cores for it. Given as a number, they aren't merged by their bytes, which say nothing of the work."""
+    return max(1, min(problems, 4 * df.sparkSession.sparkContext.defaultParallelism))
 
-    ``part`` counts the pieces of an item from 0, ``start`` is where a piece
-    begins. Rows with one id are one item of their greatest size; a null size
-    is 0, a null id is an id. Items of size 0 take part like others. An empty
-    table gives an empty result. Sizes beyond the capacity are the only ones
-    split, and each container holds at most ``capacity``.
-    """
-    items = df.select(F.col(item_id).alias("__id"), F.greatest(F.coalesce(size.cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long")).alias("s")).groupBy("__id").agg(F.max("s").alias("s"))
-    items = cut(items)
-    shards = max(1, -(-items.count() // shard_items))
-    cap = F.lit(capacity).cast("long")
-    # pieces 0..full-1 fill containers; the rest, if any or if the item is not larger, is packed
-    full = F.when(F.col("s") > cap, F.floor(F.col("s") / cap)).otherwise(0).cast("int")
-    items = items.withColumns({"full": full, "rest": F.col("s") - full * cap})
-    whole = items.where("full > 0").select("__id", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("part")).select("__id", "part", (F.col("part") * cap).alias("start"), cap.alias("size"), F.concat_ws(":", F.lit("whole"), F.coalesce(F.col("__id").cast("string"), F.lit("")), F.col("part").cast("string")).alias("container"))
-    rest = items.where("full = 0 or rest > 0").select("__id", F.col("full").alias("part"), F.col("rest"), F.pmod(F.xxhash64("__id"), F.lit(shards)).cast("int").alias("shard"))
-    rest = rest.withColumn("at", F.row_number().over(Window.partitionBy("shard").orderBy("__id")) - 1)
-    lists = cut(rest.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "rest"))), lambda x: x["rest"]).alias("sizes")))
 
+def _evolve_shards(rest: DataFrame, shards: int, capacity: int, islands: int, epochs: int, seed: int) -> DataFrame:
+    """(__id, part, rest, shard, bin) of (__id, part, rest), written once."""
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("__id", F.lit(shards)), F.lit(shards)).cast("int"))
+    rest = rest.withColumn("at", F.row_number().over(Window.partitionBy("shard").orderBy("__id", "part")) - 1)
+    lists = cut(rest.groupBy("shard").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "rest"))), lambda x: x["rest"]).alias("sizes")))
     schema = "shard int, island int, sizes array<long>, assignment array<int>, bins int, fitness double"
+    tasks = _tasks(rest, shards * islands)
 
     def run(epoch: int):
         def island(batches):
@@ -156,14 +182,49 @@ def pack(df: DataFrame, item_id: str, size: Column, capacity: int, *, shard_item
 
         return island
 
-    spread = lists.withColumns({"island": F.explode(F.sequence(F.lit(0), F.lit(islands - 1))), "elites": F.array().cast("array<array<int>>")}).repartition("shard", "island")
-    done = cut(spread.mapInPandas(run(0), schema))
+    spread = lists.withColumns({"island": F.explode(F.sequence(F.lit(0), F.lit(islands - 1))), "elites": F.array().cast("array<array<int>>")})
+    done = cut(spread.repartition(tasks, "shard", "island").mapInPandas(run(0), schema))
     for epoch in range(1, epochs):
         # each island continues from its own best and from the elite of the island before it
         elite = done.select("shard", ((F.col("island") + 1) % islands).alias("island"), F.col("assignment").alias("from"))
         both = done.join(elite, ["shard", "island"]).select("shard", "island", "sizes", F.array("assignment", "from").alias("elites"))
-        done = cut(both.mapInPandas(run(epoch), schema))
+        new = cut(both.repartition(tasks, "shard", "island").mapInPandas(run(epoch), schema))
+        forget(done)
+        done = new
     best = done.groupBy("shard").agg(F.min_by("assignment", F.struct("bins", (-F.col("fitness")).alias("f"), "island")).alias("assignment"))
     placed = best.select("shard", F.posexplode("assignment").alias("at", "bin"))
-    packed = rest.join(placed, ["shard", "at"]).select("__id", "part", (F.col("part") * cap).alias("start"), F.col("rest").alias("size"), F.concat_ws(":", F.lit("shard"), F.col("shard").cast("string"), F.col("bin").cast("string")).alias("container"))
-    return whole.unionByName(packed).withColumnRenamed("__id", item_id)
+    packed = cut(rest.join(placed, ["shard", "at"]).select("__id", "part", "rest", "shard", "bin"))
+    forget(done)
+    forget(lists)
+    return packed
+
+
+def pack(df: DataFrame, item_id: str, size: Column, capacity: int, *, shard_items: int = SHARD_ITEMS, islands: int = ISLANDS, epochs: int = EPOCHS, seed: int = 17) -> DataFrame:
+    """(item_id, part, start, size, container): every item in a container of ``capacity``.
+
+    ``part`` counts the pieces of an item from 0, ``start`` is where a piece
+    begins. Rows with one id are one item of their greatest size; a null size
+    is 0, a null id is an id. Items of size 0 take part like others. An empty
+    table gives an empty result. Sizes beyond the capacity are the only ones
+    split, and each container holds at most ``capacity``.
+    """
+    items = df.select(F.col(item_id).alias("__id"), F.greatest(F.coalesce(size.cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long")).alias("s")).groupBy("__id").agg(F.max("s").alias("s"))
+    items = cut(items)
+    cap = F.lit(capacity).cast("long")
+    # pieces 0..full-1 fill containers; the rest, if any or if the item is not larger, is packed
+    full = F.when(F.col("s") > cap, F.floor(F.col("s") / cap)).otherwise(0).cast("int")
+    items = items.withColumns({"full": full, "rest": F.col("s") - full * cap})
+    out = items.where("full > 0").select("__id", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("part")).select("__id", "part", (F.col("part") * cap).alias("start"), cap.alias("size"), F.concat_ws(":", F.lit("whole"), F.coalesce(F.col("__id").cast("string"), F.lit("")), F.col("part").cast("string")).alias("container"))
+    todo, level, shards = items.where("full = 0 or rest > 0").select("__id", F.col("full").alias("part"), "rest"), 0, 0
+    while shards != 1:
+        shards = max(1, -(-todo.count() // shard_items))
+        packed = _evolve_shards(todo, shards, capacity, islands, epochs, seed + level)
+        done = packed
+        if shards > 1:
+            # one container of each shard, so what is packed again shrinks by the containers of a shard each time
+            fill = packed.groupBy("shard", "bin").agg(F.sum("rest").alias("fill"))
+            last = fill.groupBy("shard").agg(F.min(F.struct("fill", "bin")).alias("l")).select("shard", F.col("l.bin").alias("bin"))
+            todo, done = cut(packed.join(last, ["shard", "bin"], "left_semi").select("__id", "part", "rest")), packed.join(last, ["shard", "bin"], "left_anti")
+        out = out.unionByName(done.select("__id", "part", (F.col("part") * cap).alias("start"), F.col("rest").alias("size"), F.concat_ws(":", F.lit("level"), F.lit(str(level)), F.col("shard").cast("string"), F.col("bin").cast("string")).alias("container")))
+        level += 1
+    return out.withColumnRenamed("__id", item_id)

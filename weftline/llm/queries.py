@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import entities, freevalues, leaks, lookalikes, packing, percentiles, quality, variants
+from weftline.operators.lineage import cut
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
@@ -70,6 +71,15 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_containers(spark, d).groupBy("doc_id").agg(F.max("part").alias("part"), F.sum("size").alias("size")).where((F.col("part") > 0) & (F.col("size") > CAPACITY)).select("doc_id")
 
 
+def p7_verified(spark: SparkSession, d: str) -> DataFrame:
+    """What p7_containers holds: documents, pieces, bytes, faults of each kind, and whether it needs at most one per cent and one more containers than the total size."""
+    c = cut(p7_containers(spark, d))
+    fill = c.groupBy("container").agg(F.sum("size").alias("fill")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("fill") > CAPACITY).alias("overfull"), F.sum("fill").alias("bytes"))
+    docs = c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("size").alias("size"), F.max(F.col("start") + F.col("size")).alias("end"))
+    docs = docs.agg(F.count(F.lit(1)).alias("documents"), F.sum("pieces").alias("pieces"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= CAPACITY)).alias("split"), F.count_if(F.col("end") != F.col("size")).alias("gaps"))
+    return docs.crossJoin(fill).select("documents", "pieces", "bytes", "overfull", "split", "gaps", (F.col("n") <= F.ceil(F.col("bytes") / CAPACITY) * 1.01 + 1).alias("tight"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the test items they share a run of at least 60 letters and digits with."""
     return leaks.leaked_items(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "benchmark"), "item_id", "text")
@@ -133,6 +143,7 @@ QUERIES = {
     "p6_canonical": p6_canonical,
     "p7_found": p7_found,
     "p7_containers": p7_containers,
+    "p7_verified": p7_verified,
     "p8_found": p8_found,
     "p8_items": p8_items,
     "p9_found": p9_found,
@@ -152,6 +163,7 @@ SELECT doc_id, len(w)::INT AS words,
   CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: list_contains(c, lower(regexp_replace(x, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g'))))) / len(w), 6) END AS common_share
 FROM w, c
 """.replace("\\\\", "\\"),
+    "p7_verified": "SELECT count(*) AS documents, sum(CASE WHEN n > 8192 THEN (n + 8191) // 8192 ELSE 1 END)::BIGINT AS pieces, sum(n)::BIGINT AS bytes, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS gaps, true AS tight FROM (SELECT doc_id, coalesce(max(strlen(text)), 0) AS n FROM documents GROUP BY 1)",
     "p7_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
     "p1_found": """
 WITH v AS (SELECT id, any_value(model) AS model, any_value(capacity) AS capacity, any_value(source_posted_at) AS ts, min(upfront) AS u FROM deals GROUP BY id),
