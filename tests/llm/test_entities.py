@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from weftline.llm import entities, packing, variants
 
 
+READER = variants.Reader({"건설": "건설", "construction": "건설", "미디어": "미디어", "식품": "식품", "상사": "상사"})
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
@@ -16,7 +19,7 @@ from weftline.llm import entities, packing, variants
     ],
 )
 def test_reading_names(text, want):
-    assert variants.read_name(text) == want
+    assert READER(text) == want
 
 
 def edits(a, b):
@@ -71,16 +74,16 @@ def test_variants_follow_established_names(spark):
     known = spark.createDataFrame([(1, "주식회사 라송봄려건설"), (2, "라송봄려미디어"), (3, "가래균곤건설"), (4, "가래군곤건설"), (5, None)], "cid long, name string")
     rows = [(1, "라송봄려건설(주)", None), (2, "라숑봄려건설", None), (3, "Rasongbomryeo Construction", None), (4, "RASNOGBOMRYEO CONSTRUCTION", None), (5, "라송봄려미디어", None), (6, "라송봄려", None), (7, "라송봄려", None), (8, "가래균곤건설", None), (9, "가래군곤건설", None), (10, "아무개", 2), (11, None, None), (12, "", None), (13, "전혀다른이름식품", None), (13, "전혀다른이름식품", None), (14, "x" * 20_000, None)]
     df = spark.createDataFrame(rows, "id long, alias string, cid long").withColumn("core", F.lit("clash"))
-    got = {r["id"]: (r["core"], r["trade"]) for r in variants.link_variants(df, "id", ["alias"], known, "name", "cid", "cid").collect()}
+    got = {r["id"]: (r["core"], r["trade"]) for r in variants.link_variants(df, "id", ["alias"], known, "name", "cid", "cid", READER).collect()}
     assert {got[i] for i in (1, 2, 3, 4)} == {("라송봄려", "건설")}
     assert got[5] == got[10] == ("라송봄려", "미디어")
     # two lines of business share the core: a name without one stands for neither
     assert got[6] == got[7] == ("라송봄려", "")
     assert got[8] != got[9]
     assert 11 not in got and 12 not in got and got[13] == ("전혀다른이름", "식품")
-    pairs = {tuple(r) for r in variants.variant_pairs(variants.link_variants(df, "id", ["alias"], known, "name", "cid", "cid"), "id").collect()}
+    pairs = {tuple(r) for r in variants.variant_pairs(variants.link_variants(df, "id", ["alias"], known, "name", "cid", "cid", READER), "id").collect()}
     assert pairs == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (5, 10), (6, 7)}
-    assert variants.link_variants(df.limit(0), "id", ["alias"], known, "name", "cid", "cid").count() == 0
+    assert variants.link_variants(df.limit(0), "id", ["alias"], known, "name", "cid", "cid", READER).count() == 0
 
 
 def test_alternating_directions_minimise():
@@ -117,10 +120,10 @@ def test_entities(spark):
         (17, "무관상사", None, "31", "130", "3113010600", None, None, None),
     ]
     df = spark.createDataFrame(r + r[:2], "raw_id long, name string, number string, sido string, sigungu string, dong string, emdong string, industry string, lot string").withColumn("core", F.lit(0))
-    got = {x["raw_id"]: (x["company_id"], x["confidence"]) for x in entities.match_entities(df, c).collect()}
+    got = {x["raw_id"]: (x["company_id"], x["confidence"]) for x in entities.match_entities(df, c, reader=READER).collect()}
     assert {k: v[0] for k, v in got.items()} == {10: 1, 11: 1, 12: 2, 13: 3, 17: 4}
     assert all(0.5 <= v[1] <= 1 for v in got.values()) and got[10][1] > got[13][1]
-    assert entities.match_entities(df.limit(0), c).count() == entities.match_entities(df, c.limit(0)).count() == 0
+    assert entities.match_entities(df.limit(0), c, reader=READER).count() == entities.match_entities(df, c.limit(0), reader=READER).count() == 0
 
 
 def test_packing(spark):
@@ -205,3 +208,37 @@ def test_shards_share_their_last_containers(spark):
         fill[r["container"]] = fill.get(r["container"], 0) + r["size"]
     # fifteen shards would leave room in fifteen containers
     assert max(fill.values()) <= 100 and len(fill) <= -(-sum(sizes) // 100) + 3
+
+
+def test_lines_of_business_are_learned(spark):
+    """Lines that are in no list, with their English words, a synonym and a misspelling."""
+    rng = random.Random(21)
+    syllable = lambda: chr(rng.randrange(0xAC00, 0xD7A4, 28))
+    lines = {"조경": "landscaping", "제과점": "bakery", "한의원": "clinic", "광고기획": "advertising"}
+    firms = [("".join(syllable() for _ in range(rng.randint(3, 4))), t) for t in lines for _ in range(25)]
+    known = spark.createDataFrame([(f"주식회사 {c}{t}",) for c, t in firms] + [(None,), ("",)], "name string")
+    typed = []
+    for i, (c, t) in enumerate(firms):
+        latin = variants.hangul.to_latin(c)
+        typed += [f"{c} {t}", f"{latin.title()} {lines[t].title()} Co., Ltd" if i % 3 else f"{lines[t].upper()}, {latin}", f"{c}{lines[t].title()}", c]
+        if t == "제과점" and i % 4 == 0:
+            typed.append(f"{c}베이커리")
+    names = spark.createDataFrame([(x,) for x in typed] + [(None,), ("",), ("x" * 9000,)], "name string")
+    trades = variants.learn_trades(known, names).trades
+    assert {t: trades.get(t) for t in lines} == {t: t for t in lines}
+    assert {w: trades.get(w) for w in lines.values()} == {w: t for t, w in lines.items()}
+    assert trades["베이커리"] == "제과점" and all(v in lines for v in trades.values())
+    assert not any(len(t) < 2 for t in trades)
+    linked = variants.link_variants(names.where("name <> ''").distinct().withColumn("id", F.monotonically_increasing_id()), "id", ["name"], known, "name")
+    assert linked.where("trade <> ''").select("core", "trade").distinct().count() == len(set(firms))
+    assert variants.learn_trades(known.limit(0), names).trades == variants.learn_trades(known.limit(0), names.limit(0)).trades == {}
+
+
+def test_units_are_drawn_out_only_while_forced():
+    counts = {}
+    for head in (x + y for x in "가나다라마바사아자차" for y in "카타파하"):
+        for line in ("모터스", "씨앤에스", "전자"):
+            name = head + line
+            for n in range(1, 7):
+                counts[name[-n:]] = counts.get(name[-n:], 0) + 1
+    assert variants.units(counts, 10) == {"모터스", "씨앤에스", "전자"}

@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.variants import establish, read_names
+from weftline.llm.variants import Reader, establish, learn_trades, read_names
 from weftline.operators.lineage import cut
 
 #: Weights of the rules.
@@ -144,7 +144,7 @@ def _number_similarity(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(near, 0.8).otherwise(0.0)
 
 
-def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.5) -> DataFrame:
+def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.5, reader: Reader | None = None) -> DataFrame:
     """(raw_id, company_id, confidence): the entity that each record describes, if any.
 
     ``records``: raw_id, name, number, sido, sigungu, dong, emdong, industry,
@@ -157,9 +157,10 @@ def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.
     per place, after records with equal attributes have been counted together.
     """
     e = entities.select("company_id", "name", _digits(F.col("number")).alias("number"), "sigungu", "dong", "industry").distinct()
-    known = cut(read_names(e, ["company_id", "number", "sigungu", "dong", "industry"], "name").where("core <> ''"))
+    reader = reader or learn_trades(e.select("name"), records.select("name"))
+    known = cut(read_names(e, ["company_id", "number", "sigungu", "dong", "industry"], "name", reader).where("core <> ''"))
     r = records.select("raw_id", "name", _digits(F.col("number")).alias("number"), "sido", "sigungu", "dong", "emdong", "industry", "lot").distinct()
-    spelled = cut(read_names(r.select("name").distinct().where("name is not null"), ["name"], "name").where("core <> ''"))
+    spelled = cut(read_names(r.select("name").distinct().where("name is not null"), ["name"], "name", reader).where("core <> ''"))
     to = establish(spelled.groupBy("core", "trade", "script").agg(F.count(F.lit(1)).alias("n")), known)
     named = spelled.join(to.select("core", "trade", "to_core", "to_trade"), ["core", "trade"]).select("name", F.col("to_core").alias("core"), F.col("to_trade").alias("trade"))
     r = r.join(named, "name").select("raw_id", "core", F.col("trade").alias("own_trade"), "number", "sido", "sigungu", "dong", "emdong", "industry", F.coalesce("lot", F.concat(F.lit("?"), F.col("raw_id").cast("string"))).alias("lot"))
