@@ -97,7 +97,7 @@ def test_alternating_directions_minimise():
                 h.add([np.array([i]), np.array([j])], [1.0, -1.0], np.array([b]), np.array([w]))
                 terms.append((i, j, b, w))
         h.at_most_one(np.array([0, 1]), np.array([0, 0]))
-        x = h.solve(n, rounds=3000, tolerance=1e-8)
+        x = h.solve(np.zeros(n, dtype=int), rounds=3000, tolerance=1e-8)[0]
         assert x[0] + x[1] <= 1 + 1e-3 and x.min() >= 0 and x.max() <= 1
         value = lambda v: sum(w * max(0, v[i] - v[j] + b) ** 2 for i, j, b, w in terms)  # noqa: B023, E731
         for _ in range(300):
@@ -106,6 +106,35 @@ def test_alternating_directions_minimise():
                 assert value(x) <= value(y) + 1e-3
 
 
+def test_places_do_not_depend_on_each_other():
+    rng = np.random.default_rng(8)
+
+    def problem(k):
+        g = np.random.default_rng(k)
+        groups, ents = int(g.integers(1, 6)), int(g.integers(1, 4))
+        rows = [(i, e) for i in range(groups) for e in range(ents)]
+        share = g.random(groups)
+        return [(i, e, share[i] / share.sum(), *g.choice([0, 0.5, 0.7, 0.8, 1.0], 4), 1.0, 1.0) for i, e in rows]
+
+    def solve(ks):
+        place, group, entity, rest, at = [], [], [], [], 0
+        for p, k in enumerate(ks):
+            rows = problem(k)
+            place += [p] * len(rows)
+            group += [at + r[0] for r in rows]
+            entity += [10 * k + r[1] for r in rows]
+            rest += [r[2:] for r in rows]
+            at += max(r[0] for r in rows) + 1
+        share, name, addr, number, industry, kn, ki = np.array(rest).T
+        return np.array(place), entities.solve_places(np.array(place), np.array(group), np.array(entity), share, {"name": name, "addr": addr, "number": number, "industry": industry, "number_known": kn, "industry_known": ki})
+
+    alone = {k: solve([k])[1] for k in range(40)}
+    order = rng.permutation(40)
+    place, (truth, rest) = solve(list(order))
+    for p, k in enumerate(order):
+        assert (truth[place == p] == alone[k][0]).all() and rest[place == p].all() and alone[k][1].all()
+
+
 def test_entities(spark):
     companies = [(1, "라송봄려건설", "111100", "110", "3111010400", "A"), (2, "라송봄려건설", "111100", "120", "3112010500", "A"), (3, "라송봄려미디어", "222200", "110", "3111010400", "B"), (4, "무관상사", None, "130", "3113010600", None)]
     c = spark.createDataFrame(companies, "company_id long, name string, number string, sigungu string, dong string, industry string")

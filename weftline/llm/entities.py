@@ -35,7 +35,10 @@ WEIGHTS = {
     "name_addr": 4.0, "name_number": 1.5, "number_addr": 3.0, "name_part": 1.5, "name_industry": 0.3,
     "not_addr": 2.0, "not_name": 2.0, "not_number": 0.7, "not_industry": 0.3, "prior": 0.2, "same_place": 6.0,
 }
-ROUNDS = 300
+#: Rounds after which a place that still moves is left as it is, and marked; given places take a few hundred.
+ROUNDS = 20_000
+#: Rounds between two looks at whether a place has come to rest.
+LOOK = 10
 RHO = 1.0
 
 
@@ -75,31 +78,54 @@ class Hinges:
         self.weight.append(np.full(m, np.inf))
         self.n += m
 
-    def solve(self, size: int, rounds: int = ROUNDS, rho: float = RHO, tolerance: float = 1e-4) -> np.ndarray:
+    def solve(self, place: np.ndarray, rounds: int = ROUNDS, rho: float = RHO, tolerance: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+        """(values of the variables, whether their place came to rest); ``place`` numbers the variables' places from 0.
+
+        Every place is stopped by its own test alone, so its values don't
+        depend on the places solved beside it.
+        """
+        size = len(place)
         pot, var, coef = np.concatenate(self.pot), np.concatenate(self.var), np.concatenate(self.coef)
         b, weight = np.concatenate(self.b), np.concatenate(self.weight)
-        norm = np.bincount(pot, coef * coef, self.n)
-        count = np.maximum(1, np.bincount(var, minlength=size))
+        places = int(place.max()) + 1 if size else 0
+        out, rest = np.full(size, 0.5), np.zeros(places, dtype=bool)
+        names = np.arange(size)
         z, u = np.full(size, 0.5), np.zeros(len(var))
-        hard = np.isinf(weight)
-        soft = np.where(hard, 0, weight)
-        factor = np.where(hard, 1 / norm, 2 * soft / (rho + 2 * soft * norm))
-        for _ in range(rounds):
-            v = z[var] - u
-            over = np.bincount(pot, coef * v, self.n) + b
-            # closed form: stay if satisfied, else step back along the hinge
-            x = v - coef * (factor * np.maximum(0, over))[pot]
-            new = np.clip(np.bincount(var, x + u, size) / count, 0, 1)
-            u += x - new[var]
-            moved = np.abs(new - z).max() if size else 0
-            z = new
-            if moved < tolerance and np.abs(x - z[var]).max() < 10 * tolerance:
+        for done in range(0, rounds, LOOK):
+            if done == 0 or len(names) > 2 * np.count_nonzero(~rest[place[names]]):
+                # places at rest leave the arrays; what stays keeps its order
+                stay = ~rest[place[names]]
+                at = np.cumsum(stay) - 1
+                keep = stay[var]
+                pots, pot = np.unique(pot[keep], return_inverse=True)
+                var, coef, u, z, names, b, weight = at[var[keep]], coef[keep], u[keep], z[stay], names[stay], b[pots], weight[pots]
+                norm = np.bincount(pot, coef * coef, len(b))
+                count = np.maximum(1, np.bincount(var, minlength=len(names)))
+                hard = np.isinf(weight)
+                soft = np.where(hard, 0, weight)
+                factor = np.where(hard, 1 / norm, 2 * soft / (rho + 2 * soft * norm))
+            for _ in range(LOOK):
+                v = z[var] - u
+                over = np.bincount(pot, coef * v, len(b)) + b
+                # closed form: stay if satisfied, else step back along the hinge
+                x = v - coef * (factor * np.maximum(0, over))[pot]
+                new = np.clip(np.bincount(var, x + u, len(names)) / count, 0, 1)
+                u = u + x - new[var]
+                old, z = z, new
+            moved = np.zeros(places)
+            np.maximum.at(moved, place[names], np.abs(z - old))
+            apart = np.zeros(places)
+            np.maximum.at(apart, place[names[var]], np.abs(x - z[var]))
+            going = ~rest[place[names]]
+            out[names[going]] = z[going]
+            rest |= (moved < tolerance) & (apart < 10 * tolerance)
+            if rest.all():
                 break
-        return z
+        return out, rest[place]
 
 
-def solve_places(place: np.ndarray, group: np.ndarray, entity: np.ndarray, share: np.ndarray, sims: dict[str, np.ndarray]) -> np.ndarray:
-    """Truth values of (group of a place, entity) rows.
+def solve_places(place: np.ndarray, group: np.ndarray, entity: np.ndarray, share: np.ndarray, sims: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Truth values of (group of a place, entity) rows, and whether their place came to rest.
 
     ``place``, ``group`` and ``entity`` number the rows from 0, groups across
     places; ``share`` is the group's share of its place's records; ``sims``
@@ -130,7 +156,8 @@ def solve_places(place: np.ndarray, group: np.ndarray, entity: np.ndarray, share
     h.add([rows, z], [-1.0, 1.0], np.zeros(len(rows)), same)
     h.at_most_one(rows, group)
     h.at_most_one(len(rows) + np.arange(pairs.shape[1]), np.unique(pairs[0], return_inverse=True)[1])
-    return h.solve(len(rows) + pairs.shape[1])[: len(rows)]
+    truth, rest = h.solve(np.concatenate([place, pairs[0]]))
+    return truth[: len(rows)], rest[: len(rows)]
 
 
 def _digits(c: Column) -> Column:
@@ -138,6 +165,11 @@ def _digits(c: Column) -> Column:
     return F.when(F.length(d) > 0, d)
 
 
+def _key(*cols: str) -> Column:
+    """128 bits that stand for the columns' values."""
+    return F.concat_ws(":", F.hex(F.xxhash64(*cols)), F.hex(F.xxhash64(F.lit(1), *cols)))
+
+
 def _number_similarity(a: Column, b: Column) -> Column:
     """1 equal, 0.8 for a digit changed, lost or added, 0 otherwise or if one is unknown."""
     near = F.levenshtein(a, b) <= 1
@@ -145,12 +177,13 @@ def _number_similarity(a: Column, b: Column) -> Column:
 
 
 def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.5, reader: Reader | None = None) -> DataFrame:
-    """(raw_id, company_id, confidence): the entity that each record describes, if any.
+    """(raw_id, company_id, confidence, settled): the entity that each record describes, if any.
 
     ``records``: raw_id, name, number, sido, sigungu, dong, emdong, industry,
     lot (what tells places of one name apart); ``entities``: company_id, name,
     number, sigungu, dong, industry. All may be null; a record without a
     readable name or any shared block has no match. Equal rows count once.
+    ``settled`` is false where the place had not come to rest when it was left.
 
     Candidates share the core of the established name and one of: the address
     key, the part of it that is left, or number and district. They are formed
@@ -168,7 +201,7 @@ def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.
     only = r.where("own_trade <> ''").groupBy("core", "lot").agg(F.min("own_trade").alias("a"), F.max("own_trade").alias("b")).where("a = b").select("core", "lot", F.col("a").alias("lot_trade"))
     r = r.join(only, ["core", "lot"], "left").withColumn("trade", F.when(F.col("own_trade") == "", F.coalesce("lot_trade", F.lit(""))).otherwise(F.col("own_trade"))).drop("own_trade", "lot_trade")
     facts = ["core", "trade", "number", "sido", "sigungu", "dong", "emdong", "industry", "lot"]
-    r = cut(r.withColumns({"place": F.xxhash64("core", "trade", "lot"), "fact": F.xxhash64(*facts)}))
+    r = cut(r.withColumns({"place": _key("core", "trade", "lot"), "fact": _key(*facts)}))
     f = cut(r.groupBy("place", "fact", *facts).agg(F.count(F.lit(1)).alias("n")))
 
     # blocks: address key; province and village where the district is missing; number and district
@@ -201,9 +234,9 @@ def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.
         (F.col("industry").isNotNull() & F.col("c_industry").isNotNull()).cast("double").alias("industry_known"),
     )
     sims = ["name", "addr", "number", "number_known", "industry", "industry_known"]
-    evidence = cut(x.groupBy("place", "fact", "n").agg(F.array_sort(F.collect_list(F.struct("company_id", *sims))).alias("e")).withColumn("kind", F.xxhash64("e")))
+    evidence = cut(x.groupBy("place", "fact", "n").agg(F.array_sort(F.collect_list(F.struct("company_id", *sims))).alias("e")).withColumn("kind", _key("e")))
     kinds = evidence.groupBy("place", "kind").agg(F.sum("n").alias("n"), F.first("e").alias("e"))
-    problems = kinds.groupBy("place").agg(F.collect_list(F.struct("kind", "n", "e")).alias("groups"))
+    problems = kinds.groupBy("place").agg(F.array_sort(F.collect_list(F.struct("kind", "n", "e"))).alias("groups"))
 
     def solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -220,11 +253,10 @@ def match_entities(records: DataFrame, entities: DataFrame, *, least: float = 0.
             share = (n / total[place_of_group])[group]
             companies = ev.field("company_id")
             _, entity = np.unique(np.asarray(companies), return_inverse=True)
-            truth = solve_places(place_of_group[group], group, entity.reshape(-1), share, {s: np.asarray(ev.field(s)) for s in sims})
-            places = np.asarray(b.column(0))[place_of_group[group]]
-            yield pa.RecordBatch.from_arrays([pa.array(places), groups.field("kind").take(pa.array(group)), companies, pa.array(truth)], ["place", "kind", "company_id", "truth"])
-
-    solved = problems.select("place", "groups").mapInArrow(solve, "place long, kind long, company_id long, truth double")
-    best = solved.groupBy("place", "kind").agg(F.max(F.struct("truth", (-F.col("company_id")).alias("c"))).alias("b")).select("place", "kind", F.round("b.truth", 4).alias("confidence"), (-F.col("b.c")).alias("company_id")).where(F.col("confidence") >= least)
-    by_fact = evidence.select("place", "fact", "kind").join(best, ["place", "kind"]).select("place", "fact", "company_id", "confidence")
-    return r.select("raw_id", "place", "fact").join(by_fact, ["place", "fact"]).select("raw_id", "company_id", "confidence").distinct()
+            truth, rest = solve_places(place_of_group[group], group, entity.reshape(-1), share, {s: np.asarray(ev.field(s)) for s in sims})
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(place_of_group[group])), groups.field("kind").take(pa.array(group)), companies, pa.array(truth), pa.array(rest)], ["place", "kind", "company_id", "truth", "settled"])
+
+    solved = problems.select("place", "groups").mapInArrow(solve, "place string, kind string, company_id long, truth double, settled boolean")
+    best = solved.groupBy("place", "kind").agg(F.max(F.struct("truth", (-F.col("company_id")).alias("c"))).alias("b"), F.bool_and("settled").alias("settled")).select("place", "kind", "settled", F.round("b.truth", 4).alias("confidence"), (-F.col("b.c")).alias("company_id")).where(F.col("confidence") >= least)
+    by_fact = evidence.select("place", "fact", "kind").join(best, ["place", "kind"]).select("place", "fact", "company_id", "confidence", "settled")
+    return r.select("raw_id", "place", "fact").join(by_fact, ["place", "fact"]).select("raw_id", "company_id", "confidence", "settled").distinct()
