@@ -129,9 +129,10 @@ def test_matching_values(spark):
     got = {r["id"]: r["name"] for r in freevalues.map_column_values(rows, "id", ["m"], ref).collect()}
     U = freevalues.UNMATCHED
     assert got == {1: "누리폰 14", 2: "누리폰 14 프로", 3: "하람 S24", 4: "누리폰 14", 5: U, 6: U, 7: U, 8: U}
-    # in blocks of one entry the same
-    again = freevalues.map_column_values(rows.where("id in (0, 5, 6)"), "id", ["m"], ref, block=1)
-    assert {r["id"]: r["name"] for r in again.collect()} == {5: U, 6: U}
+    # the same in blocks of any size
+    for block in (1, 2, 3):
+        again = freevalues.map_column_values(rows, "id", ["m"], ref, block=block)
+        assert {r["id"]: r["name"] for r in again.collect()} == got
     assert freevalues.map_column_values(rows.limit(0), "id", ["m"], ref).count() == 0
 
 
@@ -224,3 +225,15 @@ def test_shares_do_not_depend_on_partitions(spark):
     common = spark.createDataFrame([("나는",), ("the",), ("was",)], "word string")
     one, many = (sorted(tuple(r) for r in quality.line_shares(df.repartition(n), "id", "text", common).collect()) for n in (1, 7))
     assert one == many
+
+
+def test_long_reference_lists(spark):
+    """A list just over the size of a block gives what it gives in one."""
+    rng = random.Random(14)
+    name = lambda: "".join(chr(rng.randint(0xAC00, 0xD7A3)) for _ in range(5))
+    names = sorted({name() for _ in range(401)})
+    ref = spark.createDataFrame([("m", n, [f"{n}폰"]) for n in names], "field string, name string, spellings array<string>")
+    typed = names[:150] + [n + "블랙" for n in names[100:250]] + [n + "폰블랙" for n in names[:60]] + [n[:2] + n[3] + n[2] + n[4] for n in names[200:300]] + [n + rng.choice("가나다") for n in names[300:]] + [name() for _ in range(50)]
+    rows = spark.createDataFrame(list(enumerate(typed)), "id long, m string")
+    got = [sorted(map(tuple, freevalues.map_column_values(rows, "id", ["m"], ref, block=n).collect())) for n in (400, 401, 150)]
+    assert got[0] == got[1] == got[2] and sum(r[2] != freevalues.UNMATCHED for r in got[0]) > 300

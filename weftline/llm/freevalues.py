@@ -19,18 +19,19 @@ import math
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from weftline.functions import hangul
 from weftline.llm.lookalikes import HOMOGLYPHS, plain_rewriter
 from weftline.operators.lineage import cut
 
 UNMATCHED = "UNMATCHED"
-#: Reference entries per pass; longer lists are looked up in several passes.
+#: Reference entries per pass; longer lists are looked up in several passes, with the same results.
 BLOCK = 50_000
 _MARKS = re.compile("[̀-ͯ]")
 #: Small forms of capitals that look Latin: text that was lower-cased after a look-alike had slipped in.
@@ -123,16 +124,15 @@ class Dictionary:
         self.max_edits = max_edits
         self.exact: dict[str, set[str]] = defaultdict(set)
         self.words: dict[str, set[str]] = defaultdict(set)
-        self.tokens: set[str] = set()
         for name, spellings in entries.items():
             for s in {name, *(x for x in spellings if x)}:
                 folded = fold(s)
                 if key := compact(folded):
                     self.exact[key].add(name)
                 words = re.findall(r"[^\W_]+\+?", folded)
-                self.tokens |= set(words)
                 if len(words) > 1:
                     self.words["\0".join(sorted(words))].add(name)
+        self.longest = max(map(len, self.exact), default=0)
         self.deleted: dict[str, list[str]] = defaultdict(list)
         for key in self.exact:
             for d in _deletes(key, self._edits(key)):
@@ -141,15 +141,17 @@ class Dictionary:
     def _edits(self, key: str) -> int:
         return min(self.max_edits, 2 if len(key) >= 8 else 1)
 
-    def prefix(self, value: str) -> tuple[set[str], str] | None:
-        """Longest spelling that ``value`` begins with, and the rest; None if value is itself a spelling."""
+    def prefix(self, value: str) -> tuple[set[str], int, str] | None:
+        """Names of the longest spelling that ``value`` begins with, its length and the rest; no rest if value is itself a spelling."""
         s = compact(fold(value))
-        if not s or s in self.exact:
-            return None
-        return next(((self.exact[s[:i]], s[i:]) for i in range(len(s) - 1, 0, -1) if s[:i] in self.exact), None)
+        return next(((self.exact[s[:i]], i, s[i:]) for i in range(min(len(s), self.longest), 0, -1) if s[:i] in self.exact), None)
 
     def candidates(self, value: str, decorations: frozenset[str] = frozenset()) -> dict[str, float]:
-        """name -> least cost, of the names within reach."""
+        """name -> least cost, of the names within reach; exact spellings end the search."""
+        return self.reach(value, decorations)[0]
+
+    def reach(self, value: str, decorations: frozenset[str] = frozenset()) -> tuple[dict[str, float], bool]:
+        """(name -> least cost, whether by exact spellings)."""
         best: dict[str, float] = {}
 
         def offer(names: Iterable[str], cost: float) -> None:
@@ -166,15 +168,16 @@ class Dictionary:
         for form, cost in forms:
             offer(self.words.get(form, ()) if "\0" in form else self.exact.get(form, ()), cost)
         if best:
-            return best
+            return best, True
         for form, cost in forms:
-            if "\0" in form:
+            # what is longer than all spellings by more than the edits is near none
+            if "\0" in form or len(form) > self.longest + self.max_edits:
                 continue
             codes = _codes(form)
             for key in {k for d in _deletes(form, self._edits(form)) for k in self.deleted.get(d, ())}:
                 if codes == _codes(key) and (w := distance(form, key, limit := _limit(min(len(key), len(form))))) <= limit:
                     offer(self.exact[key], cost + w)
-        return best
+        return best, False
 
 
 def _dictionaries(entries: list[tuple[str, str, list[str]]], max_edits: int) -> dict[str, Dictionary]:
@@ -194,33 +197,74 @@ def _blocks(reference: DataFrame, size: int) -> Iterator[list[tuple[str, str, li
     yield block
 
 
-def decorations(values: DataFrame, entries: list[tuple[str, str, list[str]]], share: float = 0.15) -> dict[str, frozenset[str]]:
-    """Endings, by field, that follow spellings of at least ``share`` of the entries (two at least).
+def _in_blocks(values: DataFrame, reference: DataFrame, size: int, work: Callable[[dict[str, Dictionary], str, str], Iterable[tuple]], schema: str, max_edits: int) -> DataFrame:
+    """Rows of ``work(dictionaries, field, value)`` for every value and block of the reference; the driver holds one block, or two."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    blocks, out = _blocks(reference, size), None
+    entries = next(blocks)
+    while entries is not None:
+        after = next(blocks, None)
+
+        def run(batches: Iterable[pa.RecordBatch], entries=entries) -> Iterator[pa.RecordBatch]:
+            dictionaries = _dictionaries(entries, max_edits)
+            for b in batches:
+                rows = [(f, v, *r) for f, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if f in dictionaries and v for r in work(dictionaries, f, v)]
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], arrow)
+
+        empty = values.sparkSession.createDataFrame([], schema)
+        arrow = to_arrow_schema(empty.schema)
+        part = values.select("field", "value").mapInArrow(run, schema)
+        if after is not None or out is not None:
+            part = cut(part)
+        out = part if out is None else out.unionByName(part)
+        entries = after
+    return out
+
+
+def _near_word(end: str, word: str) -> bool:
+    """Whether an ending is a word of the reference list, or one misspelt."""
+    return distance(end, word, 1.1) <= (1.1 if word.isascii() and len(word) > 2 else 0.6)
+
+
+def decorations(values: DataFrame, reference: DataFrame, share: float = 0.15, block: int = BLOCK) -> dict[str, frozenset[str]]:
+    """Endings, by field, that follow spellings of at least ``share`` of all entries (two at least).
 
     ``values``: (field, value). Endings within an edit of a word of the
     reference list are misspelt parts of names and don't count. An ending
-    needs that many entries to vote for it, so few can come of it.
+    needs that many entries to vote for it, so few can come of it. Blocks of
+    the reference vote together: of all blocks the longest spelling counts.
     """
-    names: dict[str, set[str]] = defaultdict(set)
-    for field, name, _ in entries:
-        names[field].add(name)
-    least = {f: max(2, math.ceil(share * len(n))) for f, n in names.items()}
+    r = reference.where("field is not null and name is not null")
+    least = {x["field"]: max(2, math.ceil(share * x["n"])) for x in r.groupBy("field").agg(F.countDistinct("name").alias("n")).toLocalIterator()}
 
-    def vote(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionaries = _dictionaries(entries, 1)
-        for b in batches:
-            rows = {(f, p[1], n) for f, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if f in dictionaries and v and (p := dictionaries[f].prefix(v)) for n in p[0]}
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["field", "ending", "name"])
+    def vote(dictionaries: dict[str, Dictionary], field: str, value: str) -> list[tuple]:
+        p = dictionaries[field].prefix(value)
+        return [(p[1], p[2], n) for n in p[0]] if p else []
 
-    votes = values.select("field", "value").mapInArrow(vote, "field string, ending string, name string").distinct().groupBy("field", "ending").agg(F.count(F.lit(1)).alias("n"))
+    found = _in_blocks(values, r, block, vote, "field string, value string, length int, ending string, name string", 1)
+    longest = found.groupBy("field", "value").agg(F.max("length").alias("l"), F.max_by("ending", "length").alias("ending"), F.collect_set(F.struct("length", "name")).alias("by")).where("ending <> ''")
+    votes = longest.select("field", "ending", F.explode(F.filter("by", lambda x: x["length"] == F.col("l"))).alias("x")).groupBy("field", "ending").agg(F.countDistinct("x.name").alias("n"))
     votes = votes.where(F.col("n") >= F.coalesce(*[F.when(F.col("field") == f, k) for f, k in least.items()], F.lit(2)))
-    own = {f: d.tokens for f, d in _dictionaries(entries, 1).items()}
-    out: dict[str, set[str]] = defaultdict(set)
-    for r in votes.toLocalIterator():
-        field, end = r["field"], r["ending"]
-        if not any(distance(end, t, 1.1) <= (1.1 if t.isascii() and len(t) > 2 else 0.6) for t in own[field]):
-            out[field].add(end)
-    return {f: frozenset(v) for f, v in out.items()}
+    ends: dict[str, set[str]] = defaultdict(set)
+    for x in votes.toLocalIterator():
+        ends[x["field"]].add(x["ending"])
+    if not ends:
+        return {}
+
+    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near: set[tuple[str, str]] = set()
+            seen: set[tuple[str, str]] = set()
+            for f, n, spellings in zip(*(c.to_pylist() for c in b.columns)):
+                for w in {w for x in (n, *(spellings or [])) if x for w in re.findall(r"[^\W_]+\+?", fold(x))}:
+                    if f in ends and (f, w) not in seen:
+                        seen.add((f, w))
+                        near |= {(f, e) for e in ends[f] if _near_word(e, w)}
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in near], pa.string()) for k in (0, 1)], ["field", "ending"])
+
+    for x in r.select("field", "name", "spellings").mapInArrow(words, "field string, ending string").distinct().toLocalIterator():
+        ends[x["field"]].discard(x["ending"])
+    return {f: frozenset(v) for f, v in ends.items()}
 
 
 def match_values(values: DataFrame, reference: DataFrame, *, max_edits: int = 2, share: float = 0.15, margin: float = 0.2, outnumber: int = 1000, block: int = BLOCK) -> DataFrame:
@@ -231,24 +275,23 @@ def match_values(values: DataFrame, reference: DataFrame, *, max_edits: int = 2,
     ``margin`` more or is ``outnumber`` times rarer in the data; otherwise the
     value doesn't single one out. Null, empty and unreadable values and fields
     without a list are UNMATCHED; of repeated rows one result comes out. The
-    dictionary is broadcast in blocks of ``block`` entries.
+    dictionary is broadcast in blocks of ``block`` entries, whose size changes
+    no result: endings are learned over all blocks, and an exact spelling in
+    one block overrules near ones in others.
     """
     values = cut(values.select("field", "value", "n").groupBy("field", "value").agg(F.sum("n").alias("n")))
-    found = None
-    for entries in _blocks(reference, block):
-        ends = decorations(values, entries, share)
+    ends = decorations(values, reference, share, block)
 
-        def look(batches: Iterable[pa.RecordBatch], entries=entries, ends=ends) -> Iterator[pa.RecordBatch]:
-            dictionaries = _dictionaries(entries, max_edits)
-            for b in batches:
-                rows = [(f, v, n, c) for f, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if f in dictionaries and v for n, c in dictionaries[f].candidates(v, ends.get(f, frozenset())).items()]
-                yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.string()) for i in range(3)), pa.array([r[3] for r in rows], pa.float64())], ["field", "value", "name", "cost"])
+    def look(dictionaries: dict[str, Dictionary], field: str, value: str) -> list[tuple]:
+        best, exact = dictionaries[field].reach(value, ends.get(field, frozenset()))
+        return [(n, c, exact) for n, c in best.items()]
 
-        part = values.select("field", "value").mapInArrow(look, "field string, value string, name string, cost double")
-        found = part if found is None else found.unionByName(part)
-    found = cut(found)
+    found = cut(_in_blocks(values, reference, block, look, "field string, value string, name string, cost double, exact boolean", max_edits))
     often = found.where("cost = 0").join(values, ["field", "value"]).groupBy("field", "name").agg(F.sum("n").alias("often"))
-    ranked = found.join(often, ["field", "name"], "left").groupBy("field", "value").agg(F.sort_array(F.collect_list(F.struct("cost", (-F.coalesce("often", F.lit(0))).alias("rare"), "name"))).alias("c"))
+    ranked = found.join(often, ["field", "name"], "left").groupBy("field", "value").agg(F.bool_or("exact").alias("exact"), F.sort_array(F.collect_set(F.struct("cost", (-F.coalesce("often", F.lit(0))).alias("rare"), "name", "exact"))).alias("c"))
+    # a name may be offered by several blocks: its least cost counts
+    ranked = ranked.select("field", "value", F.filter("c", lambda x: x["exact"] == F.col("exact")).alias("c"))
+    ranked = ranked.withColumn("c", F.filter("c", lambda x, i: F.array_position(F.transform("c", lambda y: y["name"]), x["name"]) == i + 1))
     a, b = F.get("c", F.lit(0)), F.get("c", F.lit(1))
     single = b.isNull() | (b["cost"] - a["cost"] >= margin) | (a["rare"] <= b["rare"] * outnumber) & (a["rare"] < 0)
     best = ranked.where(single).select(F.col("field").alias("f"), F.col("value").alias("v"), a["name"].alias("name"), a["cost"].alias("cost"))
