@@ -67,3 +67,37 @@ def test_stored_figures(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "k string, v double")
     assert P.quantiles(P.build_digest(none, ["k"], "v"), ["k"], {"m": 0.5}).count() == 0
+
+
+def check_digest(digest, df, g, bound):
+    vs = sorted(r["v"] for r in df.where(F.col("g").eqNullSafe(F.lit(g))).collect() if r["v"] is not None and r["v"] == r["v"])
+    out = P.quantiles(digest, ["g"], {"a": 0.01, "b": 0.5, "c": 0.9}).where(F.col("g").eqNullSafe(F.lit(g))).first()
+    assert out["n"] == len(vs)
+    for name, p in (("a", 0.01), ("b", 0.5), ("c", 0.9)):
+        x = out[name]
+        assert max(0, sum(v < x for v in vs) / len(vs) - p, p - sum(v <= x for v in vs) / len(vs)) < bound
+
+
+def test_digests_before_the_shuffle(spark, monkeypatch):
+    rng = random.Random(31)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 else f"g{i % 5}", rng.choice([None, float("nan"), -0.0, rng.gauss(0, 1), float(rng.randrange(5))])) for i in range(8000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6).withColumn("weight", F.lit("clash"))
+    for chunk, hot in ((P.CHUNK, P.HOT), (300, 100)):
+        monkeypatch.setattr(P, "CHUNK", chunk)
+        monkeypatch.setattr(P, "HOT", hot)
+        digest = P.build_digest(df, ["g"], "v")
+        for g in ("hot", "g1", None):
+            check_digest(digest, df, g, 0.03)
+    assert P.build_digest(df.where("g = 'hot'"), ["g"], "v").count() <= P.DELTA
+    two = P.build_digest(df.withColumn("k", F.col("v") > 0), ["g", "k"], "v")
+    assert two.agg(F.sum("weight")).first()[0] == df.where("v is not null and not isnan(v)").count()
+
+
+def test_hot_groups_are_cut_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(P, "HOT", 500)
+    rng = random.Random(32)
+    rows = [(i, "hot" if i % 4 else f"g{i % 3}", rng.gauss(0, 1)) for i in range(4000)]
+    df = spark.createDataFrame(rows + rows[:900], "id long, g string, v double")
+    digest = P.build_digest(df, ["g"], "v", row_id="id")
+    for g in ("hot", "g0"):
+        check_digest(digest, df.dropDuplicates(["id"]), g, 0.03)

@@ -35,6 +35,13 @@ def p1_merged(spark: SparkSession, d: str) -> DataFrame:
     return percentiles.quantiles(percentiles.merge_digests(daily, ["capacity"]), ["capacity"], {"p25": 0.25, "median": 0.50, "p75": 0.75, "p99": 0.99})
 
 
+def p1_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of all prices by return flag (a handful of groups hold every row), and whether their certified errors keep within bounds."""
+    ps = {"p01": 0.01, "p25": 0.25, "median": 0.50, "p99": 0.99}
+    q = percentiles.certified_quantiles(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", ps)
+    return q.select("l_returnflag", "n", *[(F.col(f"{p}_error") <= b).alias(f"{p}_ok") for p, b in (("p01", 0.002), ("p25", 0.008), ("median", 0.008), ("p99", 0.002))])
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Listed model or carrier meant by each typed value that isn't itself a listed name."""
     lists = {"model": "phone_models", "carrier": "carriers"}
@@ -134,6 +141,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_percentiles": p1_percentiles,
     "p1_merged": p1_merged,
+    "p1_lines": p1_lines,
     "p3_found": p3_found,
     "p3_matches": p3_matches,
     "p4_found": p4_found,
@@ -163,6 +171,7 @@ SELECT doc_id, len(w)::INT AS words,
   CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: list_contains(c, lower(regexp_replace(x, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g'))))) / len(w), 6) END AS common_share
 FROM w, c
 """.replace("\\\\", "\\"),
+    "p1_lines": "SELECT l_returnflag, count(l_extendedprice) AS n, true AS p01_ok, true AS p25_ok, true AS median_ok, true AS p99_ok FROM lineitem GROUP BY 1",
     "p7_verified": "SELECT count(*) AS documents, sum(CASE WHEN n > 8192 THEN (n + 8191) // 8192 ELSE 1 END)::BIGINT AS pieces, sum(n)::BIGINT AS bytes, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS gaps, true AS tight FROM (SELECT doc_id, coalesce(max(strlen(text)), 0) AS n FROM documents GROUP BY 1)",
     "p7_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
     "p1_found": """
