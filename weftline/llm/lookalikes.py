@@ -230,14 +230,16 @@ def canonical_text(df: DataFrame, key: list[str], text: str, counts: DataFrame |
 def same_look_pairs(df: DataFrame, field: str, key: str, text: str) -> DataFrame:
     """(field, key_a, key_b): keys of one field whose texts look the same but differ, key_a < key_b.
 
-    A key that has several texts pairs with each other key once. Classes whose
-    texts are all equal are dropped before the join, so pairs are formed only
-    where they are results.
+    A key that has several texts pairs with each other key once. Different
+    spellings of a class are paired first and their keys joined to them, so
+    equal texts never meet and pairs are formed only where they are results.
     """
     rows = canonical_text(df.select(F.col(field).alias("f"), F.col(key).alias("k"), F.col(text).alias("t")).distinct(), ["f", "k"], "t")
     rows = rows.where(F.col("f").isNotNull() & F.col("k").isNotNull())
-    mixed = rows.groupBy("f", "canonical").agg(F.min("raw").alias("__a"), F.max("raw").alias("__b")).where("__a <> __b").select("f", "canonical")
-    rows = rows.join(mixed, ["f", "canonical"], "left_semi")
-    a = rows.select("f", "canonical", F.col("k").alias("key_a"), F.col("raw").alias("raw_a"))
-    b = rows.select("f", "canonical", F.col("k").alias("key_b"), F.col("raw").alias("raw_b"))
-    return a.join(b, ["f", "canonical"]).where("key_a < key_b and raw_a <> raw_b").select(F.col("f").alias("field"), "key_a", "key_b").distinct()
+    spellings = rows.select("f", "canonical", "raw").distinct()
+    a = spellings.select("f", "canonical", F.col("raw").alias("raw_a"))
+    b = spellings.select("f", "canonical", F.col("raw").alias("raw_b"))
+    unlike = a.join(b, ["f", "canonical"]).where("raw_a < raw_b").select("f", "raw_a", "raw_b")
+    keys = lambda x: rows.select("f", F.col("raw").alias(f"raw_{x}"), F.col("k").alias(x))
+    met = unlike.join(keys("a"), ["f", "raw_a"]).join(keys("b"), ["f", "raw_b"]).where("a <> b")
+    return met.select(F.col("f").alias("field"), F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b")).distinct()
