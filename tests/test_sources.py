@@ -1,11 +1,14 @@
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.lineage import cut, forget_all
+from weftline.operators import lineage
+from weftline.operators.lineage import cut, forget_all, scope, spread
+from weftline.session import checkpoint_dir
 from weftline.plans import pipelines as pipe
 from weftline.sources import calendar, files, sinks
 from weftline.sources.market import MarketSource
@@ -95,6 +98,39 @@ def test_cut_survives_void_and_clashes(spark):
     assert df.count() == 3 and df.dtypes[1] == ("nothing", "string")
 
 
+def test_copies_of_a_scope_are_deleted(spark):
+    outer = cut(spark.range(2))
+    with scope(spark):
+        inner = cut(spark.range(3))
+        assert inner.count() == 3
+    assert outer.count() == 2
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        inner.count()
+
+
+def test_spread_shuffles_small_tables_only(spark, monkeypatch):
+    df = spark.range(10).coalesce(1)
+    assert spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(lineage, "SMALL", 10)
+    assert spread(df, "id").rdd.getNumPartitions() == 1
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    Session.conf = type("Conf", (), {"get": lambda self, k, d=None: d})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
 def test_copies_are_deleted(spark):
     df = cut(spark.range(3))
     assert forget_all(spark) >= 1 and forget_all(spark) == 0
@@ -104,15 +140,67 @@ def test_copies_are_deleted(spark):
 
 def test_rotation_counter_in_stream_equals_loop(spark, tmp_path):
     rows = [("a", 0), ("a", 600), ("a", 1200), ("a", 1800), ("b", 0), ("b", 1260), ("b", 2520), ("a", 90000)]
-    spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    # a watermark begins at 1970, and rows at or before it are late
+    start = 1_700_000_000
+    spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds(F.col("s") + start).alias("ts")).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("k string, ts timestamp").parquet(str(tmp_path / "in"))
-    q = streams.to_table(streams.rotation_stream(stream, "k", "ts"), str(tmp_path / "out"), str(tmp_path / "state"), streams.append_merge, "append")
+    out = streams.rotation_stream(stream, "k", "ts")
+    q = streams.to_table(out, str(tmp_path / "out"), str(tmp_path / "state"))
     q.awaitTermination()
-    got = {(r["key"], r["at"]): (r["consecutive"], r["shown"]) for r in sinks.current_snapshot(spark, str(tmp_path / "out")).collect()}
+    got = {(r["key"], r["at"] - start): (r["consecutive"], r["shown"]) for r in streams.current_table(spark, str(tmp_path / "out"), out.schema).collect()}
     # three showings in a row suppress for a day; a gap of 21 minutes starts anew
     assert got == {("a", 0): (1, True), ("a", 600): (2, True), ("a", 1200): (0, True), ("a", 1800): (0, False), ("b", 0): (1, True), ("b", 1260): (1, True), ("b", 2520): (1, True), ("a", 90000): (1, True)}
 
 
+def test_rotation_state_ends_and_late_rows_change_nothing(spark, tmp_path):
+    src, hour = tmp_path / "in", 3600
+    # one file a batch, in this order; the third row of a comes after a later one, its fourth is older than the watermark
+    batches = [[("a", 1000 * hour), ("a", 1000 * hour + 60)], [("a", 1000 * hour + 30), ("b", 1000 * hour)], [("b", 1200 * hour)], [("a", 900 * hour), ("a", 1200 * hour)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(str(src))
+        time.sleep(1.1)
+    stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(src))
+    out = streams.rotation_stream(stream, "k", "ts")
+    streams.to_table(out, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    got = sorted((r["key"], r["at"] / hour - 1000, r["consecutive"], r["shown"]) for r in streams.current_table(spark, str(tmp_path / "out"), out.schema).collect())
+    assert [(k, round(at, 4), n, shown) for k, at, n, shown in got] == [("a", 0, 1, True), ("a", 0.0083, 2, False), ("a", 0.0167, 2, True), ("a", 200, 1, True), ("b", 0, 1, True), ("b", 200, 1, True)]
+
+
+def test_replayed_epochs_change_nothing(spark, tmp_path):
+    root = str(tmp_path / "keyed")
+    make = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    read = lambda: sorted((tuple(r) for r in streams.current_table(spark, root, make([]).schema).collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert read() == []
+    first, second, third = [(i, "a") for i in range(20)] + [(None, "n")], [(3, "b"), (30, "b")], [(3, "c")]
+    streams.merge_epoch(make(first), 0, root, ["k"], 4)
+    streams.merge_epoch(make(second), 1, root, ["k"], 4)
+    want = sorted([(i, "b" if i == 3 else "a") for i in range(20)] + [(30, "b")]) + [(None, "n")]
+    assert read() == want
+    # the epoch comes again: after it was applied, and after it failed before its manifest
+    streams.merge_epoch(make(second), 1, root, ["k"], 4)
+    assert read() == want
+    kept = streams.read_manifest(spark, root)
+    make([(3, "half")]).withColumn("__bucket", F.lit(0)).write.partitionBy("__bucket").parquet(f"{root}/epoch=2")
+    assert read() == want and streams.read_manifest(spark, root) == kept
+    streams.merge_epoch(make(third), 2, root, ["k"], 4)
+    assert (3, "c") in read() and (3, "half") not in read() and (None, "n") in read()
+    # untouched buckets were not written again
+    assert len(list((tmp_path / "keyed" / "epoch=2").glob("__bucket=*"))) == 1
+    streams.merge_epoch(make(third), 3, root, ["k"], 4)
+    assert (3, "c") in read()
+
+
+def test_appended_epochs_are_overwritten_by_their_replay(spark, tmp_path):
+    src = str(tmp_path / "in")
+    spark.range(5).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("id long").parquet(src)
+    for _ in range(2):
+        # the second query has lost its checkpoint and reads all again
+        state = str(tmp_path / f"state{_}")
+        streams.to_table(stream, str(tmp_path / "out"), state).awaitTermination()
+        assert streams.current_table(spark, str(tmp_path / "out"), stream.schema).count() == 5
+
+
 def test_resolution_decisions(spark):
     raw = spark.createDataFrame([(1, "가나다라건설", "n1", "a1", "i"), (2, "(주)마바사아식품", None, None, None), (3, "가나다라건성", None, "a9", "x"), (4, "전혀", None, None, None)], "raw_id long, name string, number string, addr_key string, industry string")
     dim = spark.createDataFrame([(7, "가나다라건설", "n1", "a1", "i"), (8, "자차카타", "n2", "a2", "j")], "company_id long, name string, number string, addr_key string, industry string")

@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weftline.session import checkpoint_dir
 
 
+#: Bytes up to which ``spread`` may shuffle a table.
+SMALL = 1 << 30
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores, for work that is heavy per row.
+    """A small ``df`` over at least as many partitions as there are cores, for work that is heavy per row.
 
-    A small table often is one file and would keep one core busy. Inputs that
-    already fill the cores, as all large ones do, are left as they are: they
-    are not shuffled.
+    A small table often is one file and would keep one core busy. What is
+    estimated at more than SMALL bytes is split by its scan (see
+    spark.sql.files.maxPartitionBytes) and never shuffled here, whatever the
+    number of cores; nor is what already fills the cores.
     """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
@@ -57,6 +66,17 @@ def forget_all(spark: SparkSession) -> int:
     return n
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies made inside once the block ends: write or collect its results before."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        while len(_WRITTEN) > before:
+            remove(spark, _WRITTEN.pop())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

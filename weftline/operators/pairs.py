@@ -40,6 +40,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         forget(label)
         label = new.select("node", "l")
         if not moved:
+            forget(e)
             return label.select("node", F.col("l").alias("component"))
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.lineage import cut
+from weftline.operators.lineage import cut, forget
 
 
 def _walk(nodes: list, parent: str | None, root: str | None, path: str, depth: int, compat: bool) -> Iterator[tuple]:
@@ -70,4 +70,6 @@ def build_paths(edges: DataFrame, node: str, parent: str, order: str) -> DataFra
         above = seen.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("root").alias("r2"), F.col("path").alias("p2"), F.col("depth").alias("d2"))
         # a parent that isn't there ends the search without a root
         open_ = seen.where("up is not null").join(above, "up").select("node", F.col("up2").alias("up"), F.col("r2").alias("root"), F.concat_ws(".", "p2", "path").alias("path"), (F.col("depth") + F.col("d2") + 1).alias("depth"))
-        seen = cut(seen.where("up is null").unionByName(open_))
+        longer = cut(seen.where("up is null").unionByName(open_))
+        forget(seen)
+        seen = longer

@@ -306,13 +306,10 @@ def c16_crawl_statistics(s: SparkSession, d: str) -> DataFrame:
 
 
 def _run(s: SparkSession, stream: DataFrame, keys: list[str] | None) -> DataFrame:
-    """The snapshot that a stream leaves behind after all that has arrived."""
-    from weftline.sources.sinks import current_snapshot
-
+    """The table that a stream leaves behind after all that has arrived."""
     root = f"{checkpoint_dir(s).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    merge = streams.keyed_merge(keys) if keys else streams.append_merge
-    streams.to_table(stream, f"{root}/table", f"{root}/state", merge, "update" if keys else "append").awaitTermination()
-    return current_snapshot(s, f"{root}/table")
+    streams.to_table(stream, f"{root}/table", f"{root}/state", keys).awaitTermination()
+    return streams.current_table(s, f"{root}/table", stream.schema)
 
 
 @query("""WITH w AS (SELECT user_id, event_id, value, ts, unnest([0, 1, 2]) AS k FROM events), x AS (SELECT user_id, event_id, value, ts, (floor(epoch(ts))::BIGINT // 28800 - k) * 28800 AS a FROM w)
@@ -327,11 +324,37 @@ def t03_trend_stream(s: SparkSession, d: str) -> DataFrame:
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events), n AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM n GROUP BY user_id, k""")
 def t04_sessions(s: SparkSession, d: str) -> DataFrame:
-    # a session's rows are complete in batch; the stream form emits it once the watermark has passed
     e = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return streams.session_stream(e, "user_id", "ts", "6 hours").select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "n")
 
 
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events), n AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, count(*) AS n FROM n GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def t04_session_stream(s: SparkSession, d: str) -> DataFrame:
+    """A session comes out once the watermark, an hour behind the latest row, has passed its end."""
+    e = streams.session_stream(streams.table_stream(s, d, "events"), "user_id", "ts", "6 hours", "1 hour")
+    return _run(s, e, None).select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "n")
+
+
+@query("""WITH t AS (SELECT ts - INTERVAL 5 DAY AS mark FROM events WHERE event_id % 2 = 0 ORDER BY ts DESC, event_id DESC LIMIT 1 OFFSET 1) SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events, t WHERE event_id % 2 = 0 OR date_trunc('day', ts) + INTERVAL 1 DAY > mark GROUP BY ALL""")
+def t05_late_rows(s: SparkSession, d: str) -> DataFrame:
+    """Events with odd ids arrive after all others: those of days that had ended five days before the latest but one of the others come too late.
+
+    Rows are held against the watermark of the batch before, so the latest
+    row with an even id is a batch of its own in between.
+    """
+    folder = f"{checkpoint_dir(s).rstrip('/')}/arrivals-{uuid.uuid4().hex}"
+    e = table(s, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id")
+    even = e.where(F.col("event_id") % 2 == 0)
+    latest = even.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
+    for arrival in (even.join(latest.select("event_id"), "event_id", "left_anti"), latest, e.where(F.col("event_id") % 2 != 0)):
+        arrival.select("ts", "event_type").coalesce(1).write.mode("append").parquet(folder)
+    stream = s.readStream.schema("ts timestamp, event_type string").option("maxFilesPerTrigger", 1).parquet(folder)
+    days = stream.withWatermark("ts", "5 days").groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = _run(s, days.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), ["day", "event_type"])
+    return out.select("day", "event_type", "n")
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def t06_dedupe_stream(s: SparkSession, d: str) -> DataFrame:
     e = streams.table_stream(s, d, "events").select("user_id", "event_type", "ts")
@@ -341,7 +364,7 @@ def t06_dedupe_stream(s: SparkSession, d: str) -> DataFrame:
 @query()
 def t07_rotation_stream(s: SparkSession, d: str) -> DataFrame:
     """Counter with gaps and cooldown per user, as keyed state; tests compare it with a plain loop."""
-    e = streams.table_stream(s, d, "events").where("event_type = 'view'")
+    e = streams.table_stream(s, d, "events")
     return _run(s, streams.rotation_stream(e, "user_id", "ts", gap=6 * 3600, hits=3, cooldown=86400), None)
 
 

@@ -55,7 +55,9 @@ def ship(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder shared by all executors, as named in spark.checkpoint.dir.
 
-    Only where that is unset (tests, one machine) a temporary folder is made.
+    Only where that is unset and all runs on one machine (tests) a temporary
+    folder is made; on a cluster the setting is required, as a folder of the
+    driver's machine would not be seen by the executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -63,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-checkpoint-"))
         current = sc.getCheckpointDir()
     return current

@@ -27,25 +27,40 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/v{time.time_ns()}"
     df.write.parquet(path)
+    replace_file(spark, f"{root}/current.txt", path)
+    return path
+
+
+def replace_file(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file beside ``path`` and rename it over it."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, now = jvm.org.apache.hadoop.fs.Path(f"{root}/next.txt"), jvm.org.apache.hadoop.fs.Path(f"{root}/current.txt")
+    now, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.next")
     fs = now.getFileSystem(conf)
     out = fs.create(new, True)
-    out.write(path.encode())
+    out.write(content.encode())
     out.close()
     fs.delete(now, False)
     if not fs.rename(new, now):
-        raise OSError(f"{now} could not be written")
-    return path
+        raise OSError(f"{path} could not be written")
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def current_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """The version that ``publish_snapshot`` made last, None before the first."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/current.txt")
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return None
-    path = spark.read.text(f"{root}/current.txt").first()[0]
-    return spark.read.parquet(path)
+    path = read_file(spark, f"{root}/current.txt")
+    return None if path is None else spark.read.parquet(path)
 
 
 def write_copy_text(df: DataFrame, path: str, null: str = "\\N") -> None:
