@@ -87,7 +87,7 @@ def test_sinks(spark, tmp_path):
 
 def test_market_source(spark, tmp_path):
     df = spark.createDataFrame([(datetime.date(2024, 1, 2), "1", "A", "n"), (datetime.date(2024, 1, 3), "2", "B", "m")], "date date, ticker string, exchange string, name string")
-    df.write.parquet(str(tmp_path / "m"))
+    df.write.partitionBy("date", "exchange").parquet(str(tmp_path / "m" / "names"))
     spark.dataSource.register(MarketSource)
     got = spark.read.format("weftline_market").option("path", str(tmp_path / "m")).option("dates", "2024-01-02,2024-01-03").option("exchanges", "A,C").load()
     assert [tuple(r) for r in got.collect()] == [(datetime.date(2024, 1, 2), "1", "A", "n")]

@@ -35,6 +35,11 @@ def weighted_delta(parts: list[tuple[Column, Column, float]]) -> Column:
     return total
 
 
+def ratio(a: Column, b: Column, digits: int) -> Column:
+    """a / b, halves rounded to even; null where b is 0 or null."""
+    return F.when(b != 0, F.bround(a / b, digits))
+
+
 def clamp01(c: Column) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators import checks
+from weftline.operators.lineage import cut
 from weftline.operators.relational import keep_first
 
 
@@ -119,3 +120,25 @@ def advance_control(control: DataFrame, facts: DataFrame, name: str, month: str)
     """Control table with the greatest month of ``facts`` as the watermark of ``name``; it never goes back."""
     top = facts.agg(F.max(month).alias("last")).select(F.lit(name).alias("name"), "last")
     return control.unionByName(top).groupBy("name").agg(F.max("last").alias("last"))
+
+
+def apply_cohort(cohort: DataFrame, queues: dict[str, tuple[DataFrame, Column, dict[str, Column]]]) -> dict[str, DataFrame]:
+    """Several queues changed by one cohort (k), and ``cohort`` itself: all see the rows it had when this was called.
+
+    ``queues``: name -> (queue, what its rows are named by in the cohort,
+    changes). The cohort is written once, so a queue's changes don't move the
+    cohort of the next; repeated and null names count once and not at all.
+    """
+    taken = cut(cohort.select("k").where("k is not null").distinct())
+    out = {"cohort": taken}
+    for name, (queue, key, changes) in queues.items():
+        j = queue.withColumn("__key", key).join(taken.withColumn("__hit", F.lit(1)), F.col("__key") == F.col("k"), "left")
+        out[name] = j.select(*[F.when(F.col("__hit").isNotNull(), changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in queue.columns])
+    return out
+
+
+def supersede(queue: DataFrame, newer: DataFrame, key: list[str], open_: Column, changes: dict[str, Column]) -> DataFrame:
+    """Queue whose open rows change where ``newer`` has work of the same key; rows that aren't open stay."""
+    marked = queue.join(newer.select(*key).distinct().withColumn("__newer", F.lit(1)), key, "left")
+    hit = F.col("__newer").isNotNull() & F.coalesce(open_, F.lit(False))
+    return marked.select(*[F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in queue.columns])

@@ -25,7 +25,11 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
 
     Recursive comments stay JSON text. An unreadable file fails the read.
     """
-    docs = spark.read.schema(DOCUMENT).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return explode_posts(spark.read.schema(DOCUMENT).option("multiLine", True).option("mode", "FAILFAST").json(path))
+
+
+def explode_posts(docs: DataFrame) -> DataFrame:
+    """One row per post of documents read with the schema DOCUMENT."""
     return docs.select(F.col("_metadata.file_name").alias("file"), "meta", F.explode("posts").alias("post")).select("file", F.col("meta.site").alias("meta_site"), F.col("meta.crawled_at").alias("crawled_at"), "post.*")
 
 
@@ -35,6 +39,20 @@ def read_posts_stream(spark: SparkSession, folder: str, max_files: int = 100) ->
     return docs.select("meta", F.explode("posts").alias("post")).select(F.col("meta.site").alias("meta_site"), "post.*")
 
 
+def arrivals(spark: SparkSession, folder: str, cursor: DataFrame | None, pattern: str = "*.json") -> DataFrame:
+    """(file, mtime, kind) of files that are new or were written again since ``cursor`` (file, mtime), in the order of their names.
+
+    A file stream reads a path once; this also tells files that changed under
+    their path. The result without ``kind`` is what the next cursor takes up.
+    """
+    now = _scan(spark, folder, pattern, ["path", "modificationTime"]).select(F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("modificationTime").alias("mtime"))
+    if cursor is None:
+        return now.withColumn("kind", F.lit("new")).orderBy("file")
+    known = now.join(cursor.select("file", F.col("mtime").alias("__seen")), "file", "left")
+    kind = F.when(F.col("__seen").isNull(), "new").when(F.col("mtime") > F.col("__seen"), "changed")
+    return known.withColumn("kind", kind).where("kind is not null").select("file", "mtime", "kind").orderBy("file")
+
+
 def post_id_counts(posts: DataFrame) -> DataFrame:
     """Posts, distinct ids and repeated ids of every file."""
     return posts.groupBy("file").agg(F.count(F.lit(1)).alias("posts"), F.countDistinct("post_id").alias("ids")).withColumn("repeated", F.col("posts") - F.col("ids"))

@@ -31,6 +31,24 @@ def publish_snapshot(df: DataFrame, root: str) -> str:
     return path
 
 
+def publish_tables(tables: dict[str, DataFrame], root: str) -> None:
+    """New versions of several tables, which readers see together: one pointer names them all."""
+    import json
+
+    version = time.time_ns()
+    paths = {name: f"{root.rstrip('/')}/v{version}/{name}" for name in tables}
+    for name, df in tables.items():
+        df.write.parquet(paths[name])
+    replace_file(next(iter(tables.values())).sparkSession, f"{root}/tables.json", json.dumps(paths))
+
+
+def current_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables that ``publish_tables`` made last, none before the first."""
+    import json
+
+    return {name: spark.read.parquet(path) for name, path in json.loads(read_file(spark, f"{root}/tables.json") or "{}").items()}
+
+
 def replace_file(spark: SparkSession, path: str, content: str) -> None:
     """Write a small file beside ``path`` and rename it over it."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
