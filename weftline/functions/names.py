@@ -18,6 +18,16 @@ LETTERS = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ&", "에이 비 씨 디 이 에프
 # Legal forms of companies.
 LEGAL_FORMS = ["주식회사", "유한회사", "유한책임회사", "합자회사", "합명회사", "재단법인", "사단법인", "협동조합"]
 LEGAL_SHORT = {"㈜": "주식회사", "(주)": "주식회사", "(유)": "유한회사", "(재)": "재단법인", "(사)": "사단법인", "(협)": "협동조합"}
+# Further legal forms taken off names, and names of institutions that hold one and keep it.
+LEGAL_WORDS = [
+    *LEGAL_FORMS, "유한법인", "학교법인", "사회복지법인", "세무법인", "의료법인", "법무법인", "영농조합법인", "영어조합법인", "농업회사법인",
+    "신용협동조합", "농업협동조합", "수산업협동조합", "새마을금고", "사회적협동조합", "사회협동조합",
+]
+PROTECTED = ["새마을금고", "신용협동조합", "농업협동조합"]
+#: First group: what is kept. Read alike by Java's and RE2's regular expressions.
+LEGAL_PATTERN = f"({'|'.join(PROTECTED)})|\\( *[주유합사재협] *\\)|[주유합사재] *\\)|㈜|" + "|".join(w.replace("회사", " *회사") for w in sorted(LEGAL_WORDS, key=lambda w: (-len(w), w)))
+#: Letters with marks and the letters they are without, from Unicode's decompositions.
+ACCENTED = {chr(c): d[0] for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if len(d := unicodedata.normalize("NFD", chr(c))) > 1 and d[0].isascii() and all(unicodedata.category(x) == "Mn" for x in d[1:])}
 BRANCH = r"(본점|지점|지사|센터|영업소|[가-힣]{1,6}점)$"
 
 
@@ -85,21 +95,27 @@ def _half_width(c: Column) -> Column:
     return F.translate(F.translate(c, "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F)))), "　", " ")
 
 
+def plain_letters(c: Column) -> Column:
+    """Latin letters without their marks, composed or not, inside the JVM; ``unaccent`` knows all scripts."""
+    return F.translate(F.regexp_replace(c, r"[\x{0300}-\x{036F}]", ""), "".join(ACCENTED), "".join(ACCENTED.values()))
+
+
 def _no_legal_form(c: Column) -> Column:
-    s = F.replace(c, F.lit("㈜"), F.lit(" "))
-    s = F.regexp_replace(s, r"\( *(주|유|재|사|협) *\)", " ")
-    return F.regexp_replace(s, "|".join(LEGAL_FORMS), " ")
+    return F.regexp_replace(c, LEGAL_PATTERN, " $1")
 
 
 def normalize_company(c: Column) -> Column:
-    """Lower-case letters, digits and Hangul, without legal forms and what stands in parentheses."""
-    s = F.regexp_replace(_no_legal_form(F.lower(_half_width(c))), r"\([^()]*\)", " ")
+    """Lower-case letters without accents, digits and Hangul, without legal forms and what stands in parentheses.
+
+    Credit unions and the like keep the legal form that is part of their name.
+    """
+    s = F.regexp_replace(_no_legal_form(F.lower(plain_letters(_half_width(c)))), r"\([^()]*\)", " ")
     return F.regexp_replace(s, "[^0-9a-z가-힣]", "")
 
 
 def canonicalize_company(c: Column) -> Column:
     """Name without legal form, parentheses and branch, letter case kept, white space collapsed; '' becomes null."""
-    s = F.regexp_replace(_no_legal_form(_half_width(c)), r"\([^()]*\)", " ")
+    s = F.regexp_replace(_no_legal_form(plain_letters(_half_width(c))), r"\([^()]*\)", " ")
     s = F.trim(F.regexp_replace(s, r"[ \t\r\n]+", " "))
     s = F.trim(F.regexp_replace(s, f" +{BRANCH}", ""))
     return F.nullif(s, F.lit(""))

@@ -78,6 +78,16 @@ def abs_url(base: Column, c: Column) -> Column:
     return F.when(c.rlike("^[a-zA-Z]+://"), c).when(c.startswith("//"), F.concat(scheme, F.lit(":"), c)).when(c.startswith("/"), F.concat(origin, c)).otherwise(F.concat(F.when(folder == "", origin).otherwise(folder), F.lit("/"), c))
 
 
+def srcset(c: Column) -> Column:
+    """Addresses of a srcset attribute, in order, without their widths and densities."""
+    return F.filter(F.transform(F.split(c, ","), lambda x: F.split_part(F.trim(x), F.lit(" "), F.lit(1))), lambda x: x != "")
+
+
+def abs_urls(base: Column, urls: Column) -> Column:
+    """Addresses made absolute, each once, in order of first occurrence."""
+    return F.array_distinct(F.transform(urls, lambda x: abs_url(base, x)))
+
+
 def image_token(c: Column) -> Column:
     """host/last path segment of a URL; other strings stay."""
     return F.when(c.rlike("^[a-zA-Z]+://"), F.concat(url_host(c), F.lit("/"), F.element_at(F.split(url_path(c), "/"), -1))).otherwise(c)
@@ -109,7 +119,8 @@ def match_terms(c: Column, terms: dict[str, str]) -> Column:
 
 def split_scenarios(c: Column, marker: str) -> Column:
     """The text before and from the first line that begins with ``marker`` (a pattern): one or two parts."""
-    at = F.regexp_instr(c, F.lit(f"(?m)^(?:{marker})"))
+    # measured in characters: positions of matches count surrogates
+    at = F.length(F.regexp_extract(F.concat(F.lit("\n"), c), f"(?s)^(.*?\n)(?:{marker})", 1))
     return F.when(at <= 1, F.array(c)).otherwise(F.array(F.substring(c, F.lit(1), at - 1), F.substring(c, at, F.length(c))))
 
 
@@ -141,7 +152,7 @@ def kst_to_utc(c: Column, as_of: Column) -> Column:
 def date_from_filename(c: Column) -> Column:
     """Date in a file's name: YYYYMMDD, 'Y년 M월' (its first day) or MM_DD_YYYY; null without a valid one."""
     month = F.try_to_date(F.concat_ws("-", F.regexp_extract(c, "([0-9]{4})년", 1), F.lpad(F.regexp_extract(c, "년 *([0-9]{1,2})월", 1), 2, "0"), F.lit("01")), "yyyy-MM-dd")
-    return F.coalesce(F.try_to_date(F.regexp_extract(c, "(20[0-9]{6})", 1), "yyyyMMdd"), month, F.try_to_date(F.regexp_extract(c, "([0-9]{2}_[0-9]{2}_[0-9]{4})", 1), "MM_dd_yyyy"))
+    return F.coalesce(F.try_to_date(F.regexp_extract(c, "((?:19|20)[0-9]{6})", 1), "yyyyMMdd"), month, F.try_to_date(F.regexp_extract(c, "([0-9]{2}_[0-9]{2}_[0-9]{4})", 1), "MM_dd_yyyy"))
 
 
 def safe_filename(c: Column) -> Column:

@@ -13,7 +13,7 @@ from weftline.functions import hashing, text
 from weftline.operators import checks, pairs, relational as rel, state
 from weftline.operators.lineage import cut
 from weftline.plans import pipelines as pipe
-from weftline.plans.functions import _SHINGLES, _TOKENS
+from weftline.plans.functions import _MAPS, _SHINGLES, _TOKENS, key_a_sql
 from weftline.plans.relational import _LISTS, _TRIGRAMS, RANGES, _listings
 from weftline.session import checkpoint_dir
 from weftline.sources import calendar, files
@@ -287,11 +287,10 @@ def c12_rank_changes(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH v AS (SELECT DISTINCT title FROM ss_normalized_posts WHERE title IS NOT NULL), t AS (SELECT name, unnest(aliases_keyb) AS term FROM phone_models), u AS (SELECT term, min(name) AS name FROM t WHERE term <> '' GROUP BY 1),
-a AS (SELECT '(' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DESC, term) || ')' AS p, map(list(term), list(name)) AS m FROM u), k AS (SELECT title, replace(trim(regexp_replace(regexp_replace(lower(title), '[^0-9a-z가-힣+ ]', ' ', 'g'), ' +', ' ', 'g')), ' ', '') AS k FROM v WHERE regexp_full_match(title, '[ -~가-힣ㄱ-ㅣ]*'))
-SELECT title, array_to_string(list_transform(regexp_extract_all(k, p, 1), lambda x: m[x]), ',') AS names FROM k, a""")
+a AS (SELECT '(' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DESC, term) || ')' AS p, map(list(term), list(name)) AS names FROM u), k AS (SELECT title, replace(KEY_A, ' ', '') AS k FROM v, m)
+SELECT title, array_to_string(list_transform(regexp_extract_all(k, p, 1), lambda x: names[x]), ',') AS names FROM k, a""".replace("KEY_A", key_a_sql("title")).replace("WITH v", f"WITH {_MAPS}, v"))
 def c15_dictionary(s: SparkSession, d: str) -> DataFrame:
     terms = {r["term"]: r["name"] for r in table(s, d, "phone_models").select("name", F.explode("aliases_keyb").alias("term")).where("term <> ''").groupBy("term").agg(F.min("name").alias("name")).collect()}
-    # the SQL covers plain titles only: DuckDB has no NFKC
     p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").distinct()
     return pipe.match_dictionary(p, "title", terms).select("title", F.array_join("names", ",").alias("names"))
 

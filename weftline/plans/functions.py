@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,9 +107,12 @@ def f10_embed_token(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "ss_normalized_posts").select("post_id", text.embed_token(F.col("url"), F.lit(None).cast("string")).alias("token")).distinct()
 
 
-@query("SELECT regexp_matches(lower(url), '\\.(png|jpe?g|gif|webp|bmp|svg)(\\?.*)?$') AS image, count(DISTINCT url) AS n FROM deals WHERE url IS NOT NULL GROUP BY 1")
+@query("WITH u AS (SELECT url FROM deals UNION ALL SELECT url || '.JPG?w=1' FROM deals WHERE id % 3 = 0 UNION ALL SELECT url || '/pngs' FROM deals) SELECT regexp_matches(lower(url), '\\.(png|jpe?g|gif|webp|bmp|svg)(\\?.*)?$') AS image, count(DISTINCT url) AS n FROM u WHERE url IS NOT NULL GROUP BY 1")
 def f11_image_url(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "deals").where("url is not null").select("url").distinct().groupBy(text.is_image_url(F.col("url")).alias("image")).agg(F.count(F.lit(1)).alias("n"))
+    """Addresses of deals, a third also as those of images, and some that only look like it."""
+    u = table(s, d, "deals").select("id", "url").where("url is not null")
+    u = u.select("url").unionByName(u.where("id % 3 = 0").select(F.concat("url", F.lit(".JPG?w=1")).alias("url"))).unionByName(u.select(F.concat("url", F.lit("/pngs")).alias("url")))
+    return u.distinct().groupBy(text.is_image_url(F.col("url")).alias("image")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT DISTINCT post_id, md5(coalesce(title, '') || '|' || coalesce(city, '') || '|' || coalesce(payment, '')) AS rev FROM ss_normalized_posts")
@@ -120,18 +125,39 @@ def f13_sorted_json(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "phone_models").select("name", values.sorted_json(F.col("aliases_keyb")).alias("aliases"))
 
 
+def _literal(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+#: NFKC and case folding in SQL: compatibility forms and folded letters one by one, from Unicode's data; composition by nfc_normalize.
+_COMPATIBLE = {ch: d for c in range(0xA0, 0x110000) if not 0xAC00 <= c <= 0xD7A3 and not 0xD800 <= c <= 0xDFFF for ch in [chr(c)] if (d := unicodedata.normalize("NFKD", ch)) != unicodedata.normalize("NFD", ch)}
+_FOLDED = {ch: d for c in range(0x80, 0x20000) if not 0xD800 <= c <= 0xDFFF for ch in [chr(c)] if (d := ch.casefold()) != ch}
+
+
+def _mapped(c: str, m: str) -> str:
+    return f"array_to_string(list_transform(regexp_extract_all({c}, '(?s).'), lambda ch: coalesce({m}[ch], ch)), '')"
+
+
+_MAPS = "m AS MATERIALIZED (SELECT " + ", ".join("MAP {" + ", ".join(f"{_literal(k)}: {_literal(v)}" for k, v in m.items()) + f"}} AS {n}" for n, m in (("compatible", _COMPATIBLE), ("folded", _FOLDED))) + ")"
+
+
+def key_a_sql(c: str) -> str:
+    """Key-A of a column, beside a row of ``_MAPS``."""
+    folded = _mapped(f"lower(nfc_normalize({_mapped(c, 'compatible')}))", "folded")
+    return f"trim(regexp_replace(regexp_replace({folded}, '[^0-9a-z가-힣+ ]', ' ', 'g'), ' +', ' ', 'g'))"
+
+
 _WIDE, _HALF = "".join(map(chr, range(0xFF01, 0xFF5F))) + "　", ("".join(map(chr, range(0x21, 0x7F))) + " ").replace("'", "''")
 
 
-@query(f"SELECT v AS model, trim(regexp_replace(regexp_replace(lower(translate(v, '{_WIDE}', '{_HALF}')), '[^0-9a-z가-힣+ ]', ' ', 'g'), ' +', ' ', 'g')) AS key_a, replace(trim(regexp_replace(regexp_replace(lower(translate(v, '{_WIDE}', '{_HALF}')), '[^0-9a-z가-힣+ ]', ' ', 'g'), ' +', ' ', 'g')), ' ', '') AS key_b FROM (SELECT DISTINCT model AS v FROM deals WHERE model IS NOT NULL)")
+@query(f"WITH {_MAPS}, v AS (SELECT DISTINCT model AS v FROM deals WHERE model IS NOT NULL), k AS (SELECT v, {key_a_sql('v')} AS k FROM v, m) SELECT v AS model, k AS key_a, replace(k, ' ', '') AS key_b FROM k")
 def f14_keys(s: SparkSession, d: str) -> DataFrame:
     m = table(s, d, "deals").select("model").where("model is not null").distinct()
     return m.select("model", text.key_a(F.col("model")).alias("key_a"), text.key_b(F.col("model")).alias("key_b"))
 
 
-@query("SELECT doc_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\r\\n\\x{A0}]+', ' ', 'g'))) AS plain FROM documents WHERE contains(text, '<')")
+@query("SELECT doc_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'gs'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\r\\n\\x{A0}]+', ' ', 'g'))) AS plain FROM documents WHERE text IS NOT NULL")
 def f15_strip_html(s: SparkSession, d: str) -> DataFrame:
-    # the SQL covers documents with tags only
     return table(s, d, "documents").where("text is not null").select("doc_id", F.md5(text.strip_html(F.col("text"))).alias("plain"))
 
 
@@ -140,9 +166,12 @@ def f17_norm_url(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "deals").select("url").where("url is not null").distinct().select("url", text.norm_url(F.col("url")).alias("norm"))
 
 
-@query("SELECT DISTINCT post_id, 'https://deal-board.example/a/' || post_id || '.png' AS absolute FROM ss_normalized_posts")
+@query("""SELECT post_id, x.i::INT AS "at", x.u AS url FROM (SELECT DISTINCT post_id, unnest([{i: 0, u: 'https://deal-board.example/a/' || post_id || '.png'}, {i: 1, u: 'https://cdn.example/' || post_id || '-2x.png'}, {i: 2, u: 'https://deal-board.example/r/' || post_id || '.webp'}]) AS x FROM ss_normalized_posts)""")
 def f18_abs_url(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "ss_normalized_posts").select("post_id", text.abs_url(F.lit("https://deal-board.example/a/list?x=1"), F.concat("post_id", F.lit(".png"))).alias("absolute")).distinct()
+    """Addresses of a set of sources, made absolute, each once, in order of first occurrence."""
+    srcset = F.concat("post_id", F.lit(".png 1x, //cdn.example/"), "post_id", F.lit("-2x.png 2x , /r/"), "post_id", F.lit(".webp 640w,"), "post_id", F.lit(".png 3x"))
+    urls = text.abs_urls(F.lit("https://deal-board.example/a/list?x=1"), text.srcset(srcset))
+    return table(s, d, "ss_normalized_posts").select("post_id").distinct().select("post_id", F.posexplode(urls).alias("at", "url"))
 
 
 @query("SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS day FROM events")
@@ -151,9 +180,13 @@ def f43_kst_day(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "events").select("event_id", F.date_format(text.utc_iso_to_kst_date(iso), "yyyy-MM-dd").alias("day"))
 
 
-@query("SELECT event_id, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS utc FROM events")
+@query("""WITH e AS (SELECT event_id, event_id % 8 AS k, ts, TIMESTAMP '2024-02-01 00:00:00' AS now, ts + INTERVAL 9 HOUR AS kst FROM events)
+SELECT event_id, strftime(CASE k WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN now - to_minutes(event_id % 50) WHEN 2 THEN now - to_hours(event_id % 20) WHEN 3 THEN now - to_minutes(event_id % 300) WHEN 4 THEN DATE '2024-02-01' + (date_trunc('minute', kst) - date_trunc('day', kst)) - INTERVAL 9 HOUR WHEN 5 THEN date_trunc('minute', ts) WHEN 6 THEN date_trunc('day', kst) - INTERVAL 9 HOUR ELSE date_trunc('second', ts) END, '%Y-%m-%d %H:%M:%S') AS utc FROM e""")
 def f20_kst_to_utc(s: SparkSession, d: str) -> DataFrame:
-    board = F.date_format(F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Asia/Seoul"), "yy.MM.dd HH:mm")
+    """Every format that boards write, by turns."""
+    kst, n = F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Asia/Seoul"), F.col("event_id")
+    forms = [F.date_format(kst, "yy.MM.dd HH:mm"), F.concat((n % 50).cast("string"), F.lit("분 전")), F.concat((n % 20).cast("string"), F.lit("시간 전")), (n % 300).cast("string"), F.date_format(kst, "HH:mm"), F.date_format(kst, "MM.dd HH:mm"), F.date_format(kst, "yyyy-MM-dd"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")]
+    board = F.get(F.array(*forms), (n % 8).cast("int"))
     return table(s, d, "events").select("event_id", F.date_format(text.kst_to_utc(board, F.lit("2024-02-01 00:00:00").cast("timestamp")), "yyyy-MM-dd HH:mm:ss").alias("utc"))
 
 
@@ -193,12 +226,11 @@ def f26_pad_ticker(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "stockcodename").select("ticker").distinct().select("ticker", names.pad_ticker(F.col("ticker")).alias("code"))
 
 
-_LEGAL = f"regexp_replace(regexp_replace(replace({{0}}, '㈜', ' '), '\\( *(주|유|재|사|협) *\\)', ' ', 'g'), '{'|'.join(names.LEGAL_FORMS)}', ' ', 'g')"
+_LEGAL = f"regexp_replace({{0}}, '{names.LEGAL_PATTERN}', ' \\1', 'g')"
 
 
 def _width(c: str) -> str:
-    return f"translate({c}, '{_WIDE}', '{_HALF}')"
-
+    return f"translate(regexp_replace(translate({c}, '{_WIDE}', '{_HALF}'), '[\\x{{0300}}-\\x{{036F}}]', '', 'g'), '{''.join(names.ACCENTED)}', '{''.join(names.ACCENTED.values())}')"
 
 
 
@@ -261,14 +293,15 @@ def f34_weighted_delta(s: SparkSession, d: str) -> DataFrame:
     return e.select("user_id", F.round(values.weighted_delta([(F.col("a"), F.col("z"), 1.0), (F.col("i"), F.col("j"), 3.0)]), 4).alias("score"))
 
 
-@query("SELECT doc_id, CASE WHEN len(parts) < 2 OR p = 0 THEN 1 ELSE 2 END AS parts FROM (SELECT doc_id, [1, 2] AS parts, CASE WHEN regexp_matches(text, '(?m)^(그런데|Later)') THEN CASE WHEN regexp_matches(text, '^(그런데|Later)') THEN 0 ELSE 1 END ELSE 0 END AS p FROM documents WHERE text IS NOT NULL)")
+@query("""WITH p AS (SELECT doc_id, text, chr(10) || text AS t FROM documents WHERE text IS NOT NULL), a AS (SELECT *, CASE WHEN regexp_matches(t, '\n(그런데|Later)') THEN length(regexp_extract(t, '(?s)^(.*?\n)(?:그런데|Later)', 1)) ELSE 0 END AS pos FROM p)
+SELECT doc_id, CASE WHEN pos <= 1 THEN 1 ELSE 2 END AS parts, md5(CASE WHEN pos <= 1 THEN text ELSE substr(text, 1, pos - 1) END) AS first, CASE WHEN pos > 1 THEN md5(substr(text, pos)) END AS rest FROM a""")
 def f41_split(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").where("text is not null").select("doc_id", F.size(text.split_scenarios(F.col("text"), "그런데|Later")).alias("parts"))
+    return table(s, d, "documents").where("text is not null").select("doc_id", text.split_scenarios(F.col("text"), "그런데|Later").alias("p")).select("doc_id", F.size("p").alias("parts"), F.md5(F.get("p", F.lit(0))).alias("first"), F.md5(F.get("p", F.lit(1))).alias("rest"))
 
 
-@query("SELECT strftime(d, '%Y%m%d') || '_list.csv' AS file, strftime(d, '%Y-%m-%d') AS day FROM (SELECT DISTINCT o_orderdate::DATE AS d FROM orders) WHERE d >= DATE '2000-01-01'")
+@query("SELECT strftime(d, '%Y%m%d') || '_list.csv' AS file, strftime(d, '%Y-%m-%d') AS day FROM (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)")
 def f44_filename_date(s: SparkSession, d: str) -> DataFrame:
-    f = table(s, d, "orders").where("o_orderdate >= date'2000-01-01'").select(F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_list.csv")).alias("file")).distinct()
+    f = table(s, d, "orders").select(F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_list.csv")).alias("file")).distinct()
     return f.select("file", F.date_format(text.date_from_filename(F.col("file")), "yyyy-MM-dd").alias("day"))
 
 
