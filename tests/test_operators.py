@@ -104,6 +104,24 @@ def test_ranks(spark):
     assert rel.global_rank(big.limit(0), [F.desc("v")]).count() == 0
 
 
+def test_ranks_within_groups_against_loop(spark):
+    rng = random.Random(8)
+    data = [(i, rng.choice(["a", "a", "a", "b", None]), rng.choice([None, 1, 2, 2, 2, 3, 7, 9])) for i in range(300)]
+    df = spark.createDataFrame(data, "id int, g string, v int").repartition(3)
+    got = {r["id"]: r["before"] for r in rel.before(df, ["g"], [F.desc_nulls_last("v"), F.col("id")]).collect()}
+    key = lambda r: (r[2] is None, -(r[2] or 0), r[0])
+    assert got == {i: sum(x[1] == g and key(x) < key((i, g, v)) for x in data) for i, g, v in data}
+    pct = {r["id"]: r["percentile"] for r in rel.percentile_desc(df, "v", ["g"]).collect()}
+    for i, g, v in data:
+        group = [x for x in data if x[1] == g]
+        assert pct[i] == pytest.approx((len(group) - sum((x[2] or 0) > (v or 0) for x in group)) / len(group))
+    near = {r["g"]: (r["a"], r["b"]) for r in rel.percentile_nearest(df, ["g"], "v", {"a": 0.3, "b": 1.0}).collect()}
+    for g in ("a", "b", None):
+        vs = sorted(x[2] for x in data if x[1] == g and x[2] is not None)
+        assert near[g] == (vs[round((len(vs) - 1) * 0.3)], vs[-1])
+    assert rel.before(df.limit(0), ["g"], [F.col("id")]).count() == rel.percentile_desc(df.limit(0), "v").count() == 0
+
+
 def test_components_and_similarity_join(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(40)]

@@ -155,20 +155,45 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank", ties: bo
     return parts.withColumn(name, (local + shift).cast("long")).drop("__p")
 
 
+def before(df: DataFrame, partition: list[str], order: list[Column], weight: Column | None = None, name: str = "before") -> DataFrame:
+    """``df`` and how many rows (or how much ``weight``) of its group come before each in ``order``, which is total.
+
+    A group isn't gathered in one task: rows are range-partitioned by group
+    and order, each range counts its own, and what the ranges before it hold
+    of the same group, a number for each range and group in it, is joined.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = cut(df.withColumn("__w", F.lit(1) if weight is None else weight).repartitionByRange(n, *[F.col(c) for c in partition], *order).withColumn("__p", F.spark_partition_id()))
+    earlier = Window.partitionBy(*partition).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.groupBy("__p", *partition).agg(F.sum("__w").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    sizes = sizes.select(F.col("__p").alias("__q"), *[F.col(c).alias(f"__g{i}") for i, c in enumerate(partition)], "__before")
+    own = Window.partitionBy("__p", *partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("__own", F.coalesce(F.sum("__w").over(own), F.lit(0)))
+    on = [F.col("__p") == F.col("__q"), *[F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(partition)]]
+    return counted.join(sizes, on).select(*[c for c in df.columns], (F.col("__own") + F.col("__before")).cast("long").alias(name))
+
+
 def rank_metrics(df: DataFrame, key: str, metrics: list[str], partition: list[str] = ()) -> DataFrame:
     """Long table (partition, key, metric, value, rank): greatest first, nulls last, ties by key."""
     long = df.unpivot([*partition, key], metrics, "metric", "value")
-    w = Window.partitionBy(*partition, "metric").orderBy(F.desc_nulls_last("value"), key)
-    return long.withColumn("rank", F.row_number().over(w))
+    ranked = before(long, [*partition, "metric"], [F.desc_nulls_last("value"), F.col(key)])
+    return ranked.select(*long.columns, (F.col("before") + 1).cast("int").alias("rank"))
 
 
 def percentile_desc(df: DataFrame, value: str, partition: list[str] = (), name: str = "percentile") -> DataFrame:
-    """(n - rows with a greater value) / n: the greatest value has 1, ties share the best."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*partition))
-    if partition:
-        return df.withColumn(name, (n - F.rank().over(Window.partitionBy(*partition).orderBy(F.desc(value))) + 1) / n)
-    total = df.count()
-    return global_rank(df, [F.desc(value)], "__r", ties=True).withColumn(name, (F.lit(total) - F.col("__r") + 1) / F.lit(total)).drop("__r")
+    """(n - rows with a greater value) / n: the greatest value has 1, ties share the best, nulls are least.
+
+    Distinct values are ranked by their counts and joined back, so a value
+    that many rows have is one row where it counts.
+    """
+    counts = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.groupBy(*partition).agg(F.sum("__n").alias("__t")) if partition else counts.agg(F.sum("__n").alias("__t"))
+    ranked = before(counts, list(partition), [F.desc_nulls_last(value)], F.col("__n"), "__greater")
+    cols = [*partition, value]
+    ranked = ranked.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)], "__greater")
+    out = df.join(ranked, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(cols)])
+    out = out.join(total.select(*[F.col(c).alias(f"__t{i}") for i, c in enumerate(partition)], "__t"), [F.col(c).eqNullSafe(F.col(f"__t{i}")) for i, c in enumerate(partition)]) if partition else out.crossJoin(F.broadcast(total))
+    return out.select(*df.columns, ((F.col("__t") - F.col("__greater")) / F.col("__t")).alias(name))
 
 
 def next_version(df: DataFrame, history: DataFrame, key: str, digest: str, order: list[str]) -> DataFrame:
@@ -180,10 +205,15 @@ def next_version(df: DataFrame, history: DataFrame, key: str, digest: str, order
 
 
 def percentile_nearest(df: DataFrame, keys: list[str], value: str, ps: dict[str, float]) -> DataFrame:
-    """Nearest-rank percentiles: the value at index round((n - 1) p) of the sorted values, halves to even."""
-    w = Window.partitionBy(*keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value).withColumns({"__i": F.row_number().over(w.orderBy(value)) - 1, "__n": F.count(F.lit(1)).over(w)})
-    return rows.groupBy(*keys).agg(*[F.max(F.when(F.col("__i") == F.bround((F.col("__n") - 1) * p), F.col(value))).alias(n) for n, p in ps.items()])
+    """Nearest-rank percentiles: the value at index round((n - 1) p) of the sorted values, halves to even.
+
+    Distinct values of a group are numbered by what comes before them.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.groupBy(*keys).agg(F.sum("__n").alias("__t")).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__t")
+    rows = before(counts, keys, [F.col(value)], F.col("__n"), "__i").join(total, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    at = lambda p: F.bround((F.col("__t") - 1) * p)
+    return rows.groupBy(*keys).agg(*[F.max(F.when((F.col("__i") <= at(p)) & (at(p) < F.col("__i") + F.col("__n")), F.col(value))).alias(n) for n, p in ps.items()])
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

@@ -278,11 +278,11 @@ def c11_serve_latest(s: SparkSession, d: str) -> DataFrame:
     return out.select("c_custkey", "o_totalprice", F.date_format("order_date", "yyyy-MM-dd").alias("order_date"), "l_extendedprice", F.date_format("ship_date", "yyyy-MM-dd").alias("ship_date"))
 
 
-@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y') AS year, c_nationkey, round(sum(o_totalprice), 2) AS spend FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY spend DESC, c_nationkey)::INT AS rank FROM m),
+@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y') AS year, c_nationkey, round(sum(o_totalprice - 250000), 2) AS spend FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL HAVING round(sum(o_totalprice - 250000), 2) > 0), r AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY spend DESC, c_nationkey)::INT AS rank FROM m),
 p AS (SELECT year, c_nationkey, rank, lag(rank) OVER (PARTITION BY c_nationkey ORDER BY year) AS prior_rank FROM r) SELECT * FROM p WHERE rank IS DISTINCT FROM prior_rank""")
 def c12_rank_changes(s: SparkSession, d: str) -> DataFrame:
     o, c = table(s, d, "orders"), table(s, d, "customer")
-    m = o.select("o_custkey", F.date_format("o_orderdate", "yyyy").alias("year"), "o_totalprice").join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).groupBy("year", "c_nationkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
+    m = o.select("o_custkey", F.date_format("o_orderdate", "yyyy").alias("year"), "o_totalprice").join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).groupBy("year", "c_nationkey").agg(F.round(F.sum(F.col("o_totalprice") - 250000), 2).alias("spend"))
     return pipe.rank_changes(m, "c_nationkey", "year", "spend")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from weftline.functions import hashing, names, text, values
 from weftline.operators import pairs, relational as rel, state
@@ -118,9 +117,8 @@ def serve_latest(entities: DataFrame, key: str, facts: dict[str, tuple[DataFrame
 
 
 def rank_changes(monthly: DataFrame, key: str, month: str, value: str) -> DataFrame:
-    """(month, key, rank, prior_rank) where the rank differs from the one in the key's month before."""
-    w = Window.partitionBy(month).orderBy(F.desc(value), key)
-    ranked = monthly.withColumn("rank", F.row_number().over(w))
+    """(month, key, rank, prior_rank) where the rank differs from the one in the key's month before; only values above 0 are ranked."""
+    ranked = rel.before(monthly.where(F.col(value) > 0), [month], [F.desc(value), F.col(key)]).withColumn("rank", (F.col("before") + 1).cast("int"))
     both = rel.asof_prior(ranked.select(key, month, "rank"), ranked.select(key, month, "rank"), [key], month, ["rank"])
     return both.where(values.changed(F.col("rank"), F.col("prior_rank"))).select(month, key, "rank", "prior_rank")
 
