@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import hashing, names, text, values
+from weftline.operators.lineage import cut
 from weftline.operators import checks, pairs, relational as rel, state, trees
 from weftline.operators.snapshots import snapshot_changes
 
@@ -306,3 +307,90 @@ def test_html_blocks_keep_long_addresses(spark):
     address = "data:image/png;base64," + "A" * 1_200_000
     blocks = spark.createDataFrame([(f'a<img src="{address}">b',)], "c string").select(text.html_blocks(F.col("c"))).first()[0]
     assert [tuple(b) for b in blocks] == [("text", "a"), ("image", address), ("text", "b")]
+
+
+def test_confirm_rule(spark):
+    from weftline.plans import clusters
+
+    cases = [((0.80, 0.0, 0.0), (0.80, "text")), ((0.60, 0.82, 0.0), (0.71, "both")), ((0.74, 0.0, 0.9), (0.9, "embed")), ((0.74, 0.0, 0.84), None), ((0.54, 0.82, 0.0), None), ((0.1, 0.6, 0.85), (0.85, "embed"))]
+    df = spark.createDataFrame([c[0] for c in cases], "t double, g double, e double")
+    got = [r[0] and (round(r[0]["similarity"], 4), r[0]["kind"]) for r in df.select(clusters.confirm(F.col("t"), F.col("g"), F.col("e"))).collect()]
+    assert got == [c[1] for c in cases]
+
+
+def _posts(spark, rng, sets):
+    rows = [(i, float(score), t, g, e) for i, (score, t, g, e) in enumerate(sets)]
+    df = spark.createDataFrame(rows, "post_id long, score double, text array<string>, gallery array<string>, embed array<string>")
+    df = hashing.add_simhash(df, F.col("text"), "simhash")
+    for k in ("text", "gallery", "embed"):
+        df = hashing.add_minhash(df, F.col(k), k)
+    return df
+
+
+def test_clusters_against_all_pairs(spark):
+    from weftline.plans import clusters
+
+    rng = random.Random(41)
+    word = lambda: f"w{rng.randrange(4000)}"
+    sets = []
+    for _ in range(12):
+        base = [[word() for _ in range(40)] for _ in range(3)]
+        for _ in range(5):
+            vary = lambda x: [word() if rng.random() < p else y for p in [rng.choice((0, 0.02, 0.1))] for y in x]
+            sets.append((rng.randrange(5), *map(vary, base)))
+    sets += [sets[0]] * 4 + [(1, [], [], []), (2, [], [], []), (1, None, None, None)]
+    posts = cut(_posts(spark, rng, sets))
+    known = spark.createDataFrame([("old2", 1), ("old1", 2), ("old3", 30)], "cluster string, post_id long")
+    got = {r["post_id"]: r for r in clusters.build_clusters(posts, known).collect()}
+    sk = {r["post_id"]: r for r in posts.collect()}
+    same = lambda x, y: sum(a == b for a, b in zip(x, y)) / 128 if x and y else 0.0
+    parent, own = {i: i for i in sk}, {}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sk:
+        for b in sk:
+            if a < b:
+                t, g, e = (same(sk[a][k], sk[b][k]) for k in clusters.EVIDENCE)
+                c = (t, "text") if t >= 0.75 else ((g + t) / 2, "both") if g >= 0.8 and t >= 0.55 else (max(e, (t + g) / 2), "embed") if e >= 0.85 and (t >= 0.5 or g >= 0.6) else None
+                if c:
+                    own[a, b] = own[b, a] = c
+                    x, y = find(a), find(b)
+                    parent[max(x, y)] = min(x, y)
+    groups = {}
+    for i in sk:
+        groups.setdefault(find(i), []).append(i)
+    groups = {k: v for k, v in groups.items() if len(v) > 1}
+    assert set(got) == {i for v in groups.values() for i in v} and len(groups) >= 10
+    olds = {1: "old2", 2: "old1", 30: "old3"}
+    for k, v in groups.items():
+        rep = min(v, key=lambda i: (-sk[i]["score"], i))
+        name = min([olds[i] for i in v if i in olds], default=f"c{k}")
+        for i in v:
+            r = got[i]
+            assert (r["cluster"], r["size"], r["is_representative"]) == (name, len(v), i == rep)
+            assert (round(r["similarity"], 9), r["kind"]) == ((round(own[rep, i][0], 9), own[rep, i][1]) if (rep, i) in own else (0.0, None))
+    assert clusters.build_clusters(posts.limit(0).select(*posts.columns), known).count() == 0
+
+
+def test_merging_clusters_moves_members(spark):
+    from weftline.plans import clusters
+
+    rng = random.Random(42)
+    base = [f"w{rng.randrange(900)}" for _ in range(60)]
+    sets = [(i % 4, base[: 60 - i % 2], [], []) for i in range(8)] + [(0, [f"x{rng.randrange(900)}" for _ in range(60)], [], []) for _ in range(4)]
+    ev = cut(_posts(spark, rng, sets)).select("post_id", "text", "gallery", "embed")
+    m = spark.createDataFrame([("a", i, float(i), False) for i in range(5)] + [("b", i, 9.0, False) for i in (4, 5, 6, 7)] + [("z", i, 1.0, False) for i in range(8, 12)], "cluster string, post_id long, score double, is_representative boolean")
+    c = spark.createDataFrame([("a", 0, 20, 5), ("b", 5, 10, 4), ("z", 8, 1, 4)], "cluster string, representative long, created int, size int")
+    decisions = clusters.merge_decisions(c, m, ev)
+    assert rows(decisions) == {("a", "a"), ("b", "a")}
+    after, members = clusters.apply_merges(c, m, decisions)
+    assert rows(after) == {("a", 5, 20, 8), ("z", 8, 1, 4)}
+    assert rows(members, "cluster", "post_id") == {("a", i) for i in range(8)} | {("z", i) for i in range(8, 12)}
+    assert rows(members.where("is_representative"), "cluster", "post_id") == {("a", 5), ("z", 8)}
+    # of equal sizes the older cluster is kept
+    older = clusters.merge_decisions(c.withColumn("size", F.lit(4)), m, ev)
+    assert rows(older) == {("a", "b"), ("b", "b")}

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from weftline.functions import hashing, text
 from weftline.operators import checks, pairs, relational as rel, state
 from weftline.operators.lineage import cut
-from weftline.plans import pipelines as pipe
+from weftline.plans import clusters, pipelines as pipe
 from weftline.plans.functions import _MAPS, _SHINGLES, _TOKENS, key_a_sql
 from weftline.plans.relational import _LISTS, _TRIGRAMS, RANGES, _listings
 from weftline.session import checkpoint_dir
@@ -209,6 +209,51 @@ def c03_sketch_links(s: SparkSession, d: str) -> DataFrame:
     return pairs.sketch_links(table(s, d, "documents"), "doc_id", "text")
 
 
+_PERM128 = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(map(hashing.permutation, range(128))))
+_SORTS = (("text", "title"), ("gallery", "content"), ("embed", "comments_text"))
+
+
+@query(f"""WITH RECURSIVE p AS MATERIALIZED (SELECT post_id, min(title) AS title, min(content) AS content, min(comments_text) AS comments_text, max(comments_count)::DOUBLE AS score FROM ss_normalized_posts GROUP BY 1),
+w AS MATERIALIZED ({' UNION ALL '.join(f"SELECT post_id, '{k}' AS kind, {_TOKENS.format(c)} AS w FROM p" for k, c in _SORTS)}),
+h AS MATERIALIZED (SELECT post_id, kind, ('0x' || substr(md5(x), 1, 7))::BIGINT AS h FROM (SELECT post_id, kind, unnest(list_distinct(w)) AS x FROM w)),
+k AS MATERIALIZED (SELECT post_id, kind, i, min((h * a + b) % {hashing.PRIME}) AS v FROM h, (VALUES {_PERM128}) q(i, a, b) GROUP BY ALL),
+y AS (SELECT post_id, len(w) AS n, unnest(list_transform(w, lambda x: ('0x' || substr(md5('0|' || x), 1, 15))::BIGINT)) AS h FROM w WHERE kind = 'text'),
+z AS (SELECT post_id, sum(CASE WHEN 2 * c > n THEN (1::BIGINT << i) ELSE 0 END)::BIGINT AS s FROM (SELECT post_id, i, sum((h >> i) & 1) AS c, max(n) AS n FROM y, range(0, 60) r(i) GROUP BY post_id, i) GROUP BY 1),
+u AS MATERIALIZED (SELECT post_id, 's' || i || ':' || ((s >> (15 * i)) & 32767) AS u FROM z, range(0, 4) r(i) UNION ALL SELECT post_id, 't' || (i // 4) || ':' || string_agg(v, ',' ORDER BY i) FROM k WHERE kind = 'text' GROUP BY post_id, i // 4),
+c AS MATERIALIZED (SELECT DISTINCT a.post_id AS a, b.post_id AS b FROM u a JOIN u b ON a.u = b.u AND a.post_id < b.post_id),
+j AS MATERIALIZED (SELECT a, b, count(*) FILTER (WHERE x.kind = 'text') / 128 AS t, count(*) FILTER (WHERE x.kind = 'gallery') / 128 AS g, count(*) FILTER (WHERE x.kind = 'embed') / 128 AS e FROM c JOIN k x ON x.post_id = a JOIN k y ON y.post_id = b AND x.kind = y.kind AND x.i = y.i AND x.v = y.v GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b, CASE WHEN t >= 0.75 THEN t WHEN g >= 0.8 AND t >= 0.55 THEN (g + t) / 2 ELSE greatest(e, (t + g) / 2) END AS similarity, CASE WHEN t >= 0.75 THEN 'text' WHEN g >= 0.8 AND t >= 0.55 THEN 'both' ELSE 'embed' END AS kind FROM j WHERE t >= 0.75 OR (g >= 0.8 AND t >= 0.55) OR (e >= 0.85 AND (t >= 0.5 OR g >= 0.6))),
+e AS MATERIALIZED (SELECT a AS x, b AS y, similarity, kind FROM l UNION ALL SELECT b, a, similarity, kind FROM l),
+r(x, c) AS (SELECT DISTINCT x, x FROM e UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.x), m AS MATERIALIZED (SELECT x AS post_id, min(c) AS component FROM r GROUP BY 1),
+o AS (SELECT component, min('k' || substr(post_id, 8)) AS old FROM m WHERE substr(post_id, 9) < '3' GROUP BY 1),
+d AS (SELECT component, arg_min(post_id, struct_pack(a := -score, b := post_id)) AS rep, count(*) AS size FROM m JOIN p USING (post_id) GROUP BY 1)
+SELECT coalesce(old, 'c' || m.component) AS cluster, m.post_id, round(coalesce(e.similarity, 0), 6) AS similarity, e.kind, m.post_id = rep AS is_representative, size FROM m JOIN d USING (component) LEFT JOIN o USING (component) LEFT JOIN e ON e.x = rep AND e.y = m.post_id""")
+def c03_clusters(s: SparkSession, d: str) -> DataFrame:
+    """Clusters of posts by their titles, contents and comments, as three kinds of evidence; a third of the posts belong to clusters already."""
+    p = table(s, d, "ss_normalized_posts").groupBy("post_id").agg(*[F.min(c).alias(c) for _, c in _SORTS], F.max("comments_count").cast("double").alias("score"))
+    words = cut(p.select("post_id", "score", *[text.tokens(F.col(c)).alias(k) for k, c in _SORTS]))
+    posts = hashing.add_simhash(words, F.col("text"), "simhash")
+    for k, _ in _SORTS:
+        posts = hashing.add_minhash(posts, F.col(k), k)
+    known = p.where(F.substring("post_id", 9, 1) < "3").select(F.concat(F.lit("k"), F.substring("post_id", 8, 2)).alias("cluster"), "post_id")
+    return clusters.build_clusters(cut(posts), known).withColumn("similarity", F.round("similarity", 6))
+
+
+_MERGED = "WITH c AS (SELECT n_nationkey AS k, CASE WHEN n_regionkey > 1 THEN min(n_nationkey) OVER (PARTITION BY n_regionkey) ELSE n_nationkey END AS kept FROM nation), m AS (SELECT DISTINCT kept AS cluster, c_mktsegment || c_custkey % 40 AS post_id FROM customer JOIN c ON k = c_nationkey)"
+
+
+@query(_MERGED + ", r AS (SELECT cluster, min(post_id) AS representative, count(*) AS size FROM m GROUP BY 1) SELECT m.cluster, post_id, post_id = representative AS is_representative, size FROM m JOIN r USING (cluster)")
+def u17_merge_bookkeeping(s: SparkSession, d: str) -> DataFrame:
+    """Nations are clusters of customers' segments; those of one region merge, in regions above 1. A segment both had is a member once."""
+    n = table(s, d, "nation").select("n_nationkey", "n_regionkey")
+    m = table(s, d, "customer").select(F.col("c_nationkey").alias("cluster"), F.concat("c_mktsegment", (F.col("c_custkey") % 40).cast("string")).alias("post_id")).distinct().withColumns({"score": F.lit(0.0), "is_representative": F.lit(False)})
+    first = n.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("kept"))
+    merges = n.where("n_regionkey > 1").join(first, "n_regionkey").select(F.col("n_nationkey").alias("cluster"), "kept")
+    before = m.groupBy("cluster").agg(F.min("post_id").alias("representative"), F.count(F.lit(1)).alias("size"))
+    after, members = clusters.apply_merges(before, m, merges)
+    return members.join(after, "cluster").select("cluster", "post_id", (F.col("post_id") == F.col("representative")).alias("is_representative"), "size")
+
+
 @query("""WITH RECURSIVE m AS (SELECT c_nationkey AS g, c_acctbal AS v, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer QUALIFY r <= 8),
 p AS (SELECT a.n_nationkey AS a, b.n_nationkey AS b FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey),
 x AS (SELECT p.a, p.b, ma.r, max(1 / (1 + abs(ma.v - mb.v) / 1000)) AS s FROM p JOIN m ma ON ma.g = p.a JOIN m mb ON mb.g = p.b GROUP BY ALL),
