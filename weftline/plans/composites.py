@@ -270,12 +270,17 @@ def c04_merge_clusters(s: SparkSession, d: str) -> DataFrame:
 p AS (SELECT cluster, (t - (rank() OVER (ORDER BY n DESC) - 1)) / t * exp(-greatest(floor(epoch(top)) - floor(epoch(dt)), 0) / 3600.0 / 48) AS score FROM u, t, b)
 SELECT cluster, CASE WHEN cluster % 3 = 0 THEN 0 WHEN cluster % 3 = 1 THEN 2 ELSE 1 END AS consecutive, round(score, 6) AS score FROM p WHERE cluster % 7 <> 0 ORDER BY p.score DESC, cluster LIMIT 20""")
 def c05_rotation(s: SparkSession, d: str) -> DataFrame:
+    return _rotated(s, d)[1].select("cluster", "consecutive", F.round("score", 6).alias("score"))
+
+
+def _rotated(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(state before, clusters shown now)."""
     e = table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     as_of = F.lit(e.agg(F.max("ts")).first()[0])
     scores = e.groupBy(F.col("user_id").alias("cluster")).agg(F.count(F.lit(1)).alias("score"), F.max("ts").alias("at"))
     ago = lambda seconds: F.timestamp_seconds(F.unix_timestamp(as_of) - seconds)
     old = scores.select("cluster", (2 - F.col("cluster") % 3).cast("int").alias("consecutive"), ago(F.when(F.col("cluster") % 3 == 2, 3600).otherwise(600)).alias("last_shown"), F.when(F.col("cluster") % 7 == 0, ago(-60)).alias("suppressed_until"))
-    return pipe.rotate(scores, old, as_of).select("cluster", "consecutive", F.round("score", 6).alias("score"))
+    return old, pipe.rotate(scores, old, as_of)
 
 
 @query("""WITH f AS (SELECT d.store, d.id, a.name AS item, a.fee AS m, a.note AS note FROM (SELECT DISTINCT store, id, addons_detail FROM deals WHERE store IS NOT NULL) d, unnest(addons_detail) u(a)),
@@ -288,6 +293,47 @@ def c06_rollup(s: SparkSession, d: str) -> DataFrame:
     return out.join(items, "store").select("store", "mean", "top", "top_items", "items")
 
 
+_IMAGES = """WITH d AS (SELECT DISTINCT post_id, id, move_type, flags, contract_type, payment, addons_detail, channel, addons_count, advertorial_score FROM deals WHERE post_id IS NOT NULL),
+l AS (SELECT post_id, name, count(*) AS n FROM (SELECT post_id, unnest(flags) AS name FROM d) GROUP BY ALL), lt AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY n DESC, name) AS r FROM l WHERE name IS NOT NULL QUALIFY r <= 20),
+o AS (SELECT post_id, o.name AS name, sum(o.months)::BIGINT AS n, round(avg(o.fee / 9973), 3) AS confidence FROM (SELECT post_id, unnest(addons_detail) AS o FROM d) GROUP BY ALL), ot AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY n DESC NULLS LAST, name) AS r FROM o WHERE name IS NOT NULL QUALIFY r <= 20),
+c AS (SELECT post_id, channel AS name, round(sum(addons_count / 8), 3) AS ratio FROM d GROUP BY ALL), ct AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY ratio DESC NULLS LAST, name) AS r FROM c WHERE name IS NOT NULL QUALIFY r <= 10),
+t AS (SELECT post_id, id, unnest([contract_type, payment]) AS name, unnest([0, 1]) AS line FROM d), p AS (SELECT post_id, name, count(*) AS n FROM t WHERE name IS NOT NULL GROUP BY ALL), pt AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY n DESC, name) AS r FROM p QUALIFY r <= 5),
+a AS (SELECT post_id, count(*) AS images, round(avg(addons_count / 8), 3) AS mean, max(addons_count / 8) AS top, string_agg(move_type, ' | ' ORDER BY id) FILTER (WHERE trim(move_type) <> '') AS captions FROM d GROUP BY 1), x AS (SELECT post_id, string_agg(name, ' | ' ORDER BY id, line) FILTER (WHERE trim(name) <> '') AS ocr FROM t GROUP BY 1),
+ls AS (SELECT post_id, string_agg(concat_ws(':', name, n), ',' ORDER BY r) AS labels FROM lt GROUP BY 1), os AS (SELECT post_id, string_agg(concat_ws(':', name, n), ',' ORDER BY r) AS objects, max(name) FILTER (WHERE r = 1) AS top_object, max(n) FILTER (WHERE r = 1) AS top_count, max(confidence) FILTER (WHERE r = 1) AS top_confidence FROM ot GROUP BY 1),
+cs AS (SELECT post_id, string_agg(name, ',' ORDER BY r) AS colors, max(ratio) FILTER (WHERE r = 1) AS top_ratio FROM ct GROUP BY 1), ps AS (SELECT post_id, string_agg(name, ',' ORDER BY r) AS phrases FROM pt GROUP BY 1),
+v AS (SELECT a.*, ocr, labels, objects, top_object, top_count, top_confidence, colors, top_ratio, phrases, md5(concat_ws('|', coalesce(captions, ''), coalesce(ocr, ''), coalesce(labels, ''), coalesce(objects, ''), coalesce(colors, ''))) AS revision FROM a LEFT JOIN x USING (post_id) LEFT JOIN ls USING (post_id) LEFT JOIN os USING (post_id) LEFT JOIN cs USING (post_id) LEFT JOIN ps USING (post_id)) """
+
+
+def _seen(s: SparkSession, d: str) -> DataFrame:
+    """Deals of a post as its images."""
+    deals = table(s, d, "deals").where("post_id is not null").select("post_id", "id", "move_type", "flags", "contract_type", "payment", "addons_detail", "channel", "addons_count").dropDuplicates(["id"])
+    share = F.col("addons_count") / 8
+    objects = F.transform("addons_detail", lambda a: F.struct(a["name"].alias("name"), a["months"].cast("long").alias("count"), (a["fee"] / 9973).alias("confidence")))
+    images = deals.select("post_id", "id", F.col("move_type").alias("caption"), F.col("flags").alias("labels"), F.array("contract_type", "payment").alias("ocr"), objects.alias("objects"), F.array(F.struct(F.col("channel").alias("name"), share.alias("ratio"))).alias("colors"), share.alias("nsfw"), share.alias("violence"))
+    return pipe.image_rollup(images, "post_id", ["id"])
+
+
+@query(_IMAGES + "SELECT post_id, images, captions, ocr, coalesce(labels, '') AS labels, revision, mean AS nsfw_mean, top AS violence_max FROM v")
+def c06_image_rollup(s: SparkSession, d: str) -> DataFrame:
+    said = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["name"], x["count"].cast("string"))), ","), F.lit(""))
+    return _seen(s, d).select("post_id", "images", "captions", "ocr", said("labels").alias("labels"), "revision", "nsfw_mean", "violence_max")
+
+
+@query(_IMAGES + "SELECT post_id, revision FROM v WHERE post_id NOT IN (SELECT post_id FROM v WHERE images > 1)")
+def c06_changes(s: SparkSession, d: str) -> DataFrame:
+    """Posts to be fused again: those of several images are known as they are now, some others as they were."""
+    now = cut(_seen(s, d))
+    known = now.where("images > 1").select("post_id", "revision").unionByName(now.where("images = 1 and violence_max > 0.2").select("post_id", F.lit("before").alias("revision")))
+    return pipe.changed_revisions(now, known, "post_id")
+
+
+@query(_IMAGES + "SELECT post_id, top_object, top_count, top_confidence, colors, top_ratio, coalesce(phrases, '') AS phrases FROM v")
+def c07_vlm_rollup(s: SparkSession, d: str) -> DataFrame:
+    o, c = F.get("objects", F.lit(0)), F.get("colors", F.lit(0))
+    named = lambda x: F.array_join(F.transform(x, lambda y: y["name"]), ",")
+    return _seen(s, d).select("post_id", o["name"].alias("top_object"), o["count"].alias("top_count"), o["confidence"].alias("top_confidence"), named("colors").alias("colors"), c["ratio"].alias("top_ratio"), F.coalesce(named("phrases"), F.lit("")).alias("phrases"))
+
+
 _NORM = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(lower({0}), '㈜', ' '), '\\( *(주|유|재|사|협) *\\)', ' ', 'g'), '주식회사|유한회사|유한책임회사|합자회사|합명회사|재단법인|사단법인|협동조합', ' ', 'g'), '\\([^()]*\\)', ' ', 'g'), '[^0-9a-z가-힣]', '', 'g')"
 _RESOLVE_SIM = "len(list_intersect(x, y)) / (len(x) + len(y) - len(list_intersect(x, y)))"
 
@@ -452,6 +498,40 @@ def w09_snapshot(s: SparkSession, d: str) -> DataFrame:
     return current_snapshot(s, root).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""WITH p AS (SELECT company_id, min(company_id) OVER (PARTITION BY canonical_name) AS rollup_id FROM dim_company), q AS (SELECT company_id, rollup_id FROM p WHERE company_id <> rollup_id AND company_id % 3 = 0)
+SELECT company_id, coalesce((SELECT rollup_id FROM q WHERE q.company_id = p.company_id), company_id) AS rollup_id FROM p""")
+def u15_rollup(s: SparkSession, d: str) -> DataFrame:
+    """Reviews approve that a third of the companies of one name belong to its first; before, each stands for itself."""
+    c = table(s, d, "dim_company").select("company_id", "canonical_name")
+    first = c.groupBy("canonical_name").agg(F.min("company_id").alias("rollup_id"))
+    q = c.join(first, "canonical_name").where("company_id <> rollup_id").select("company_id", "rollup_id", F.when(F.col("company_id") % 3 == 0, "ACCEPTED").otherwise("REJECTED").alias("decision"))
+    return pipe.apply_rollup_review(q, c.select("company_id", F.col("company_id").alias("rollup_id")))
+
+
+@query("""WITH p AS (SELECT strftime(data_created_ym, '%Y-%m') AS ym FROM pension), m AS (SELECT ym FROM (SELECT DISTINCT ym FROM p) ORDER BY ym LIMIT 1 OFFSET 5), r AS (SELECT min(ym) AS first, max(ym) AS last, count(*) AS rows FROM p WHERE ym <= (SELECT ym FROM m) UNION ALL SELECT min(ym), max(ym), count(*) FROM p WHERE ym > (SELECT ym FROM m))
+SELECT md5('pension|' || first || '|' || last) AS run_id, 'pension' AS name, first, last, rows FROM r""")
+def u16_run_log(s: SparkSession, d: str) -> DataFrame:
+    """Two runs, the second repeated: the first takes six months, the second all later ones."""
+    p = table(s, d, "pension").select(F.date_format("data_created_ym", "yyyy-MM").alias("ym"))
+    sixth = p.distinct().orderBy("ym").limit(6).agg(F.max("ym")).first()[0]
+    control = s.range(0).select(F.lit("").alias("name"), F.lit("").alias("last"))
+    log = s.range(0).select(F.lit("").alias("run_id"), F.lit("").alias("name"), F.lit("").alias("first"), F.lit("").alias("last"), F.col("id").alias("rows"))
+    once, log = pipe.run_step(control, log, p.where(F.col("ym") <= sixth), "pension", "ym")
+    _, log = pipe.run_step(once, log, p, "pension", "ym")
+    return pipe.run_step(once, log, p, "pension", "ym")[1]
+
+
+@query("""WITH b AS (SELECT max(ts) AS top FROM events), u AS (SELECT user_id AS cluster, count(*) AS n, max(ts) AS dt FROM events GROUP BY 1), t AS (SELECT count(*) AS t FROM u),
+p AS (SELECT cluster, (t - (rank() OVER (ORDER BY n DESC) - 1)) / t * exp(-greatest(floor(epoch(top)) - floor(epoch(dt)), 0) / 3600.0 / 48) AS score FROM u, t, b),
+s AS (SELECT cluster, CASE WHEN cluster % 3 = 0 THEN 0 WHEN cluster % 3 = 1 THEN 2 ELSE 1 END AS consecutive FROM p WHERE cluster % 7 <> 0 ORDER BY p.score DESC, cluster LIMIT 20)
+SELECT cluster, coalesce(s.consecutive, 2 - cluster % 3)::INT AS consecutive, s.cluster IS NOT NULL AS shown FROM u LEFT JOIN s USING (cluster)""")
+def c05_state(s: SparkSession, d: str) -> DataFrame:
+    """State of every cluster after a round of rotation, also of those not shown."""
+    old, shown = _rotated(s, d)
+    after = pipe.rotation_state(old, shown)
+    return after.join(shown.select("cluster", F.lit(True).alias("shown")), "cluster", "left").select("cluster", "consecutive", F.coalesce("shown", F.lit(False)).alias("shown"))
+
+
 @query(_LISTS + f", k AS (SELECT coalesce(n.exchange, o.exchange) AS exchange, coalesce(n.ticker, o.ticker) AS ticker, coalesce(n.name, o.name) AS name FROM n FULL JOIN o ON {_ON}) SELECT exchange, count(*) AS n, count(name) AS named FROM k GROUP BY 1")
 def u07_merge_policies(s: SparkSession, d: str) -> DataFrame:
     """Sparse merge: what is unknown in the new listing keeps its known name."""

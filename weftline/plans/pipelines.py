@@ -73,6 +73,56 @@ def nested_rollup(df: DataFrame, key: list[str], items: str, item: str, measure:
     return out.withColumn("revision", hashing.md5_key("top_items", "notes", "mean", "top"))
 
 
+def image_rollup(images: DataFrame, key: str, order: list[str], *, labels: int = 20, colors: int = 10, phrases: int = 5) -> DataFrame:
+    """What is seen in a key's images, one row a key; every part is one aggregate of flattened rows.
+
+    ``images``: key, order columns, caption, labels and ocr (arrays of
+    strings), objects (array of name, count, confidence), colors (array of
+    name, ratio), nsfw, violence. Result: captions and ocr joined in order,
+    labels of most images, objects (name, count, mean confidence) by their
+    sums, colors (name, ratio) by theirs, phrases (the most frequent ocr
+    lines), means and maxima of both safety scores, and revision, the md5 of
+    all that is text or count. Ties go by name. A key without images has no
+    row; null and empty parts add nothing.
+    """
+    images = images.where(F.col(key).isNotNull())
+
+    def top(rows: DataFrame, n: int, name: str, aggs: list[Column], weight: str) -> DataFrame:
+        g = rows.where(F.col("name").isNotNull()).groupBy(key, "name").agg(*aggs)
+        best = rel.before(g, [key], [F.desc(weight), F.col("name")], name="__at").where(F.col("__at") < n)
+        fields = F.struct("__at", *[c for c in g.columns if c != key])
+        return best.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(fields)), lambda x: x.dropFields("__at")).alias(name))
+
+    count = F.count(F.lit(1)).alias("count")
+    ocr = images.select(key, *order, F.posexplode("ocr").alias("__line", "name"))
+    parts = [
+        top(images.select(key, F.explode("labels").alias("name")), labels, "labels", [count], "count"),
+        top(images.select(key, F.explode("objects").alias("o")).select(key, "o.*"), labels, "objects", [F.sum("count").alias("count"), F.round(F.avg("confidence"), 3).alias("confidence")], "count"),
+        top(images.select(key, F.explode("colors").alias("c")).select(key, "c.*"), colors, "colors", [F.round(F.sum("ratio"), 3).alias("ratio")], "ratio"),
+        top(ocr, phrases, "phrases", [count], "count"),
+        rel.ordered_concat(images, [key], "caption", [F.col(o) for o in order], name="captions"),
+        rel.ordered_concat(ocr, [key], "name", [*[F.col(o) for o in order], F.col("__line")], name="ocr"),
+    ]
+    out = images.groupBy(key).agg(count.alias("images"), *[f(c).alias(f"{c}_{n}") for c in ("nsfw", "violence") for n, f in (("mean", lambda c: F.round(F.avg(c), 3)), ("max", F.max))])
+    for p in parts:
+        out = out.join(p, key, "left")
+    said = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["name"], x["count"].cast("string"))), ",")
+    revision = hashing.md5_key("captions", "ocr", said("labels"), said("objects"), F.array_join(F.transform("colors", lambda x: x["name"]), ","))
+    return out.withColumn("revision", revision)
+
+
+def changed_revisions(now: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Keys whose revision is new or another than the known one: what is to be fused again."""
+    k = known.select(F.col(key).alias("__k"), F.col("revision").alias("__old"))
+    return now.join(k, F.col(key) == F.col("__k"), "left").where(values.changed(F.col("revision"), F.col("__old"))).select(key, "revision")
+
+
+def rotation_state(old: DataFrame, shown: DataFrame) -> DataFrame:
+    """State of all clusters after a round of ``rotate``: shown ones as they are now, others as they were."""
+    rest = old.join(shown.select("cluster"), "cluster", "left_anti")
+    return rest.select("cluster", "consecutive", "last_shown", "suppressed_until").unionByName(shown.select("cluster", "consecutive", "last_shown", "suppressed_until"))
+
+
 def resolve_entities(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, accept: float = 0.90, review: float = 0.75, k: int = 3) -> DataFrame:
     """(raw_id, company_id, rule, score, decision): number and address, then alias, then nearest names for the rest.
 
@@ -128,6 +178,25 @@ def match_dictionary(df: DataFrame, column: str, terms: dict[str, str]) -> DataF
     return df.withColumn("names", text.match_terms(text.key_b(F.col(column)), terms))
 
 
+def apply_rollup_review(queue: DataFrame, rollup: DataFrame) -> DataFrame:
+    """(company_id, rollup_id) after approved reviews, each of which sends a company to another; one company has one, the least."""
+    approved = queue.where("decision = 'ACCEPTED' and rollup_id is not null").groupBy("company_id").agg(F.min("rollup_id").alias("rollup_id"))
+    return state.upsert(rollup.select("company_id", "rollup_id"), approved, ["company_id"]).select("company_id", "rollup_id")
+
+
+def run_step(control: DataFrame, log: DataFrame, facts: DataFrame, name: str, month: str) -> tuple[DataFrame, DataFrame]:
+    """(control, log) after a run over the months past the watermark: it advances, and the log takes the run's id, months and rows.
+
+    A run's id is the md5 of its name and months, so a run that is repeated
+    logs itself once.
+    """
+    last = control.where(F.col("name") == name).agg(F.max("last")).first()[0]
+    new = facts if last is None else facts.where(F.col(month) > F.lit(last))
+    run = new.agg(F.min(month).alias("first"), F.max(month).alias("last"), F.count(F.lit(1)).alias("rows")).where("rows > 0")
+    run = run.select(F.md5(F.concat_ws("|", F.lit(name), "first", "last")).alias("run_id"), F.lit(name).alias("name"), "first", "last", "rows")
+    return state.advance_control(control, facts, name, month), log.join(run.select("run_id"), "run_id", "left_anti").unionByName(run)
+
+
 def apply_review(queue: DataFrame, alias: DataFrame) -> DataFrame:
     """Aliases after approved reviews: new (company_id, name) pairs are added once."""
     approved = queue.where("decision = 'ACCEPTED'").select("company_id", "name")
