@@ -394,3 +394,45 @@ def test_merging_clusters_moves_members(spark):
     # of equal sizes the older cluster is kept
     older = clusters.merge_decisions(c.withColumn("size", F.lit(4)), m, ev)
     assert rows(older) == {("a", "b"), ("b", "b")}
+
+
+def test_tiers_against_loop(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(51)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randint(3, 8)))
+    right = [(i % 6, w, w.upper(), w) for i, w in enumerate({word() for _ in range(40)})]
+    left = []
+    for g, n, _, _ in right:
+        for k in range(4):
+            x = n if k == 0 else n[:-1] + rng.choice("abz") if k == 1 else n + "a" if k == 2 else word()
+            left.append((g, f"{len(left)}", x if k else n.upper(), None if k == 3 and rng.random() < 0.3 else x))
+    l, r = spark.createDataFrame(left, "g int, k string, x string, y string"), spark.createDataFrame(right, "g int, n string, x string, y string")
+    want = {}
+    for g, k, x, y in left:
+        mine = [t for t in right if t[0] == g]
+        for tier, (v, at) in enumerate(((x, 2), (y, 3)), 1):
+            hit = [t[1] for t in mine if v is not None and t[at] == v]
+            if hit:
+                want[k] = (min(hit), tier, 1.0)
+                break
+        else:
+            near = [(-SequenceMatcher(None, y, t[3]).ratio(), t[1]) for t in mine if y is not None]
+            near = [n for n in near if n[0] <= -0.85]
+            if near:
+                want[k] = (min(near)[1], 3, -min(near)[0])
+    got = {r["k"]: (r["n"], r["tier"], r["ratio"]) for r in pairs.tiered_matches(l, r, ["g"], "k", "n", ["x", "y"]).collect()}
+    assert got == want and {v[1] for v in want.values()} == {1, 2, 3}
+
+
+def test_blake2b_and_64_bits(spark):
+    import hashlib
+
+    words = ["a", "b", "b", "가"]
+    df = spark.createDataFrame([(words,), ([],), (None,)], "w array<string>")
+    got = [r[0] for r in df.select(hashing.simhash64(F.col("w"))).collect()]
+    h = [int(hashlib.md5(f"0|{w}".encode()).hexdigest()[:16], 16) for w in words]
+    want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    assert got == [f"{want:016x}", "0" * 16, "0" * 16]
+    b = spark.createDataFrame([("x",), (None,)], "c string").select(hashing.hash64(F.col("c"), 3, "blake2b")).collect()
+    assert b[0][0] == int.from_bytes(hashlib.blake2b(b"3|x", digest_size=8).digest(), "big", signed=True) and b[1][0] is None

@@ -31,7 +31,7 @@ def hash60(c: Column, seed: int = 0) -> Column:
 
 
 def hash64(c: Column, seed: int = 0, mode: str = "md5_60") -> Column:
-    """``md5_60``, or ``blake2b``: 8 bytes of keyed BLAKE2b as a signed number of the same bits (an Arrow function)."""
+    """``md5_60``, or ``blake2b``: 8 bytes of BLAKE2b, keyed by the seed, as a signed number of the same bits (an Arrow function)."""
     if mode == "md5_60":
         return hash60(c, seed)
 
@@ -42,6 +42,23 @@ def hash64(c: Column, seed: int = 0, mode: str = "md5_60") -> Column:
     return blake(c)
 
 
+def simhash64(items: Column) -> Column:
+    """64-bit SimHash over a list as 16 hexadecimal digits (repeats weigh), hashed by md5's first 16 digits; zeros for none (an Arrow function)."""
+
+    @F.pandas_udf(T.StringType())
+    def sketch(hashes: pd.Series) -> pd.Series:
+        bits = np.arange(64, dtype=np.uint64)
+
+        def one(h) -> str:
+            h = np.array([int(x, 16) for x in h], dtype=np.uint64)
+            count = sum((((h[i : i + 4096, None] >> bits) & np.uint64(1)).sum(axis=0, dtype=np.int64) for i in range(0, len(h), 4096)), np.zeros(64, np.int64))
+            return f"{int(((2 * count > len(h)).astype(np.uint64) << bits).sum(dtype=np.uint64)):016x}"
+
+        return hashes.map(lambda h: "0" * 16 if h is None or not len(h) else one(h))
+
+    return sketch(F.transform(items, lambda x: F.substring(F.md5(F.concat(F.lit("0|"), x)), 1, 16)))
+
+
 def small_hash(c: Column) -> Column:
     """28 bits, the input of ``minhash``."""
     return F.conv(F.substring(F.md5(c), 1, 7), 16, 10).cast("long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,6 +162,36 @@ def knn_trigram(left: DataFrame, right: DataFrame, name: str, k: int, least: flo
     return sim.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
+def tiered_matches(left: DataFrame, right: DataFrame, within: list[str], key: str, name: str, tiers: list[str], least: float = 0.85) -> DataFrame:
+    """(within, key, name, tier, ratio): for each left row its best right row of the same ``within``.
+
+    ``tiers`` are columns of both sides that are compared for equality in this
+    order; what none settles is compared by the last of them as a sequence:
+    twice the characters in matching blocks over all characters, ``least`` or
+    more (difflib's ratio, over Arrow batches). Of equals the least name
+    counts. Only what equality leaves open is compared, and only within its
+    group. Nulls equal nothing.
+    """
+    from difflib import SequenceMatcher
+
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
+
+    l = left.select(*within, key, *[F.col(t).alias(f"__l{i}") for i, t in enumerate(tiers)])  # noqa: E741
+    r = right.select(*[F.col(c).alias(f"__w{i}") for i, c in enumerate(within)], name, *[F.col(t).alias(f"__r{i}") for i, t in enumerate(tiers)])
+    on = [F.col(c) == F.col(f"__w{i}") for i, c in enumerate(within)]
+    found, rest, last = None, l, len(tiers) - 1
+    for i in range(len(tiers)):
+        hit = rest.join(r, [*on, F.col(f"__l{i}") == F.col(f"__r{i}")]).groupBy(*within, key).agg(F.min(name).alias(name))
+        hit = cut(hit.select(*within, key, name, F.lit(i + 1).alias("tier"), F.lit(1.0).alias("ratio")))
+        found = hit if found is None else found.unionByName(hit)
+        rest = rest.join(hit, [*within, key], "left_anti")
+    near = rest.join(r, on).withColumn("ratio", ratio(f"__l{last}", f"__r{last}")).where(F.col("ratio") >= least)
+    near = near.groupBy(*within, key).agg(F.max(F.struct("ratio", F.lit(0))).alias("top"), F.min_by(name, F.struct(-F.col("ratio"), name)).alias(name))
+    return found.unionByName(near.select(*within, key, name, F.lit(len(tiers) + 1).alias("tier"), F.col("top.ratio").alias("ratio")))
+
+
 def best_matches(pairs: DataFrame, members: DataFrame, similarity: Column, top: int = 8) -> DataFrame:
     """(a, b, best1..best3): per pair of groups the greatest of the best matches of a's members in b.
 

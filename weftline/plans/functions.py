@@ -85,6 +85,21 @@ def f04_simhash_documents(s: SparkSession, d: str) -> DataFrame:
     return hashing.add_simhash(docs, text.tokens(F.col("text")), "simhash").select("doc_id", "simhash")
 
 
+@query(f"""WITH t AS (SELECT doc_id, {_TOKENS.format('text')} AS t FROM documents WHERE text IS NOT NULL), h AS (SELECT doc_id, ('0x' || substr(x, 1, 8))::BIGINT AS a, ('0x' || substr(x, 9, 8))::BIGINT AS b FROM (SELECT doc_id, md5('0|' || unnest(t)) AS x FROM t)),
+c AS (SELECT doc_id, i, 2 * sum((a >> i) & 1) > count(*) AS hi, 2 * sum((b >> i) & 1) > count(*) AS lo FROM h, range(0, 32) r(i) GROUP BY ALL), s AS (SELECT doc_id, sum(CASE WHEN hi THEN 1::BIGINT << i ELSE 0 END)::BIGINT AS hi, sum(CASE WHEN lo THEN 1::BIGINT << i ELSE 0 END)::BIGINT AS lo FROM c GROUP BY 1)
+SELECT t.doc_id, lpad(lower(to_hex(coalesce(hi, 0))), 8, '0') || lpad(lower(to_hex(coalesce(lo, 0))), 8, '0') AS simhash FROM t LEFT JOIN s USING (doc_id)""")
+def f04_simhash64_documents(s: SparkSession, d: str) -> DataFrame:
+    docs = spread(table(s, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", hashing.simhash64(text.tokens(F.col("text"))).alias("simhash"))
+
+
+@query()
+def f03_blake2b(s: SparkSession, d: str) -> DataFrame:
+    """64 bits of keyed BLAKE2b of every document; no SQL engine has it, tests compare it with the library's."""
+    docs = spread(table(s, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", hashing.hash64(F.col("text"), 7, "blake2b").alias("hash"))
+
+
 @query()
 def f05_minhash_documents(s: SparkSession, d: str) -> DataFrame:
     return hashing.add_minhash(_shingled(s, d), F.col("g"), "m").select("doc_id", F.array_join("m", ",").alias("sketch"))

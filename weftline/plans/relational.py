@@ -272,6 +272,14 @@ def j19_tiers(s: SparkSession, d: str) -> DataFrame:
     return rel.keep_first(l.join(r, ["tier", "k"]).select("alias", "canonical_name", "tier"), ["alias"], ["tier", "canonical_name"])
 
 
+@query()
+def j19_ratio(s: SparkSession, d: str) -> DataFrame:
+    """Aliases of a company against its names: as written, normalised, else alike as sequences; a plain loop in the tests, as SQL has no such ratio."""
+    a = _t(s, d, "company_alias").where("company_id is not null and alias is not null").select("company_id", "alias", F.col("alias").alias("as_is"), F.col("normalized_alias").alias("plain")).dropDuplicates(["company_id", "alias"])
+    n = _t(s, d, "dim_company").select("company_id", "canonical_name", F.col("canonical_name").alias("as_is"), F.col("normalized_name").alias("plain"))
+    return pairs.tiered_matches(a, n, ["company_id"], "alias", "canonical_name", ["as_is", "plain"])
+
+
 @query("SELECT id, len(list_filter(addons_detail, lambda a: a.fee > 6000)) AS costly, len(list_filter(addons_detail, lambda a: coalesce(a.fee <= 6000, false))) AS cheap FROM (SELECT DISTINCT id, addons_detail FROM deals) WHERE len(addons_detail) > 0")
 def j20_split_array(s: SparkSession, d: str) -> DataFrame:
     deals = _t(s, d, "deals").select("id", "addons_detail").dropDuplicates(["id"]).where(F.size("addons_detail") > 0)
