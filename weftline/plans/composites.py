@@ -13,7 +13,7 @@ from weftline.functions import hashing, text
 from weftline.operators import checks, pairs, relational as rel, state
 from weftline.operators.lineage import cut
 from weftline.plans import clusters, pipelines as pipe
-from weftline.plans.functions import _MAPS, _SHINGLES, _TOKENS, key_a_sql
+from weftline.plans.functions import _MAPS, _SHINGLES, _TOKENS, key_a_sql, normalized_sql
 from weftline.plans.relational import _LISTS, _TRIGRAMS, RANGES, _listings
 from weftline.session import checkpoint_dir
 from weftline.sources import calendar, files
@@ -334,10 +334,6 @@ def c07_vlm_rollup(s: SparkSession, d: str) -> DataFrame:
     return _seen(s, d).select("post_id", o["name"].alias("top_object"), o["count"].alias("top_count"), o["confidence"].alias("top_confidence"), named("colors").alias("colors"), c["ratio"].alias("top_ratio"), F.coalesce(named("phrases"), F.lit("")).alias("phrases"))
 
 
-_NORM = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(lower({0}), '㈜', ' '), '\\( *(주|유|재|사|협) *\\)', ' ', 'g'), '주식회사|유한회사|유한책임회사|합자회사|합명회사|재단법인|사단법인|협동조합', ' ', 'g'), '\\([^()]*\\)', ' ', 'g'), '[^0-9a-z가-힣]', '', 'g')"
-_RESOLVE_SIM = "len(list_intersect(x, y)) / (len(x) + len(y) - len(list_intersect(x, y)))"
-
-
 @query("""WITH m AS (SELECT business_reg_num, zip_code, data_created_ym AS ym, company_name AS name, industry_code AS industry, count(*) AS n FROM pension WHERE business_reg_num IS NOT NULL AND zip_code IS NOT NULL GROUP BY ALL),
 l AS (SELECT * FROM m QUALIFY ym = max(ym) OVER (PARTITION BY business_reg_num, zip_code)), s AS (SELECT business_reg_num, zip_code, min(ym) AS first, max(ym) AS last FROM m GROUP BY ALL),
 a AS (SELECT business_reg_num, zip_code, name FROM (SELECT business_reg_num, zip_code, name, sum(n) AS n FROM l GROUP BY ALL) WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY business_reg_num, zip_code ORDER BY n DESC, length(name) DESC, name) = 1),
@@ -349,13 +345,62 @@ def c10_rebuild_dim(s: SparkSession, d: str) -> DataFrame:
     return out.select("business_reg_num", "zip_code", F.date_format("first", "yyyy-MM").alias("first"), F.date_format("last", "yyyy-MM").alias("last"), "name", "industry")
 
 
-@query()
-def c09_resolve(s: SparkSession, d: str) -> DataFrame:
-    """Decisions of rule-based resolution; checked by tests, as SQL compares every rest name with every known one."""
+_CANDIDATES = f"""WITH p AS MATERIALIZED (SELECT id AS raw_id, {normalized_sql('company_name')} AS n, business_reg_num AS number, addr_sigungu_code || '-' || legal_dong_addr_code AS addr, industry_code AS industry FROM pension),
+d AS MATERIALIZED (SELECT company_id, {normalized_sql('canonical_name')} AS dn, business_reg_num AS dnum, addr_key AS daddr, industry_code AS dind FROM dim_company), a AS MATERIALIZED (SELECT DISTINCT company_id, {normalized_sql('alias')} AS n FROM company_alias WHERE company_id IS NOT NULL),
+al AS (SELECT DISTINCT company_id, n FROM (SELECT company_id, n FROM a UNION ALL SELECT company_id, dn FROM d) WHERE length(n) >= 3),
+f AS MATERIALIZED (SELECT raw_id, company_id, 1 AS r, 0.95::DOUBLE AS sim FROM p JOIN d ON number = dnum AND addr = daddr UNION ALL SELECT raw_id, company_id, 2, 0.92::DOUBLE FROM p JOIN al USING (n)), t AS MATERIALIZED (SELECT * FROM p WHERE raw_id NOT IN (SELECT raw_id FROM f)),
+gl AS (SELECT l, len(g) AS nl, unnest(g) AS w FROM (SELECT l, {_TRIGRAMS.format('l')} AS g FROM (SELECT DISTINCT n AS l FROM t WHERE n IS NOT NULL))), gr AS (SELECT r, len(g) AS nr, unnest(g) AS w FROM (SELECT r, {_TRIGRAMS.format('r')} AS g FROM (SELECT DISTINCT dn AS r FROM d WHERE dn IS NOT NULL))),
+k AS MATERIALIZED (SELECT l, r, count(*) / (nl + nr - count(*)) AS sim FROM gl JOIN gr USING (w) GROUP BY l, r, nl, nr QUALIFY row_number() OVER (PARTITION BY l ORDER BY sim DESC, r) <= 3),
+c AS (SELECT * FROM f UNION ALL SELECT raw_id, company_id, 3, sim FROM t JOIN k ON n = l JOIN d ON k.r = dn), s AS MATERIALIZED (SELECT DISTINCT raw_id, company_id, ['NUMBER_ADDR', 'ALIAS', 'NAME_KNN'][r] AS rule, r,
+  round(CASE WHEN r = 1 THEN least(1, 0.95::DOUBLE + 0.1::DOUBLE * i + 0.1::DOUBLE * o) ELSE greatest(0, least(1, sim + 0.2::DOUBLE * i + 0.2::DOUBLE * o)) END, 6) AS score
+  FROM (SELECT c.*, coalesce(industry = dind, false)::INT AS i, coalesce(addr = daddr, false)::INT AS o FROM c JOIN p USING (raw_id) JOIN d USING (company_id))),
+b AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY raw_id ORDER BY score DESC, r, company_id) AS place FROM s),
+e AS MATERIALIZED (SELECT DISTINCT p.raw_id, company_id, rule, score, CASE WHEN score IS NULL THEN 'NO_CANDIDATE' WHEN score >= 0.9 THEN 'ACCEPTED' WHEN score >= 0.75 THEN 'REVIEW' ELSE 'REJECTED' END AS decision FROM p LEFT JOIN b ON b.raw_id = p.raw_id AND place = 1) """
+
+
+def _resolution(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(raw records, aliases, scored candidates)."""
     p, c, a = (table(s, d, n) for n in ("pension", "dim_company", "company_alias"))
-    raw = p.select(F.col("id").alias("raw_id"), F.col("company_name").alias("name"), F.col("business_reg_num").alias("number"), F.concat("addr_sigungu_code", F.lit("-"), "legal_dong_addr_code").alias("addr_key"), F.col("industry_code").alias("industry"))
+    raw = p.select(F.col("id").alias("raw_id"), F.col("company_name").alias("name"), F.col("business_reg_num").alias("number"), F.concat("addr_sigungu_code", F.lit("-"), "legal_dong_addr_code").alias("addr_key"), F.col("industry_code").alias("industry"), F.date_format("data_created_ym", "yyyy-MM").alias("ym"), "subscriber_count")
     dim = c.select("company_id", F.col("canonical_name").alias("name"), F.col("business_reg_num").alias("number"), "addr_key", F.col("industry_code").alias("industry"))
-    return pipe.resolve_entities(raw, dim, a.select("company_id", F.col("alias").alias("name")).distinct())
+    alias = a.where("company_id is not null").select("company_id", F.col("alias").alias("name")).distinct()
+    return raw, alias, cut(pipe.score_candidates(raw, dim, alias))
+
+
+@query(_CANDIDATES + "SELECT * FROM e")
+def c09_resolve(s: SparkSession, d: str) -> DataFrame:
+    """Decision on every record."""
+    raw, _, scored = _resolution(s, d)
+    return pipe.decide(raw, scored)
+
+
+@query(_CANDIDATES + "SELECT raw_id, place::INT AS place, company_id, rule, score FROM b WHERE place <= 3")
+def c09_audit(s: SparkSession, d: str) -> DataFrame:
+    return pipe.audit(_resolution(s, d)[2])
+
+
+@query(_CANDIDATES + ", q AS (SELECT raw_id, company_id, 0.5::DOUBLE AS score, 'DONE' AS status FROM e WHERE decision = 'REVIEW' AND raw_id % 2 = 0) SELECT * FROM q UNION ALL SELECT raw_id, company_id, score, 'PENDING' FROM e WHERE decision = 'REVIEW' AND raw_id % 2 <> 0")
+def c09_review_queue(s: SparkSession, d: str) -> DataFrame:
+    """Records with even ids have been reviewed before."""
+    raw, _, scored = _resolution(s, d)
+    decisions = cut(pipe.decide(raw, scored))
+    queue = decisions.where("decision = 'REVIEW' and raw_id % 2 = 0").select("raw_id", "company_id", F.lit(0.5).alias("score"), F.lit("DONE").alias("status"))
+    return pipe.review_queue(decisions, queue)
+
+
+@query(_CANDIDATES + "SELECT DISTINCT e.company_id, p.n AS name FROM e JOIN p USING (raw_id) WHERE decision = 'ACCEPTED' AND length(p.n) >= 3 AND NOT EXISTS (SELECT 1 FROM a WHERE a.company_id = e.company_id AND a.n = p.n)")
+def c09_aliases(s: SparkSession, d: str) -> DataFrame:
+    raw, alias, scored = _resolution(s, d)
+    return pipe.learned_aliases(raw, pipe.decide(raw, scored), alias)
+
+
+@query(_CANDIDATES + ", m AS (SELECT company_id, min(company_id) OVER (PARTITION BY canonical_name) AS rollup_id FROM dim_company), y AS (SELECT id AS raw_id, strftime(data_created_ym, '%Y-%m') AS ym, subscriber_count FROM pension) SELECT rollup_id, ym, sum(subscriber_count)::BIGINT AS subscriber_count, count(*) AS records FROM e JOIN y USING (raw_id) JOIN m USING (company_id) WHERE decision = 'ACCEPTED' GROUP BY ALL")
+def c09_rollup_facts(s: SparkSession, d: str) -> DataFrame:
+    """Subscribers of accepted records by month, by the first company of a name."""
+    raw, _, scored = _resolution(s, d)
+    c = table(s, d, "dim_company").select("company_id", "canonical_name")
+    rollup = c.join(c.groupBy("canonical_name").agg(F.min("company_id").alias("rollup_id")), "canonical_name").select("company_id", "rollup_id")
+    return pipe.monthly_facts(raw, pipe.decide(raw, scored), rollup, "ym", ["subscriber_count"])[1].select("rollup_id", "ym", "subscriber_count", "records")
 
 
 @query("""SELECT c_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS order_date, l_extendedprice, strftime(l_shipdate, '%Y-%m-%d') AS ship_date FROM customer

@@ -249,7 +249,11 @@ def _width(c: str) -> str:
 
 
 
-@query(f"SELECT company_name, regexp_replace(regexp_replace({_LEGAL.format('lower(' + _width('company_name') + ')')}, '\\([^()]*\\)', ' ', 'g'), '[^0-9a-z가-힣]', '', 'g') AS normalized FROM (SELECT DISTINCT company_name FROM pension WHERE company_name IS NOT NULL)")
+def normalized_sql(c: str) -> str:
+    return f"regexp_replace(regexp_replace({_LEGAL.format('lower(' + _width(c) + ')')}, '\\([^()]*\\)', ' ', 'g'), '[^0-9a-z가-힣]', '', 'g')"
+
+
+@query(f"SELECT company_name, {normalized_sql('company_name')} AS normalized FROM (SELECT DISTINCT company_name FROM pension WHERE company_name IS NOT NULL)")
 def f27_normalize(s: SparkSession, d: str) -> DataFrame:
     n = table(s, d, "pension").select("company_name").where("company_name is not null").distinct()
     return n.select("company_name", names.normalize_company(F.col("company_name")).alias("normalized"))

@@ -123,12 +123,16 @@ def rotation_state(old: DataFrame, shown: DataFrame) -> DataFrame:
     return rest.select("cluster", "consecutive", "last_shown", "suppressed_until").unionByName(shown.select("cluster", "consecutive", "last_shown", "suppressed_until"))
 
 
-def resolve_entities(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, accept: float = 0.90, review: float = 0.75, k: int = 3) -> DataFrame:
-    """(raw_id, company_id, rule, score, decision): number and address, then alias, then nearest names for the rest.
+#: Rules by which a candidate is found, the surest first.
+RULES = ("NUMBER_ADDR", "ALIAS", "NAME_KNN")
+
+
+def score_candidates(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, k: int = 3) -> DataFrame:
+    """(raw_id, company_id, rule, score): candidates by number and address, by alias, and by nearest names for the rest.
 
     raw: raw_id, name, number, addr_key, industry; dim: company_id, name,
     number, addr_key, industry; alias: company_id, name. Names are compared
-    normalised. Records without a candidate are NO_CANDIDATE.
+    normalised.
     """
     r = raw.select("raw_id", names.normalize_company(F.col("name")).alias("n"), "number", "addr_key", "industry")
     d = dim.select("company_id", names.normalize_company(F.col("name")).alias("dn"), F.col("number").alias("dnum"), F.col("addr_key").alias("daddr"), F.col("industry").alias("dind"))
@@ -141,13 +145,52 @@ def resolve_entities(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, accept
     near = rest.join(knn, F.col("n") == F.col("l")).join(d.select("company_id", "dn"), F.col("r") == F.col("dn")).select("raw_id", "company_id", F.lit("NAME_KNN").alias("rule"), F.col("similarity").alias("sim"))
     cand = found.unionByName(near).join(r.select("raw_id", "addr_key", "industry"), "raw_id").join(d.select("company_id", "daddr", "dind"), "company_id")
     score = names.match_score(F.col("rule") == "NUMBER_ADDR", F.col("sim"), F.col("industry") == F.col("dind"), F.col("addr_key") == F.col("daddr"))
-    scored = cand.select("raw_id", "company_id", "rule", F.round(score, 6).alias("score"), (-F.round(score, 6)).alias("__o"))
-    scored = scored.withColumn("__r", F.array_position(F.array(F.lit("NUMBER_ADDR"), F.lit("ALIAS"), F.lit("NAME_KNN")), F.col("rule")))
-    best = rel.keep_first(scored, ["raw_id"], ["__o", "__r", "company_id"]).drop("__o", "__r")
+    return cand.select("raw_id", "company_id", "rule", F.round(score, 6).alias("score")).distinct()
+
+
+def _ordered(scored: DataFrame) -> DataFrame:
+    return scored.withColumns({"__o": -F.col("score"), "__r": F.array_position(F.array(*map(F.lit, RULES)), F.col("rule"))})
+
+
+def decide(raw: DataFrame, scored: DataFrame, *, accept: float = 0.90, review: float = 0.75) -> DataFrame:
+    """(raw_id, company_id, rule, score, decision) of every record by its best candidate; without one NO_CANDIDATE."""
+    best = rel.keep_first(_ordered(scored), ["raw_id"], ["__o", "__r", "company_id"]).drop("__o", "__r")
     decision = F.when(F.col("score").isNull(), "NO_CANDIDATE").when(F.col("score") >= accept, "ACCEPTED").when(F.col("score") >= review, "REVIEW").otherwise("REJECTED")
     return raw.select("raw_id").distinct().join(best, "raw_id", "left").withColumn("decision", decision)
 
 
+def resolve_entities(raw: DataFrame, dim: DataFrame, alias: DataFrame, *, accept: float = 0.90, review: float = 0.75, k: int = 3) -> DataFrame:
+    """``decide`` on ``score_candidates``."""
+    return decide(raw, score_candidates(raw, dim, alias, k=k), accept=accept, review=review)
+
+
+def audit(scored: DataFrame, k: int = 3) -> DataFrame:
+    """(raw_id, place, company_id, rule, score): the ``k`` best candidates of every record, for the log."""
+    best = F.array_sort(F.collect_list(F.struct("__o", "__r", "company_id", "rule", "score")))
+    top = _ordered(scored).groupBy("raw_id").agg(F.slice(best, 1, k).alias("c"))
+    return top.select("raw_id", F.posexplode("c").alias("place", "c")).select("raw_id", (F.col("place") + 1).alias("place"), "c.company_id", "c.rule", "c.score")
+
+
+def review_queue(decisions: DataFrame, queue: DataFrame) -> DataFrame:
+    """Queue (raw_id, company_id, score, status) with the records to be reviewed; those it has keep their status."""
+    new = decisions.where("decision = 'REVIEW'").select("raw_id", "company_id", "score", F.lit("PENDING").alias("status"))
+    return state.insert_new(queue.select("raw_id", "company_id", "score", "status"), new, ["raw_id", "company_id"], ["score", "status"])
+
+
+def learned_aliases(raw: DataFrame, decisions: DataFrame, alias: DataFrame) -> DataFrame:
+    """(company_id, name): names of accepted records that their company isn't known by yet, in normalised form."""
+    normal = names.normalize_company(F.col("name")).alias("name")
+    accepted = decisions.where("decision = 'ACCEPTED'").join(raw.select("raw_id", normal), "raw_id").where(F.length("name") >= 3).select("company_id", "name").distinct()
+    return accepted.join(alias.select("company_id", normal).distinct(), ["company_id", "name"], "left_anti")
+
+
+def monthly_facts(raw: DataFrame, decisions: DataFrame, rollup: DataFrame, month: str, measures: list[str]) -> tuple[DataFrame, DataFrame]:
+    """((company_id, month, measures, records), the same by rollup_id) of accepted records; lineage is ``decisions`` itself."""
+    own = decisions.where("decision = 'ACCEPTED'").select("raw_id", "company_id").join(raw.select("raw_id", month, *measures), "raw_id")
+    facts = own.groupBy("company_id", month).agg(*[F.sum(m).alias(m) for m in measures], F.count(F.lit(1)).alias("records"))
+    return facts, rel.rollup_via(facts, rollup, "company_id", "rollup_id", [month], [*measures, "records"])
+
+
 def rebuild_dim(raw: DataFrame, keys: list[str], month: str, name: str, industry: str) -> DataFrame:
     """(keys, name, industry, first, last): majority name and industry of each key's latest month."""
     m = raw.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys, month, name, industry).agg(F.count(F.lit(1)).alias("n"))
