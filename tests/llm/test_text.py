@@ -14,6 +14,7 @@ def test_rewriter_forms():
     assert {fix(s) for s in same} == {"NURI 14"}
     assert fix("Café") == fix("Café") == fix("Саfе‍́") == "Café"
     assert fix(unicodedata.normalize("NFD", "미라쥬 노트")) == "미라쥬 노트"
+    assert fix("𝐍𝖴𝑅𝙸 𝟏𝟜") == "NURI 14" and fix("①") == "①"
     assert fix("ﾡ") == fix("ㄱ") == fix("ᄀ")
     # case, punctuation and the number of spaces show, and so do different letters
     assert len({fix(s) for s in ("NURI 14", "nuri 14", "NURI  14", "NURI14", "NURI 14.", "NUR1 14")}) == 6
@@ -39,6 +40,15 @@ def test_pairs(spark):
     assert lookalikes.same_look_pairs(df.limit(0), "field", "key", "text").count() == 0
 
 
+def test_equal_texts_never_meet(spark):
+    """3,000 keys of one spelling and one of another: 3,000 pairs, and no more rows between."""
+    df = spark.range(3001).select(F.lit("f").alias("field"), F.format_string("%05d", "id").alias("key"), F.when(F.col("id") == 7, "ＡＢ").otherwise("AB").alias("text"))
+    pairs = lookalikes.same_look_pairs(df, "field", "key", "text")
+    assert pairs.count() == 3000
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_a" in plan and pairs.where("key_a = '00007' or key_b = '00007'").count() == 3000
+
+
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(3)
     words = ["가나다", "abc", "delta", "12", "공장을", "넘기고", "Ｘ", "é"]

@@ -62,8 +62,8 @@ class UnionFind:
 def classes() -> tuple[list[list[str]], list[str]]:
     """(classes of code points and strings that look alike, code points that don't show at all).
 
-    Likenesses come from Unicode data: full- and half-width forms, all space
-    characters, canonical compositions (every order of their marks that
+    Likenesses come from Unicode data: full- and half-width forms, letters of
+    mathematical alphabets, all space characters, canonical compositions (every order of their marks that
     composes alike), isolated conjoining jamo and compatibility jamo; and from
     HOMOGLYPHS. Their number is bounded by Unicode, not by the data.
     """
@@ -84,7 +84,8 @@ def classes() -> tuple[list[list[str]], list[str]]:
             hidden.append(ch)
             continue
         how = unicodedata.decomposition(ch)
-        if how.startswith(("<wide>", "<narrow>")):
+        # letters and digits of mathematical alphabets are those of a font
+        if how.startswith(("<wide>", "<narrow>", "<font>")):
             uf.union(ch, "".join(chr(int(x, 16)) for x in how.split()[1:]))
         elif how.startswith("<compat>") and 0x3131 <= c <= 0x318E and len(how.split()) == 2:
             uf.union(ch, chr(int(how.split()[1], 16)))
