@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm import entities, freevalues, leaks, lookalikes, packing, percentiles, quality, variants
 from weftline.operators.lineage import cut
+from weftline.plans.functions import _MAPS, _mapped
 from weftline.sources.tables import table
 
 GROUP = ["model", "capacity", "day"]
@@ -159,6 +160,13 @@ QUERIES = {
     "p9_statistics": p9_statistics,
 }
 
+
+
+def letters_sql(c: str) -> str:
+    """Letters and digits of a column in NFKC and lower case, beside a row of ``_MAPS``."""
+    return f"regexp_replace(lower(nfc_normalize({_mapped(c, 'compatible')})), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
 SQL = {
     "p9_statistics": r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -172,6 +180,11 @@ SELECT doc_id, len(w)::INT AS words,
 FROM w, c
 """.replace("\\\\", "\\"),
     "p1_lines": "SELECT l_returnflag, count(l_extendedprice) AS n, true AS p01_ok, true AS p25_ok, true AS median_ok, true AS p99_ok FROM lineitem GROUP BY 1",
+    "p8_found": f"""
+WITH {_MAPS}, i AS (SELECT item_id, {letters_sql('text')} AS s FROM benchmark, m WHERE text IS NOT NULL), w AS MATERIALIZED (SELECT DISTINCT item_id, unnest(list_transform(range(1, length(s) - 58), lambda k: substr(s, k, 60))) AS w FROM i WHERE length(s) >= 60),
+d AS (SELECT doc_id, {letters_sql('text')} AS s FROM documents, m WHERE text IS NOT NULL), v AS (SELECT doc_id, unnest(list_transform(range(1, length(s) - 58), lambda k: substr(s, k, 60))) AS w FROM d WHERE length(s) >= 60)
+SELECT DISTINCT doc_id, item_id FROM v JOIN w USING (w)
+""",
     "p7_verified": "SELECT count(*) AS documents, sum(CASE WHEN n > 8192 THEN (n + 8191) // 8192 ELSE 1 END)::BIGINT AS pieces, sum(n)::BIGINT AS bytes, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS gaps, true AS tight FROM (SELECT doc_id, coalesce(max(strlen(text)), 0) AS n FROM documents GROUP BY 1)",
     "p7_found": "SELECT DISTINCT doc_id FROM documents WHERE strlen(text) > 8192",
     "p1_found": """
