@@ -93,6 +93,17 @@ def test_market_source(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(datetime.date(2024, 1, 2), "1", "A", "n")]
 
 
+def test_jdbc_reads_in_ranges(spark):
+    from weftline.sources.tables import jdbc_query
+
+    url = "jdbc:derby:memory:weftline_test;create=true"
+    df = spark.createDataFrame([(i, f"n{i}", None if i == 3 else i % 4) for i in range(50)], "id int, name string, k int")
+    df.write.format("jdbc").option("url", url).option("dbtable", "T").option("createTableColumnTypes", "name VARCHAR(20)").mode("overwrite").save()
+    got = jdbc_query(spark, url, 'SELECT "id", "name", "k" FROM T WHERE "id" < 40', column="k", lower=0, upper=4, parts=3)
+    assert got.rdd.getNumPartitions() == 3 and {tuple(r) for r in got.collect()} == {tuple(r) for r in df.where("id < 40").collect()}
+    assert jdbc_query(spark, url, 'SELECT "id" FROM T').count() == 50
+
+
 def test_cut_survives_void_and_clashes(spark):
     df = cut(spark.range(3).select("id", F.lit(None).alias("nothing")))
     assert df.count() == 3 and df.dtypes[1] == ("nothing", "string")

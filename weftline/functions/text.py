@@ -104,14 +104,20 @@ def count_hits(c: Column, terms: list[str]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(c, t)))
 
 
+#: Terms of a dictionary that may stand in a plan.
+MOST_TERMS = 20_000
+
+
 def match_terms(c: Column, terms: dict[str, str]) -> Column:
     """Distinct names of the dictionary terms that occur, longest term first where they overlap, in order of occurrence.
 
     ``terms``: term -> name, both compared as given; terms of a dictionary
-    are literals of the plan, so keep it to thousands of entries.
+    are literals of the plan, so more than ``MOST_TERMS`` are refused.
     """
     import re
 
+    if len(terms) > MOST_TERMS:
+        raise ValueError(f"a dictionary of {len(terms)} terms is longer than {MOST_TERMS}")
     alternatives = "|".join(re.escape(t) for t in sorted(terms, key=lambda t: (-len(t), t)))
     names = F.create_map(*[F.lit(x) for kv in terms.items() for x in kv])
     return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(f"({alternatives})"), 1), lambda t: F.try_element_at(names, t)))

@@ -426,7 +426,7 @@ def c12_rank_changes(s: SparkSession, d: str) -> DataFrame:
 a AS (SELECT '(' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DESC, term) || ')' AS p, map(list(term), list(name)) AS names FROM u), k AS (SELECT title, replace(KEY_A, ' ', '') AS k FROM v, m)
 SELECT title, array_to_string(list_transform(regexp_extract_all(k, p, 1), lambda x: names[x]), ',') AS names FROM k, a""".replace("KEY_A", key_a_sql("title")).replace("WITH v", f"WITH {_MAPS}, v"))
 def c15_dictionary(s: SparkSession, d: str) -> DataFrame:
-    terms = {r["term"]: r["name"] for r in table(s, d, "phone_models").select("name", F.explode("aliases_keyb").alias("term")).where("term <> ''").groupBy("term").agg(F.min("name").alias("name")).collect()}
+    terms = {r["term"]: r["name"] for r in table(s, d, "phone_models").select("name", F.explode("aliases_keyb").alias("term")).where("term <> ''").groupBy("term").agg(F.min("name").alias("name")).limit(text.MOST_TERMS + 1).collect()}
     p = table(s, d, "ss_normalized_posts").select("title").where("title is not null").distinct()
     return pipe.match_dictionary(p, "title", terms).select("title", F.array_join("names", ",").alias("names"))
 

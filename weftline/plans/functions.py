@@ -79,7 +79,10 @@ def _shingled(s: SparkSession, d: str) -> DataFrame:
     return cut(docs.select("doc_id", text.tokens(F.col("text")).alias("t"))).select("doc_id", text.shingles(F.col("t")).alias("g"))
 
 
-@query()
+_SIM60 = "SELECT doc_id, sum(CASE WHEN 2 * c > n THEN (1::BIGINT << i) ELSE 0 END)::BIGINT AS s FROM (SELECT doc_id, i, sum((h >> i) & 1) AS c, max(n) AS n FROM h, range(0, 60) r(i) GROUP BY doc_id, i) GROUP BY 1"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {_TOKENS.format('text')} AS t FROM documents WHERE text IS NOT NULL), h AS (SELECT doc_id, len(t) AS n, unnest(list_transform(t, lambda x: ('0x' || substr(md5('0|' || x), 1, 15))::BIGINT)) AS h FROM t), s AS ({_SIM60}) SELECT doc_id, coalesce(s, 0) AS simhash FROM t LEFT JOIN s USING (doc_id)""")
 def f04_simhash_documents(s: SparkSession, d: str) -> DataFrame:
     docs = spread(table(s, d, "documents").where("text is not null").select("doc_id", "text"), "doc_id")
     return hashing.add_simhash(docs, text.tokens(F.col("text")), "simhash").select("doc_id", "simhash")
@@ -100,12 +103,17 @@ def f03_blake2b(s: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", hashing.hash64(F.col("text"), 7, "blake2b").alias("hash"))
 
 
-@query()
+_PERMS128 = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(map(hashing.permutation, range(128))))
+_SKETCHED = f"""WITH t AS MATERIALIZED (SELECT doc_id, {_TOKENS.format('text')} AS t FROM documents WHERE text IS NOT NULL), h AS MATERIALIZED (SELECT doc_id, ('0x' || substr(md5(x), 1, 7))::BIGINT AS h FROM (SELECT doc_id, unnest(list_distinct({_SHINGLES})) AS x FROM t)),
+m AS MATERIALIZED (SELECT doc_id, i, min((h * a + b) % {hashing.PRIME}) AS v FROM h, (VALUES {_PERMS128}) p(i, a, b) GROUP BY ALL) """
+
+
+@query(_SKETCHED + "SELECT t.doc_id, string_agg(v, ',' ORDER BY i) AS sketch FROM t LEFT JOIN m USING (doc_id) GROUP BY 1")
 def f05_minhash_documents(s: SparkSession, d: str) -> DataFrame:
     return hashing.add_minhash(_shingled(s, d), F.col("g"), "m").select("doc_id", F.array_join("m", ",").alias("sketch"))
 
 
-@query()
+@query(_SKETCHED + ", e AS (SELECT q.doc_id AS query, r.doc_id, count(*) / 128 AS s FROM m q JOIN m r ON q.i = r.i AND q.v = r.v WHERE q.doc_id % 100 = 0 GROUP BY ALL) SELECT q.doc_id AS query, r.doc_id, coalesce(s, 0) AS similarity FROM t q JOIN t r ON q.doc_id % 100 = 0 LEFT JOIN e ON e.query = q.doc_id AND e.doc_id = r.doc_id")
 def f06_sketch_jaccard_documents(s: SparkSession, d: str) -> DataFrame:
     """Every document with an id divisible by 100 against all."""
     m = cut(hashing.add_minhash(_shingled(s, d), F.col("g"), "m").select(F.col("doc_id").cast("long").alias("doc_id"), "m"))

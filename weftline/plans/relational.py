@@ -496,6 +496,13 @@ def n14_dequeue(s: SparkSession, d: str) -> DataFrame:
     return dequeue(o, F.col("o_orderstatus") == "O", [F.when(F.col("o_orderpriority").like("1%"), 0).otherwise(1), F.col("o_orderdate"), F.col("o_orderkey")], 33).select("o_orderkey", "o_orderpriority")
 
 
+@query("SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id) AS turn FROM documents")
+def n15_schedule(s: SparkSession, d: str) -> DataFrame:
+    """Turns of a job that takes the largest items first, so that none is left for the end."""
+    docs = _t(s, d, "documents").select("doc_id", "n_chars")
+    return rel.before(docs, [], [F.desc_nulls_last("n_chars"), F.col("doc_id")]).select("doc_id", "n_chars", (F.col("before") + 1).alias("turn"))
+
+
 @query("""WITH RECURSIVE e AS (SELECT doc_id, CASE WHEN thread_id <> doc_id THEN thread_id END AS parent FROM documents), t AS (SELECT doc_id AS node, doc_id AS root, 0 AS depth FROM e WHERE parent IS NULL UNION ALL SELECT e.doc_id, t.root, t.depth + 1 FROM e JOIN t ON e.parent = t.node) SELECT node, root, depth FROM t""")
 def n16_tree(s: SparkSession, d: str) -> DataFrame:
     from weftline.operators.trees import build_paths
