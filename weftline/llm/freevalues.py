@@ -197,10 +197,17 @@ def _blocks(reference: DataFrame, size: int) -> Iterator[list[tuple[str, str, li
     yield block
 
 
-def _in_blocks(values: DataFrame, reference: DataFrame, size: int, work: Callable[[dict[str, Dictionary], str, str], Iterable[tuple]], schema: str, max_edits: int) -> DataFrame:
+def _only_block(reference: DataFrame, size: int) -> list[tuple[str, str, list[str]]] | None:
+    """The reference if it is one block, else None."""
+    blocks = _blocks(reference, size)
+    entries = next(blocks)
+    return entries if next(blocks, None) in (None, []) else None
+
+
+def _in_blocks(values: DataFrame, reference: DataFrame, size: int, only: list[tuple[str, str, list[str]]] | None, work: Callable[[dict[str, Dictionary], str, str], Iterable[tuple]], schema: str, max_edits: int) -> DataFrame:
     """Rows of ``work(dictionaries, field, value)`` for every value and block of the reference; the driver holds one block, or two."""
     names = [x.split()[0] for x in schema.split(", ")]
-    blocks, out = _blocks(reference, size), None
+    blocks, out = iter([only]) if only is not None else _blocks(reference, size), None
     entries = next(blocks)
     while entries is not None:
         after = next(blocks, None)
@@ -226,22 +233,32 @@ def _near_word(end: str, word: str) -> bool:
     return distance(end, word, 1.1) <= (1.1 if word.isascii() and len(word) > 2 else 0.6)
 
 
-def decorations(values: DataFrame, reference: DataFrame, share: float = 0.15, block: int = BLOCK) -> dict[str, frozenset[str]]:
+def _words_of(name: str, spellings: list[str] | None) -> set[str]:
+    return {w for x in (name, *(spellings or [])) if x for w in re.findall(r"[^\W_]+\+?", fold(x))}
+
+
+def decorations(values: DataFrame, reference: DataFrame, share: float = 0.15, block: int = BLOCK, only: list[tuple[str, str, list[str]]] | None = None) -> dict[str, frozenset[str]]:
     """Endings, by field, that follow spellings of at least ``share`` of all entries (two at least).
 
     ``values``: (field, value). Endings within an edit of a word of the
     reference list are misspelt parts of names and don't count. An ending
     needs that many entries to vote for it, so few can come of it. Blocks of
     the reference vote together: of all blocks the longest spelling counts.
+    ``only`` is the reference where it is one block, so it isn't read again.
     """
     r = reference.where("field is not null and name is not null")
-    least = {x["field"]: max(2, math.ceil(share * x["n"])) for x in r.groupBy("field").agg(F.countDistinct("name").alias("n")).toLocalIterator()}
+    if only is not None:
+        names = {f: {n for g, n, _ in only if g == f} for f in {e[0] for e in only}}
+        sizes = {f: len(n) for f, n in names.items()}
+    else:
+        sizes = {x["field"]: x["n"] for x in r.groupBy("field").agg(F.countDistinct("name").alias("n")).toLocalIterator()}
+    least = {f: max(2, math.ceil(share * n)) for f, n in sizes.items()}
 
     def vote(dictionaries: dict[str, Dictionary], field: str, value: str) -> list[tuple]:
         p = dictionaries[field].prefix(value)
         return [(p[1], p[2], n) for n in p[0]] if p else []
 
-    found = _in_blocks(values, r, block, vote, "field string, value string, length int, ending string, name string", 1)
+    found = _in_blocks(values, r, block, only, vote, "field string, value string, length int, ending string, name string", 1)
     longest = found.groupBy("field", "value").agg(F.max("length").alias("l"), F.max_by("ending", "length").alias("ending"), F.collect_set(F.struct("length", "name")).alias("by")).where("ending <> ''")
     votes = longest.select("field", "ending", F.explode(F.filter("by", lambda x: x["length"] == F.col("l"))).alias("x")).groupBy("field", "ending").agg(F.countDistinct("x.name").alias("n"))
     votes = votes.where(F.col("n") >= F.coalesce(*[F.when(F.col("field") == f, k) for f, k in least.items()], F.lit(2)))
@@ -250,13 +267,17 @@ def decorations(values: DataFrame, reference: DataFrame, share: float = 0.15, bl
         ends[x["field"]].add(x["ending"])
     if not ends:
         return {}
+    if only is not None:
+        for field, w in {(f, w) for f, n, spellings in only if f in ends for w in _words_of(n, spellings)}:
+            ends[field] -= {e for e in ends[field] if _near_word(e, w)}
+        return {f: frozenset(v) for f, v in ends.items()}
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             near: set[tuple[str, str]] = set()
             seen: set[tuple[str, str]] = set()
             for f, n, spellings in zip(*(c.to_pylist() for c in b.columns)):
-                for w in {w for x in (n, *(spellings or [])) if x for w in re.findall(r"[^\W_]+\+?", fold(x))}:
+                for w in _words_of(n, spellings):
                     if f in ends and (f, w) not in seen:
                         seen.add((f, w))
                         near |= {(f, e) for e in ends[f] if _near_word(e, w)}
@@ -280,13 +301,14 @@ def match_values(values: DataFrame, reference: DataFrame, *, max_edits: int = 2,
     one block overrules near ones in others.
     """
     values = cut(values.select("field", "value", "n").groupBy("field", "value").agg(F.sum("n").alias("n")))
-    ends = decorations(values, reference, share, block)
+    only = _only_block(reference, block)
+    ends = decorations(values, reference, share, block, only)
 
     def look(dictionaries: dict[str, Dictionary], field: str, value: str) -> list[tuple]:
         best, exact = dictionaries[field].reach(value, ends.get(field, frozenset()))
         return [(n, c, exact) for n, c in best.items()]
 
-    found = cut(_in_blocks(values, reference, block, look, "field string, value string, name string, cost double, exact boolean", max_edits))
+    found = cut(_in_blocks(values, reference, block, only, look, "field string, value string, name string, cost double, exact boolean", max_edits))
     often = found.where("cost = 0").join(values, ["field", "value"]).groupBy("field", "name").agg(F.sum("n").alias("often"))
     ranked = found.join(often, ["field", "name"], "left").groupBy("field", "value").agg(F.bool_or("exact").alias("exact"), F.sort_array(F.collect_set(F.struct("cost", (-F.coalesce("often", F.lit(0))).alias("rare"), "name", "exact"))).alias("c"))
     # a name may be offered by several blocks: its least cost counts

@@ -185,6 +185,10 @@ def _evolve_shards(rest: DataFrame, shards: int, capacity: int, islands: int, ep
     spread = lists.withColumns({"island": F.explode(F.sequence(F.lit(0), F.lit(islands - 1))), "elites": F.array().cast("array<array<int>>")})
     done = cut(spread.repartition(tasks, "shard", "island").mapInPandas(run(0), schema))
     for epoch in range(1, epochs):
+        # where every shard needs no more containers than its total size does, there is nothing left to gain
+        least = F.ceil(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x) / capacity)
+        if not done.groupBy("shard").agg(F.min("bins").alias("b"), F.max(F.greatest(least, F.lit(1))).alias("l")).where("b > l").take(1):
+            break
         # each island continues from its own best and from the elite of the island before it
         elite = done.select("shard", ((F.col("island") + 1) % islands).alias("island"), F.col("assignment").alias("from"))
         both = done.join(elite, ["shard", "island"]).select("shard", "island", "sizes", F.array("assignment", "from").alias("elites"))
