@@ -401,8 +401,8 @@ def test_tiers_against_loop(spark):
 
     rng = random.Random(51)
     word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randint(3, 8)))
-    right = [(i % 6, w, w.upper(), w) for i, w in enumerate({word() for _ in range(40)})]
-    left = []
+    right = [(i % 6, w, w.upper(), w) for i, w in enumerate(sorted({word() for _ in range(40)}))]
+    left = [(right[0][0], "normalised only", "zz", right[0][1])]
     for g, n, _, _ in right:
         for k in range(4):
             x = n if k == 0 else n[:-1] + rng.choice("abz") if k == 1 else n + "a" if k == 2 else word()
