@@ -70,6 +70,37 @@ def test_crowded_segments_lose_nothing(spark):
     assert both[0] == both[1] and len(both[0]) > 50
 
 
+def test_segment_join_finds_all_pairs(spark):
+    rng = random.Random(12)
+    cores = {"가", "각", "갸", "나", "낙", "가가", "뷁", "ab", "abc", "abcde", "abdce"}
+    for alphabet, sizes, more in (("가각나낙다라", (1, 2, 3, 4), 60), ("abn", (5, 6, 7, 8), 60)):
+        for _ in range(more):
+            x = [rng.choice(alphabet) for _ in range(rng.choice(sizes))]
+            cores.add("".join(x))
+            at = rng.randrange(len(x))
+            cores.add("".join(x[:at] + [rng.choice(alphabet)] + x[at + rng.randint(0, 1) :]))
+            at = max(1, at)
+            cores.add("".join(x[: at - 1] + x[at : at + 1] + x[at - 1 : at] + x[at + 1 :]))
+    # Latin spellings of Hangul cores, some misspelt
+    for c in [c for c in sorted(cores) if not c.isascii() and len(c) > 2][:40]:
+        latin = variants.hangul.to_latin(c)
+        cores |= {latin, latin[:2] + latin[3:], latin[: len(latin) // 2] + "x" + latin[len(latin) // 2 :]}
+    rows = [(i, c, t, "l" if c.isascii() else "h") for i, (c, t) in enumerate((c, rng.choice(["", "건설", "식품", None])) for c in sorted(cores))]
+    df = spark.createDataFrame(rows, "id long, core string, trade string, script string")
+    want = {}
+    for i, a, t, s in rows:
+        for j, b, u, z in rows:
+            if i != j and (not t or t == u):
+                x, y = (a, b) if s == z else (variants.hangul.to_latin(a), variants.hangul.to_latin(b))
+                w = variants.cost("h" if s == z == "h" else "l", x, y)
+                if w is not None:
+                    want[i, j] = w
+    kinds = {(rows[i][3], rows[j][3], bool(rows[i][2])) for i, j in want}
+    assert len(kinds) == 8
+    for crowded in (3, 10**6):
+        assert {(l, r): w for l, r, w in variants.segment_join(df, df, crowded=crowded).collect()} == want
+
+
 def test_variants_follow_established_names(spark):
     known = spark.createDataFrame([(1, "주식회사 라송봄려건설"), (2, "라송봄려미디어"), (3, "가래균곤건설"), (4, "가래군곤건설"), (5, None)], "cid long, name string")
     rows = [(1, "라송봄려건설(주)", None), (2, "라숑봄려건설", None), (3, "Rasongbomryeo Construction", None), (4, "RASNOGBOMRYEO CONSTRUCTION", None), (5, "라송봄려미디어", None), (6, "라송봄려", None), (7, "라송봄려", None), (8, "가래균곤건설", None), (9, "가래군곤건설", None), (10, "아무개", 2), (11, None, None), (12, "", None), (13, "전혀다른이름식품", None), (13, "전혀다른이름식품", None), (14, "x" * 20_000, None)]

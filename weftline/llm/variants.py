@@ -218,8 +218,11 @@ def banded(a: str, b: str, k: int) -> int:
     return min(far, row.get(len(b), far))
 
 
-#: Edits allowed in Hangul cores (syllables) and Latin ones (letters); a transposition costs two to the segments.
-K = {"h": 1, "l": 2}
+#: Edits allowed in Hangul cores (syllables) and Latin ones (letters). A transposition spoils both segments only across their
+#: border: Hangul cores are found by their sorted form then, Latin ones by the form with the two letters at the border swapped.
+K = 1
+#: Letters from which on Latin cores within the edits allowed are one name.
+LATIN = 6
 
 
 def cost(script: str, a: str, b: str) -> float | None:
@@ -230,7 +233,7 @@ def cost(script: str, a: str, b: str) -> float | None:
         # one changed jamo, one doubled syllable or one transposition
         w = distance(a, b, 0.75)
         return w if w <= 0.75 else None
-    return 0.8 if min(len(a), len(b)) >= 6 and banded(a, b, 2) == 1 else None
+    return 0.8 if min(len(a), len(b)) >= LATIN and banded(a, b, K) == 1 else None
 
 
 def _keys(core: str, script: str) -> list[tuple[str, str]]:
@@ -238,6 +241,18 @@ def _keys(core: str, script: str) -> list[tuple[str, str]]:
     return [("h", core), ("l", hangul.to_latin(core))] if script == "h" else [("l", core)]
 
 
+def _swapped(key: str) -> str:
+    """``key`` with the two letters at the border of its segments swapped."""
+    at = len(key) // 2
+    return key[: at - 1] + key[at] + key[at - 1] + key[at + 1 :]
+
+
+def _open(syllable: str) -> list[str]:
+    """A syllable with each of its jamo left open: one changed jamo leaves a lone syllable no segment to meet in."""
+    jamo = hangul.split(syllable)
+    return [".".join("?" if i == k else str(j) for i, j in enumerate(jamo)) for k in range(3)] if jamo else []
+
+
 #: Keys under one segment from which on what is left of them must nearly agree, too.
 CROWDED = 1000
 _GAP = "\x01"
@@ -255,7 +270,8 @@ def without(rest: str, k: int) -> set[str]:
 def segment_join(left: DataFrame, right: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """(l, r, cost) of keys of ``left`` and ``right`` (id, core, trade, script) within the edits allowed.
 
-    Keys meet only within a trade; a left name without one meets all. Index
+    Keys meet only within a trade; a left name without one meets all. Names
+    of one script meet as they are, those of two by their Latin reading. Index
     and probes are hashed, joined and verified where they meet; neither side
     is broadcast by hand or gathered. A segment that more than ``crowded``
     keys share would make all of them meet: there a key is looked up by the
@@ -267,13 +283,15 @@ def segment_join(left: DataFrame, right: DataFrame, crowded: int = CROWDED) -> D
         for b in batches:
             out = []
             for i, core, trade, script in zip(*(c.to_pylist() for c in b.columns)):
-                for kind, key in _keys(core, script):
+                # n: Latin cores, as Hangul ones look them up
+                for kind, key in [*_keys(core, script), *([("n", core)] if script == "l" else [])]:
                     for block in ("*", trade) if trade else ("*",):
                         out.append((f"{block}|{kind}|=|{key}", i, key, None))
                         if kind == "h":
                             out.append((f"{block}|{kind}|~|{''.join(sorted(key))}", i, key, None))
-                        if block != "*" or kind == "h":
-                            out += [(f"{block}|{kind}|{len(key)}.{n}|{s}", i, key, key[:a] + _GAP + key[a + len(s) :]) for n, (a, s) in enumerate(segments(key, K[kind])) if s]
+                            out += [(f"{block}|{kind}|?|{form}", i, key, None) for form in (_open(key) if len(key) == 1 else ())]
+                        if kind == "h" or len(key) >= LATIN:
+                            out += [(f"{block}|{kind}|{len(key)}.{n}|{s}", i, key, key[:a] + _GAP + key[a + len(s) :]) for n, (a, s) in enumerate(segments(key, K)) if s]
             yield _batch(out)
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,11 +299,15 @@ def segment_join(left: DataFrame, right: DataFrame, crowded: int = CROWDED) -> D
             out = []
             for i, core, trade, script in zip(*(c.to_pylist() for c in b.columns)):
                 block = trade or "*"
-                out.append((f"{block}|{script}|=|{core}", i, core, None))
-                if script == "h":
-                    out.append((f"{block}|{script}|~|{''.join(sorted(core))}", i, core, None))
-                if block != "*" or script == "h":
-                    out += [(f"{block}|{script}|{n}.{number}|{s}", i, core, core[:at] + _GAP + core[at + len(s) :]) for n, number, at, s in probes(core, K[script])]
+                for kind, key in (("h", core), ("n", hangul.to_latin(core))) if script == "h" else (("l", core),):
+                    out.append((f"{block}|{kind}|=|{key}", i, key, None))
+                    if kind == "h":
+                        out.append((f"{block}|{kind}|~|{''.join(sorted(key))}", i, key, None))
+                        out += [(f"{block}|{kind}|?|{form}", i, key, None) for form in (_open(key) if len(key) == 1 else ())]
+                    elif len(key) >= LATIN:
+                        out.append((f"{block}|{kind}|=|{_swapped(key)}", i, key, None))
+                    if kind == "h" or len(key) >= LATIN:
+                        out += [(f"{block}|{kind}|{n}.{number}|{s}", i, key, key[:at] + _GAP + key[at + len(s) :]) for n, number, at, s in probes(key, K) if kind == "h" or n >= LATIN]
             yield _batch(out)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -295,7 +317,7 @@ def segment_join(left: DataFrame, right: DataFrame, crowded: int = CROWDED) -> D
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(f"{h}|{v}", i, key, s) for h, i, key, s, rest in zip(*(c.to_pylist() for c in b.columns)) for v in without(rest, K[s])]
+            out = [(f"{h}|{v}", i, key, s) for h, i, key, s, rest in zip(*(c.to_pylist() for c in b.columns)) for v in without(rest, K)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.string()))], ["at", "i", "key", "s"])
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
