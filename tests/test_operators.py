@@ -376,6 +376,61 @@ def test_clusters_against_all_pairs(spark):
     assert clusters.build_clusters(posts.limit(0).select(*posts.columns), known).count() == 0
 
 
+def _written(spark):
+    """Bytes of shuffles that all tasks have written so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_clusters_shuffle_no_pair_in_vain(spark):
+    """Few words make nearly all posts meet in buckets; the evidence of what meets was shuffled with every pair once."""
+    from weftline.plans import clusters
+
+    rng = random.Random(43)
+    take = lambda words, n: [rng.choice(words) for _ in range(n)]
+    contents = [take([f"c{i}" for i in range(40)], 8) for _ in range(12)]
+    sets = [(rng.randrange(3), take([f"w{i}" for i in range(22)], rng.choice((5, 6, 7))), rng.choice(contents), rng.choice([[], None, *contents[:4]])) for _ in range(400)]
+    posts = cut(_posts(spark, rng, sets))
+    sk = {r["post_id"]: r for r in posts.collect()}
+    before, batch = _written(spark), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # a word's rows come in several batches
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r["post_id"]: r for r in clusters.build_clusters(posts, spark.createDataFrame([], "cluster string, post_id long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert _written(spark) - before < 5_000_000
+    same = lambda x, y: sum(a == b for a, b in zip(x, y)) / 128 if x and y else 0.0
+    parent, own, met = {i: i for i in sk}, {}, 0
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a in sk:
+        for b in range(a + 1, len(sk)):
+            x, y = sk[a], sk[b]
+            if any((x["simhash"] >> 15 * i) % 32768 == (y["simhash"] >> 15 * i) % 32768 for i in range(4)) or any(x["text"][i : i + 4] == y["text"][i : i + 4] for i in range(0, 128, 4)):
+                met += 1
+                t, g, e = (same(x[k], y[k]) for k in clusters.EVIDENCE)
+                c = (t, "text") if t >= 0.75 else ((g + t) / 2, "both") if g >= 0.8 and t >= 0.55 else (max(e, (t + g) / 2), "embed") if e >= 0.85 and (t >= 0.5 or g >= 0.6) else None
+                if c:
+                    own[a, b] = own[b, a] = c
+                    parent[max(find(a), find(b))] = min(find(a), find(b))
+    groups = {}
+    for i in sk:
+        groups.setdefault(find(i), []).append(i)
+    groups = {k: v for k, v in groups.items() if len(v) > 1}
+    assert met > 10 * len(own) / 2 and {k for _, k in own.values()} == {"text", "both", "embed"}
+    assert set(got) == {i for v in groups.values() for i in v}
+    for k, v in groups.items():
+        rep = min(v, key=lambda i: (-sk[i]["score"], i))
+        for i in v:
+            r = got[i]
+            assert (r["cluster"], r["size"], r["is_representative"]) == (f"c{k}", len(v), i == rep)
+            assert (round(r["similarity"], 9), r["kind"]) == ((round(own[rep, i][0], 9), own[rep, i][1]) if (rep, i) in own else (0.0, None))
+
+
 def test_merging_clusters_moves_members(spark):
     from weftline.plans import clusters
 

@@ -7,6 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +77,50 @@ def _permuted(n: int):
     return minima
 
 
+@lru_cache(maxsize=8)
+def _permuted_by(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.array(x, dtype=np.int64) for x in zip(*map(permutation, range(n))))
+
+
+@lru_cache(maxsize=8)
+def _inverses(n: int) -> list[int]:
+    return [pow(permutation(i)[0], -1, PRIME) for i in range(n)]
+
+
+def unpermuted(sketch: np.ndarray) -> np.ndarray:
+    """The hash that holds each position of a sketch."""
+    return np.array([(int(v) - permutation(i)[1]) * a % PRIME for i, (v, a) in enumerate(zip(sketch, _inverses(len(sketch))))], dtype=np.int64)
+
+
+def sketches(words: pa.ListArray, n: int = 128, held: bool = False) -> tuple[np.ndarray, ...]:
+    """MinHash sketches of sets of ``small_hash`` values as rows of int32, -1 for empty and null ones.
+
+    With ``held`` also the words, their rows and how many positions of their
+    row's sketch they hold.
+    """
+    a, b = _permuted_by(n)
+    size = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    w = pc.list_flatten(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.full((len(size), n), -1, np.int32)
+    row, start = np.repeat(np.arange(len(size)), size), np.cumsum(size) - size
+    each, at = np.unique(w, return_inverse=True)
+    own = np.zeros(len(w), np.int64)
+    # rows are taken in blocks, so that what is permuted at once stays small
+    value = ((each[:, None] * a + b) % PRIME).astype(np.int32) if len(each) <= 1 << 16 else None
+    lo = 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + (1 << 14), side="right")) - 1)
+        some = np.arange(lo, hi)[size[lo:hi] > 0]
+        if len(some):
+            x, y = start[lo], start[hi - 1] + size[hi - 1]
+            v = value[at[x:y]] if value is not None else ((w[x:y, None] * a + b) % PRIME).astype(np.int32)
+            out[some] = np.minimum.reduceat(v, start[some] - x, axis=0)
+            if held:
+                own[x:y] = (v == out[row[x:y]]).sum(axis=1)
+        lo = hi
+    return (out, w, row, own) if held else (out,)
+
+
 def minhash(items: Column, n: int = 128) -> Column:
     """array<long> of n minima over permutations of the distinct items; null for none."""
     h = F.transform(F.array_distinct(items), small_hash)

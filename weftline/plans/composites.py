@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from weftline.functions import hashing, text
 from weftline.operators import checks, pairs, relational as rel, state
-from weftline.operators.lineage import cut
+from weftline.operators.lineage import cut, spread
 from weftline.plans import clusters, pipelines as pipe
 from weftline.plans.functions import _MAPS, _SHINGLES, _TOKENS, key_a_sql, normalized_sql
 from weftline.plans.relational import _LISTS, _TRIGRAMS, RANGES, _listings
@@ -231,12 +231,12 @@ SELECT coalesce(old, 'c' || m.component) AS cluster, m.post_id, round(coalesce(e
 def c03_clusters(s: SparkSession, d: str) -> DataFrame:
     """Clusters of posts by their titles, contents and comments, as three kinds of evidence; a third of the posts belong to clusters already."""
     p = table(s, d, "ss_normalized_posts").groupBy("post_id").agg(*[F.min(c).alias(c) for _, c in _SORTS], F.max("comments_count").cast("double").alias("score"))
-    words = cut(p.select("post_id", "score", *[text.tokens(F.col(c)).alias(k) for k, c in _SORTS]))
+    words = cut(spread(p, "post_id").select("post_id", "score", *[text.tokens(F.col(c)).alias(k) for k, c in _SORTS]))
     posts = hashing.add_simhash(words, F.col("text"), "simhash")
-    for k, _ in _SORTS:
-        posts = hashing.add_minhash(posts, F.col(k), k)
+    # word hashes, from which sketches are made where they are compared: a twentieth of a sketch's size
+    posts = posts.withColumns({k: F.transform(F.array_distinct(F.col(k)), lambda x: hashing.small_hash(x).cast("int")) for k, _ in _SORTS})
     known = p.where(F.substring("post_id", 9, 1) < "3").select(F.concat(F.lit("k"), F.substring("post_id", 8, 2)).alias("cluster"), "post_id")
-    return clusters.build_clusters(cut(posts), known).withColumn("similarity", F.round("similarity", 6))
+    return clusters.build_clusters(posts, known).withColumn("similarity", F.round("similarity", 6))
 
 
 _MERGED = "WITH c AS (SELECT n_nationkey AS k, CASE WHEN n_regionkey > 1 THEN min(n_nationkey) OVER (PARTITION BY n_regionkey) ELSE n_nationkey END AS kept FROM nation), m AS (SELECT DISTINCT kept AS cluster, c_mktsegment || c_custkey % 40 AS post_id FROM customer JOIN c ON k = c_nationkey)"
