@@ -380,8 +380,12 @@ def establish(names: DataFrame, known: DataFrame) -> DataFrame:
     nodes = numbered
     # the copy of few names is one file: keys and probes are made on all cores
     pairs = segment_join(spread(nodes.where("known = 0"), "id"), spread(nodes, "id"))
-    side = lambda p: nodes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"), F.col("known").alias(f"{p}known"), F.col("trade").alias(f"{p}trade"))
+    side = lambda p: nodes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"), F.col("known").alias(f"{p}known"), F.col("trade").alias(f"{p}trade"), F.col("script").alias(f"{p}script"))
     up = pairs.join(side("l"), "l").join(side("r"), "r").where("rknown = 1 or rn > ln or (rn = ln and r < l)").where("rtrade <> '' or ltrade = ''")
+    # Hangul follows a Latin spelling only if no Hangul one is in reach: both spellings of one name are no two names
+    up = up.withColumn("across", (F.col("lscript") == "h") & (F.col("rscript") == "l"))
+    alone = up.groupBy("l").agg(F.min("across").alias("only"))
+    up = up.join(alone, "l").where(F.col("across") == F.col("only"))
     ranked = up.groupBy("l", "ltrade").agg(
         F.min(F.struct((1 - F.col("rknown")).alias("a"), F.round("cost", 3).alias("b"), (-F.col("rn")).alias("c"), "r")).alias("best"),
         F.countDistinct(F.when((F.col("cost") == 0) & (F.col("rtrade") != ""), F.col("r"))).alias("exact"),
