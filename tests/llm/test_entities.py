@@ -117,6 +117,15 @@ def test_variants_follow_established_names(spark):
     assert variants.link_variants(df.limit(0), "id", ["alias"], known, "name", "cid", "cid", READER).count() == 0
 
 
+def test_names_follow_across_scripts(spark):
+    known = spark.createDataFrame([(1, "라송봄려건설")], "cid long, name string")
+    rows = [(1, "라송봄려"), *[(i, "Rasongbomryeo Construction") for i in (2, 3)], (4, "가래군곤식품"), *[(i, "Garaegungon Foods") for i in (5, 6)]]
+    df = spark.createDataFrame(rows, "id long, alias string")
+    reader = variants.Reader({"건설": "건설", "construction": "건설", "식품": "식품", "foods": "식품"})
+    pairs = {tuple(r) for r in variants.variant_pairs(variants.link_variants(df, "id", ["alias"], known, "name", reader=reader), "id").collect()}
+    assert pairs == {(1, 2), (1, 3), (2, 3), (4, 5), (4, 6), (5, 6)}
+
+
 def test_alternating_directions_minimise():
     rng = np.random.default_rng(7)
     for _ in range(20):
